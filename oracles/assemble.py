@@ -10,7 +10,7 @@ from oracles.tables import TABLES
 EXPRESSIONS = {**TABLES, **MARTS}
 
 
-def with_tables(body: str) -> str:
+def with_tables(body: str, local: str | None = None) -> str:
     needed: list[str] = []
 
     def visit(text: str) -> None:
@@ -19,8 +19,8 @@ def with_tables(body: str) -> str:
                 visit(EXPRESSIONS[name])
                 needed.append(name)
 
-    visit(body)
-    if not needed:
+    visit(f"{local or ''} {body}")
+    defined = [f"{n} AS MATERIALIZED ({EXPRESSIONS[n]})" for n in needed] + ([local] if local else [])
+    if not defined:
         return body.strip()
-    defined = ",\n".join(f"{n} AS MATERIALIZED ({EXPRESSIONS[n]})" for n in needed)
-    return f"WITH {defined}\n{body.strip()}"
+    return "WITH " + ",\n".join(defined) + "\n" + body.strip()

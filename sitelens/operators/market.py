@@ -7,6 +7,7 @@ on member_id, however many claims the member holds, and feeds both marts.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
@@ -22,6 +23,7 @@ ACUTE_LINES = ["surgery", "cardiology", "er", "oncology"]
 FAR_MILES = 30
 MILES_BIN = 0.25
 
+LINE_KEYS = ("service_line", "network_status")
 ADDITIVE = ["claims", "allowed", "paid", "ratio_sum", "ratio_rows"]
 
 
@@ -29,11 +31,11 @@ def is_acute(line: Column) -> Column:
     return line.isin(ACUTE_LINES)
 
 
-def claim_rollup(claims: DataFrame, span: Span | None) -> DataFrame:
+def claim_rollup(claims: DataFrame, span: Span | None, keys: Sequence[str] = LINE_KEYS) -> DataFrame:
     if span:
         claims = claims.filter(in_span(F.col("service_date"), span))
     paid_share = ratio(F.col("plan_paid"), F.col("allowed_amount"))
-    return claims.groupBy("member_id", "facility_id", "service_line", "network_status").agg(
+    return claims.groupBy("member_id", "facility_id", *keys).agg(
         F.count("*").alias("claims"),
         F.sum("allowed_amount").alias("allowed"),
         F.sum("plan_paid").alias("paid"),
@@ -42,7 +44,13 @@ def claim_rollup(claims: DataFrame, span: Span | None) -> DataFrame:
     )
 
 
-def located_claims(claims: DataFrame, members: DataFrame, facilities: DataFrame, span: Span | None) -> DataFrame:
+def located_claims(
+    claims: DataFrame,
+    members: DataFrame,
+    facilities: DataFrame,
+    span: Span | None,
+    keys: Sequence[str] = LINE_KEYS,
+) -> DataFrame:
     """The rollup with both ends placed; unmatched keys stay, flagged by NULL.
 
     They stay because the paid share of owned care is defined on all claims, while
@@ -60,22 +68,23 @@ def located_claims(claims: DataFrame, members: DataFrame, facilities: DataFrame,
         "facility_id",
         F.col("city").alias("care_city"),
         "ownership",
+        "facility_type",
         F.col("latitude").alias("site_lat"),
         F.col("longitude").alias("site_lon"),
         F.lit(True).alias("known_site"),
     )
     miles = distance_miles(F.col("home_lat"), F.col("home_lon"), F.col("site_lat"), F.col("site_lon"))
     return (
-        claim_rollup(claims, span)
+        claim_rollup(claims, span, keys)
         .join(home, "member_id", "left")
         .join(site, "facility_id", "left")
         .select(
             "member_city",
             "member_state",
             "care_city",
-            "service_line",
-            "network_status",
+            *keys,
             "ownership",
+            "facility_type",
             (F.col("known_member") & F.col("known_site")).alias("placed"),
             miles.alias("miles"),
             *ADDITIVE,
@@ -83,6 +92,17 @@ def located_claims(claims: DataFrame, members: DataFrame, facilities: DataFrame,
     )
 
 
+def placed_claims(
+    claims: DataFrame,
+    members: DataFrame,
+    facilities: DataFrame,
+    span: Span | None = None,
+    keys: Sequence[str] = (),
+) -> DataFrame:
+    """Located claims whose member and facility are both on file."""
+    return located_claims(claims, members, facilities, span, keys).filter("placed")
+
+
 def care_ledger(located: DataFrame) -> DataFrame:
     """Additive amounts per market, destination, line, network status and ownership."""
     return located.groupBy(

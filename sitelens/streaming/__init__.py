@@ -1 +1 @@
-
+"""Late-arriving data: landing-date increments and restated partitions."""
