@@ -557,9 +557,9 @@ BODIES |= {
               WHERE r.match_method = 'random_control' AND e.match_method = 'exact')""",
     "corrupted_records": damaged("patients"),
     "link_recall": f"""SELECT corruption, count(*) AS n, count(found.member_id) AS matched,
-        count_if(found.member_id = sample.member_id) AS correct,
-        round(count_if(found.member_id = sample.member_id) / count(*), 6) AS recall,
-        count_if(found.member_id <> sample.member_id) AS wrong
+        count(*) FILTER (found.member_id = sample.member_id) AS correct,
+        round(count(*) FILTER (found.member_id = sample.member_id) / count(*), 6) AS recall,
+        count(*) FILTER (found.member_id <> sample.member_id) AS wrong
         FROM sample CROSS JOIN (SELECT DISTINCT corruption FROM worse) LEFT JOIN found USING (corruption, patient_id)
         GROUP BY corruption""",
     "banned_phrases": f"""SELECT conv_id, turn, if(len({BANNED}) = 0, NULL, {BANNED}[1]) AS banned,

@@ -7,21 +7,24 @@ import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
 
 
+def has_at_most(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether ``df`` is small enough to broadcast; the count stops at the bound."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_within(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only after counting that ``df`` has at most ``max_rows`` rows.
 
-    The count stops at the bound.  A larger table goes unhinted, and the join is a
-    sort-merge join with adaptive skew splitting.
+    A larger table goes unhinted, and the join is a sort-merge join with adaptive skew
+    splitting.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if has_at_most(df, max_rows) else df
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -64,6 +67,7 @@ def exact_quantiles(
     probs: dict[str, float],
     bin_width: float,
     weight: str | None = None,
+    rows: str | None = None,
 ) -> DataFrame:
     """Exact interpolated quantiles per group without holding a group in one task.
 
@@ -72,59 +76,56 @@ def exact_quantiles(
     histogram of fixed-width bins finds the bin of each wanted rank, and only the
     values of those bins are ordered.  One scan of ``df``; the ordered part is a
     sliver of the distinct values whatever the size of the group.
+
+    ``rows`` names a column for the number of rows per group, NULL values included.
     """
-    multiplicity = F.count("*") if weight is None else F.sum(weight)
     keys = list(keys)
+    multiplicity = "count(*)" if weight is None else f"sum({weight})"
     values = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).cast("double").alias("_v"))
-        .agg(multiplicity.cast("long").alias("_n"))
-        .withColumn("_bin", F.floor(F.col("_v") / bin_width))
+        df.groupBy(*keys, F.col(value).cast("double").alias("_v"))
+        .agg(F.expr(f"cast({multiplicity} AS bigint) AS _n"))
+        .withColumn("_bin", F.expr(f"floor(_v / {bin_width})"))
     )
-    group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    upward = group.orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
+    over = f"PARTITION BY {', '.join(keys)}"
     bins = (
         values.groupBy(*keys, "_bin")
-        .agg(F.sum("_n").alias("_in_bin"))
-        .withColumn("_upto", F.sum("_in_bin").over(upward))
-        .withColumn("_total", F.sum("_in_bin").over(group))
-        .withColumn("_below", F.col("_upto") - F.col("_in_bin"))
+        .agg(F.expr("sum(_n) AS _in_bin"))
+        .selectExpr(
+            "*",
+            f"sum(_in_bin) OVER ({over}) AS _rows",
+            f"coalesce(sum(if(_bin IS NULL, 0, _in_bin)) OVER ({over}), 0) AS _total",
+            f"sum(if(_bin IS NULL, 0, _in_bin)) OVER ({over} ORDER BY _bin NULLS LAST "
+            "ROWS UNBOUNDED PRECEDING) AS _upto",
+        )
+        .withColumn("_below", F.expr("_upto - _in_bin"))
     )
 
-    def place(p: float) -> Column:
-        return F.lit(p) * (F.col("_total") - 1)
+    def rank(p: float, edge: str) -> str:
+        return f"{edge}({p}D * (_total - 1))"
 
-    def holds(start: str, end: str, rank: Column) -> Column:
-        return (F.col(start) <= rank) & (rank < F.col(end))
+    def holds(start: str, end: str, p: float, edge: str) -> str:
+        return f"({start} <= {rank(p, edge)} AND {rank(p, edge)} < {end})"
 
-    wanted = reduce(
-        lambda a, b: a | b,
-        [holds("_below", "_upto", edge(place(p))) for p in probs.values() for edge in (F.floor, F.ceil)],
-    )
-    targets = bins.filter(wanted).select(*keys, "_bin", "_below", "_total")
-    inside = (
-        Window.partitionBy(*keys, "_bin")
-        .orderBy("_v")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    ranked = (
-        null_safe_join(values, targets, [*keys, "_bin"])
-        .withColumn("_end", F.col("_below") + F.sum("_n").over(inside))
-        .withColumn("_start", F.col("_end") - F.col("_n"))
+    edges = [(p, edge) for p in probs.values() for edge in ("floor", "ceil")]
+    wanted = " OR ".join(holds("_below", "_upto", p, edge) for p, edge in edges)
+    targets = bins.filter(f"(_bin IS NOT NULL AND ({wanted})) OR (_bin IS NULL AND _total = 0)").select(
+        *keys, "_bin", "_below", "_total", "_rows"
     )
-    picked = []
-    for name, p in probs.items():
-        for side, edge in (("lo", F.floor), ("hi", F.ceil)):
-            at = F.when(holds("_start", "_end", edge(place(p))), F.col("_v"))
-            picked.append(F.max(at).alias(f"_{name}_{side}"))
-    found = ranked.groupBy(*keys).agg(F.max("_total").alias("_total"), *picked)
-    return found.select(
+    ranked = null_safe_join(values, targets, [*keys, "_bin"]).selectExpr(
+        "*",
+        f"_below + sum(_n) OVER ({over}, _bin ORDER BY _v ROWS UNBOUNDED PRECEDING) AS _end",
+    ).withColumn("_start", F.expr("_end - _n"))
+    picked = [
+        F.expr(f"max(if({holds('_start', '_end', p, edge)}, _v, NULL)) AS _{name}_{edge}")
+        for name, p in probs.items()
+        for edge in ("floor", "ceil")
+    ]
+    found = ranked.groupBy(*keys).agg(F.expr("max(_total) AS _total"), F.expr("max(_rows) AS _rows"), *picked)
+    return found.selectExpr(
         *keys,
+        *([f"_rows AS {rows}"] if rows else []),
         *[
-            (
-                F.col(f"_{name}_lo")
-                + (F.col(f"_{name}_hi") - F.col(f"_{name}_lo")) * (place(p) - F.floor(place(p)))
-            ).alias(name)
+            f"_{name}_floor + (_{name}_ceil - _{name}_floor) * ({p}D * (_total - 1) - {rank(p, 'floor')}) AS {name}"
             for name, p in probs.items()
         ],
     )

@@ -11,6 +11,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 
 class Span(NamedTuple):
@@ -20,8 +21,8 @@ class Span(NamedTuple):
     hi: date
 
 
-def in_span(col: Column, span: Span, kind: str = "date") -> Column:
-    """Half-open membership written with literals, so that it reaches the scan."""
+def in_span(col: Column, span: Span, kind: str | DataType = "date") -> Column:
+    """Half-open membership written with literals of the column's type, to reach the scan."""
     return (col >= F.lit(span.lo).cast(kind)) & (col < F.lit(span.hi).cast(kind))
 
 

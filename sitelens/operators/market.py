@@ -10,11 +10,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitelens.functions.geo import distance_miles
-from sitelens.functions.measures import millions, or_zero, ratio, share_pct, sum_if, sum_or_zero
+from sitelens.functions.measures import ratio
 from sitelens.functions.scale import exact_quantiles, staged
 from sitelens.functions.temporal import Span, active_on, in_span
 
@@ -34,13 +34,16 @@ def is_acute(line: Column) -> Column:
 def claim_rollup(claims: DataFrame, span: Span | None, keys: Sequence[str] = LINE_KEYS) -> DataFrame:
     if span:
         claims = claims.filter(in_span(F.col("service_date"), span))
-    paid_share = ratio(F.col("plan_paid"), F.col("allowed_amount"))
+    paid_share = "try_divide(cast(plan_paid AS double), cast(allowed_amount AS double))"
+    sums = {
+        "claims": "count(*)",
+        "allowed": "sum(allowed_amount)",
+        "paid": "sum(plan_paid)",
+        "ratio_sum": f"sum({paid_share})",
+        "ratio_rows": f"count({paid_share})",
+    }
     return claims.groupBy("member_id", "facility_id", *keys).agg(
-        F.count("*").alias("claims"),
-        F.sum("allowed_amount").alias("allowed"),
-        F.sum("plan_paid").alias("paid"),
-        F.sum(paid_share).alias("ratio_sum"),
-        F.count(paid_share).alias("ratio_rows"),
+        *[F.expr(f"{sums[name]} AS {name}") for name in ADDITIVE]
     )
 
 
@@ -56,22 +59,22 @@ def located_claims(
     They stay because the paid share of owned care is defined on all claims, while
     market figures use only claims whose member and facility are known.
     """
-    home = members.select(
+    home = members.selectExpr(
         "member_id",
-        F.col("city").alias("member_city"),
-        F.col("state").alias("member_state"),
-        F.col("latitude").alias("home_lat"),
-        F.col("longitude").alias("home_lon"),
-        F.lit(True).alias("known_member"),
+        "city AS member_city",
+        "state AS member_state",
+        "latitude AS home_lat",
+        "longitude AS home_lon",
+        "true AS known_member",
     )
-    site = facilities.select(
+    site = facilities.selectExpr(
         "facility_id",
-        F.col("city").alias("care_city"),
+        "city AS care_city",
         "ownership",
         "facility_type",
-        F.col("latitude").alias("site_lat"),
-        F.col("longitude").alias("site_lon"),
-        F.lit(True).alias("known_site"),
+        "latitude AS site_lat",
+        "longitude AS site_lon",
+        "true AS known_site",
     )
     miles = distance_miles(F.col("home_lat"), F.col("home_lon"), F.col("site_lat"), F.col("site_lon"))
     return (
@@ -85,7 +88,7 @@ def located_claims(
             *keys,
             "ownership",
             "facility_type",
-            (F.col("known_member") & F.col("known_site")).alias("placed"),
+            F.expr("known_member AND known_site AS placed"),
             miles.alias("miles"),
             *ADDITIVE,
         )
@@ -129,22 +132,19 @@ def member_counts(members: DataFrame, as_of: date) -> DataFrame:
 
 
 def footprint(facility_metrics: DataFrame) -> DataFrame:
-    owned = F.col("ownership") == "owned"
-
-    def owned_of(kind: str) -> Column:
-        return F.count_if(owned & (F.col("facility_type") == kind))
-
-    return facility_metrics.groupBy("city").agg(
-        owned_of("clinic").alias("owned_clinics"),
-        owned_of("hospital").alias("owned_hospitals"),
-        owned_of("urgent_care").alias("owned_urgent_care"),
-        F.count_if(owned).alias("owned_facilities"),
-        F.count_if(F.col("ownership") == "partner").alias("partner_facilities"),
-        sum_if(owned, F.col("providers_based")).alias("providers_based_owned"),
-        F.sum("appts_completed").alias("appts_completed"),
-        sum_if(owned, F.col("total_beds")).alias("owned_beds"),
-        sum_if(owned, F.col("total_ors")).alias("owned_ors"),
-    )
+    sites = facility_metrics.selectExpr("*", "ownership = 'owned' AS own", "facility_type AS kind")
+    measures = {
+        "owned_clinics": "count_if(own AND kind = 'clinic')",
+        "owned_hospitals": "count_if(own AND kind = 'hospital')",
+        "owned_urgent_care": "count_if(own AND kind = 'urgent_care')",
+        "owned_facilities": "count_if(own)",
+        "partner_facilities": "count_if(ownership = 'partner')",
+        "providers_based_owned": "sum(if(own, providers_based, NULL))",
+        "appts_completed": "sum(appts_completed)",
+        "owned_beds": "sum(if(own, total_beds, NULL))",
+        "owned_ors": "sum(if(own, total_ors, NULL))",
+    }
+    return sites.groupBy("city").agg(*[F.expr(f"{m} AS {n}") for n, m in measures.items()])
 
 
 def market_spend(located: DataFrame) -> DataFrame:
@@ -153,51 +153,52 @@ def market_spend(located: DataFrame) -> DataFrame:
     The owned paid share is a window over market x line sums, so its partitions hold
     one row per market and never claim-grain rows.
     """
-    allowed, paid, n = F.col("allowed"), F.col("paid"), F.col("claims")
-    placed = F.coalesce(F.col("placed"), F.lit(False))
-    owned_site = placed & (F.col("ownership") == "owned")
-    elsewhere = placed & (F.col("ownership") != "owned")
-    local = placed & (F.col("member_city") == F.col("care_city"))
-    owned_claim = F.col("network_status") == "owned"
-    per_line = Window.partitionBy("service_line")
-    lines = (
-        located.groupBy(F.col("member_city").alias("city"), "service_line")
-        .agg(
-            sum_if(placed, n).alias("n"),
-            sum_if(placed, allowed).alias("allowed"),
-            sum_if(placed, paid).alias("paid"),
-            sum_or_zero(owned_site, allowed).alias("allowed_owned"),
-            sum_or_zero(local, allowed).alias("allowed_local"),
-            sum_or_zero(local, n).alias("n_local"),
-            sum_or_zero(placed & (F.col("miles") > FAR_MILES), n).alias("n_far"),
-            sum_if(elsewhere, paid).alias("paid_elsewhere"),
-            sum_if(elsewhere, allowed).alias("allowed_elsewhere"),
-            sum_if(owned_claim, F.col("ratio_sum")).alias("owned_sum"),
-            sum_if(owned_claim, F.col("ratio_rows")).alias("owned_rows"),
-        )
-        .withColumn(
-            "owned_ratio",
-            ratio(F.sum("owned_sum").over(per_line), F.sum("owned_rows").over(per_line)),
-        )
+    flagged = located.selectExpr(
+        "member_city AS city",
+        "service_line",
+        "coalesce(placed, false) AS placed",
+        "placed AND ownership = 'owned' AS at_owned",
+        "placed AND ownership <> 'owned' AS elsewhere",
+        "placed AND member_city = care_city AS at_home",
+        f"placed AND miles > {FAR_MILES} AS far",
+        "network_status = 'owned' AS owned_claim",
+        *ADDITIVE,
     )
-    acute = is_acute(F.col("service_line"))
-    return (
-        lines.filter("city IS NOT NULL AND n > 0")
-        .groupBy("city")
-        .agg(
-            F.sum("n").alias("claims"),
-            F.sum("allowed").alias("allowed"),
-            F.sum("paid").alias("paid"),
-            F.sum("allowed_owned").alias("allowed_owned"),
-            F.sum("allowed_local").alias("allowed_local"),
-            sum_if(acute, F.col("n")).alias("acute_claims"),
-            sum_if(acute, F.col("allowed")).alias("acute_allowed"),
-            sum_or_zero(acute, F.col("n_local")).alias("acute_local"),
-            sum_or_zero(acute, F.col("n_far")).alias("acute_far"),
-            sum_if(acute, F.col("paid_elsewhere")).alias("nonowned_paid"),
-            sum_if(acute, F.col("allowed_elsewhere").cast("double") * F.col("owned_ratio")).alias("if_owned"),
-        )
+    by_line = {
+        "n": "sum(if(placed, claims, NULL))",
+        "allowed": "sum(if(placed, allowed, NULL))",
+        "paid": "sum(if(placed, paid, NULL))",
+        "allowed_owned": "sum(if(at_owned, allowed, 0))",
+        "allowed_local": "sum(if(at_home, allowed, 0))",
+        "n_local": "sum(if(at_home, claims, 0))",
+        "n_far": "sum(if(far, claims, 0))",
+        "paid_elsewhere": "sum(if(elsewhere, paid, NULL))",
+        "allowed_elsewhere": "sum(if(elsewhere, allowed, NULL))",
+        "owned_sum": "sum(if(owned_claim, ratio_sum, NULL))",
+        "owned_rows": "sum(if(owned_claim, ratio_rows, NULL))",
+    }
+    per_line = "OVER (PARTITION BY service_line)"
+    lines = (
+        flagged.groupBy("city", "service_line")
+        .agg(*[F.expr(f"{m} AS {n}") for n, m in by_line.items()])
+        .selectExpr("*", f"try_divide(sum(owned_sum) {per_line}, sum(owned_rows) {per_line}) AS owned_ratio")
+        .filter("city IS NOT NULL AND n > 0")
+        .withColumn("acute", is_acute(F.col("service_line")))
     )
+    by_market = {
+        "claims": "sum(n)",
+        "allowed": "cast(sum(allowed) AS double)",
+        "paid": "cast(sum(paid) AS double)",
+        "allowed_owned": "cast(sum(allowed_owned) AS double)",
+        "allowed_local": "cast(sum(allowed_local) AS double)",
+        "acute_claims": "sum(if(acute, n, NULL))",
+        "acute_allowed": "cast(sum(if(acute, allowed, NULL)) AS double)",
+        "acute_local": "sum(if(acute, n_local, 0))",
+        "acute_far": "sum(if(acute, n_far, 0))",
+        "nonowned_musd": "cast(sum(if(acute, paid_elsewhere, NULL)) AS double) / 1e6D",
+        "if_owned_musd": "sum(if(acute, cast(allowed_elsewhere AS double) * owned_ratio, NULL)) / 1e6D",
+    }
+    return lines.groupBy("city").agg(*[F.expr(f"{m} AS {n}") for n, m in by_market.items()])
 
 
 def acute_distance(located: DataFrame) -> DataFrame:
@@ -223,18 +224,19 @@ def market_summary(
 ) -> DataFrame:
     # consumed by the sums and by the median: written once, read twice
     located = staged(located_claims(claims, members, facilities, span))
-    spend = market_spend(located)
-    nonowned, if_owned = millions(F.col("nonowned_paid")), F.col("if_owned") / 1e6
 
-    def whole(name: str, label: str | None = None) -> Column:
-        return or_zero(F.col(name)).cast("long").alias(label or name)
+    def whole(name: str, label: str | None = None) -> str:
+        return f"coalesce({name}, 0) AS {label or name}"
+
+    def pct(part: str, of: str) -> str:
+        return f"round(try_divide(100D * {part}, {of}), 1)"
 
     return (
         member_counts(members, as_of)
         .join(footprint(facility_metrics), "city", "left")
-        .join(spend, "city", "left")
+        .join(market_spend(located), "city", "left")
         .join(acute_distance(located), "city", "left")
-        .select(
+        .selectExpr(
             "city",
             "state",
             "members_total",
@@ -249,18 +251,18 @@ def market_summary(
             whole("providers_based_owned"),
             whole("appts_completed", "appts_completed_at_facilities_here"),
             "claims",
-            F.round(millions(F.col("allowed")), 1).alias("allowed_musd"),
-            F.round(millions(F.col("paid")), 1).alias("plan_paid_musd"),
-            F.round(share_pct(F.col("allowed_owned"), F.col("allowed")), 1).alias("pct_allowed_owned"),
-            F.round(share_pct(F.col("allowed_local"), F.col("allowed")), 1).alias("pct_allowed_in_market"),
+            "round(allowed / 1e6D, 1) AS allowed_musd",
+            "round(paid / 1e6D, 1) AS plan_paid_musd",
+            f"{pct('allowed_owned', 'allowed')} AS pct_allowed_owned",
+            f"{pct('allowed_local', 'allowed')} AS pct_allowed_in_market",
             "acute_claims",
-            F.round(millions(F.col("acute_allowed")), 1).alias("acute_allowed_musd"),
-            F.round(share_pct(F.col("acute_local"), F.col("acute_claims")), 1).alias("pct_acute_in_market"),
-            F.round("median_miles", 1).alias("median_miles_to_acute"),
-            F.round(share_pct(F.col("acute_far"), F.col("acute_claims")), 1).alias("pct_acute_over_30mi"),
-            F.round(nonowned, 1).alias("nonowned_acute_plan_paid_musd"),
-            F.round(if_owned, 1).alias("acute_if_owned_plan_paid_musd"),
-            F.round(nonowned - if_owned, 1).alias("recapture_plan_paid_musd"),
+            "round(acute_allowed / 1e6D, 1) AS acute_allowed_musd",
+            f"{pct('acute_local', 'acute_claims')} AS pct_acute_in_market",
+            "round(median_miles, 1) AS median_miles_to_acute",
+            f"{pct('acute_far', 'acute_claims')} AS pct_acute_over_30mi",
+            "round(nonowned_musd, 1) AS nonowned_acute_plan_paid_musd",
+            "round(if_owned_musd, 1) AS acute_if_owned_plan_paid_musd",
+            "round(nonowned_musd - if_owned_musd, 1) AS recapture_plan_paid_musd",
         )
     )
 

@@ -131,7 +131,7 @@ def normalized_names(w: Workspace) -> DataFrame:
 
 @register("accents_stripped")
 def accents_stripped(w: Workspace) -> DataFrame:
-    return w.net.documents().select(
+    return w.table("documents").select(
         "doc_id", F.md5(text.strip_accents(F.col("text")).cast("binary")).alias("stripped_md5")
     )
 
@@ -154,7 +154,7 @@ def name_similarity(w: Workspace) -> DataFrame:
 @register("phrase_similarity")
 def phrase_similarity(w: Workspace) -> DataFrame:
     """Similarity of neighbouring answers' openings: long, accented, multi-byte text."""
-    turns = w.net.answers().select("conv_id", "turn", F.lower("text").alias("text"))
+    turns = w.table("answers").select("conv_id", "turn", F.lower("text").alias("text"))
     following = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("reply"))
     return turns.join(following, ["conv_id", "turn"]).select(
         "conv_id", "turn", F.round(similarity.jaro_winkler(F.col("text"), F.col("reply")), 6).alias("similarity")
@@ -191,7 +191,7 @@ QUERIES |= {
     "identity_crosswalk": lambda w: rounded(w.identity_xwalk, 6, "match_confidence"),
     "build_metadata": lambda w: w.build_metadata(BUILT_AT),
     "observations_monthly": lambda w: rounded(
-        freshness.observations_monthly(w.net.observations()), 6, "avg_value_numeric"
+        freshness.observations_monthly(w.table("ehr_observations")), 6, "avg_value_numeric"
     ),
     "site_staffing": lambda w: facility.staffing(w.table("ops_providers")),
     "site_panel": lambda w: facility.panel(w.table("ops_providers"), members(w), w.as_of),
@@ -435,16 +435,16 @@ def truth(w: Workspace) -> DataFrame:
 
 
 def screened(w: Workspace) -> DataFrame:
-    return screening.banned_phrases(w.net.answers(), PHRASES)
+    return screening.banned_phrases(w.table("answers"), PHRASES)
 
 
 def classified(w: Workspace) -> DataFrame:
-    return screening.classify(w.net.answers(), ENTITIES, MARKERS)
+    return screening.classify(w.table("answers"), ENTITIES, MARKERS)
 
 
 def destained(w: Workspace) -> DataFrame:
     return screening.without_named_blocks(
-        w.net.documents(), DOCUMENT_ENTITIES, r"\n(?=[AEIOU])", "[AEIOU]"
+        w.table("documents"), DOCUMENT_ENTITIES, r"\n(?=[AEIOU])", "[AEIOU]"
     )
 
 
@@ -458,7 +458,7 @@ QUERIES |= {
     "corrupted_records": lambda w: measure.corrupt(w.table("ehr_patients")),
     "link_recall": lambda w: measure.recall(truth(w), members(w)),
     "banned_phrases": lambda w: screened(w).select("conv_id", "turn", "banned", "passed"),
-    "phrase_counts": lambda w: screening.phrase_counts(w.net.answers(), PHRASES),
+    "phrase_counts": lambda w: screening.phrase_counts(w.table("answers"), PHRASES),
     "pass_rates": lambda w: screening.pass_rates(screened(w), "role"),
     "answer_classes": lambda w: classified(w).select("conv_id", "turn", "recommendation", *MARKERS),
     "answer_consensus": lambda w: screening.consensus(classified(w)),

@@ -9,6 +9,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
+from sitelens.plans.workspace import Workspace
 from sitelens.sources.extract import exists
 
 # fixed values: mart order, and name parts a portable column must not contain
@@ -36,20 +37,33 @@ def materialize(df: DataFrame, path: str) -> int:
     return seen.get["rows"]
 
 
-def build_marts(marts: Mapping[str, DataFrame], root: str, version: str) -> dict[str, int]:
-    """All marts of one version, in dependency order, into a folder no reader looks at yet."""
-    return {n: materialize(marts[n], f"{root}/v={version}/{n}") for n in MART_ORDER if n in marts}
+def build_marts(work: Workspace, root: str, version: str) -> dict[str, int]:
+    """Write every mart of one version into a folder no reader looks at yet.
+
+    Marts go in dependency order, and a later mart reads the earlier ones back from
+    what was written instead of computing them again.
+    """
+    counts = {}
+    for name in MART_ORDER:
+        df = work.build_metadata() if name == "build_metadata" else getattr(work, name)
+        path = f"{root}/v={version}/{name}"
+        counts[name] = materialize(df, path)
+        work.use(name, df.sparkSession.read.schema(df.schema).parquet(path))
+    return counts
 
 
-def publish(spark: SparkSession, marts: Mapping[str, DataFrame], root: str, version: str, at: datetime) -> dict[str, int]:
-    """Build a version aside, then make it current by appending one row to the log.
+def publish(work: Workspace, root: str, version: str, at: datetime) -> dict[str, int]:
+    """Build a version aside, then make it current by appending to the publish log.
 
     Readers resolve the version through the log, so they see the previous set or the
     new one, and files of the previous set stay untouched while they read.
     """
-    counts = build_marts(marts, root, version)
-    entry = spark.createDataFrame([(version, at, name, n) for name, n in counts.items()],
-                                  "version string, published_at timestamp_ntz, mart string, n_rows bigint")
+    counts = build_marts(work, root, version)
+    spark = work.net.spark
+    entry = spark.createDataFrame(
+        [(version, at, name, n) for name, n in counts.items()],
+        "version string, published_at timestamp_ntz, mart string, n_rows bigint",
+    )
     entry.coalesce(1).write.mode("append").parquet(f"{root}/log")  # one row per mart
     return counts
 

@@ -278,9 +278,9 @@ def acute_miles_by_market(
     placed = market.placed_claims(
         claims.filter(market.is_acute(F.col("service_line"))), members, facilities
     ).withColumnRenamed("member_city", "city")
-    counts = placed.groupBy("city").agg(F.sum("claims").alias("n")).filter(F.col("n") > min_claims)
-    median = exact_quantiles(placed, ["city"], "miles", {"median_miles": 0.5}, MILES_BIN, weight="claims")
-    return counts.join(median, "city")
+    return exact_quantiles(
+        placed, ["city"], "miles", {"median_miles": 0.5}, MILES_BIN, weight="claims", rows="n"
+    ).filter(F.col("n") > min_claims)
 
 
 def market_ranking_raw(

@@ -17,7 +17,12 @@ class Workspace:
 
     def __init__(self, net: Network, span: Span, as_of: date, published: dict[str, DataFrame] | None = None):
         self.net, self.span, self.as_of = net, span, as_of
-        self.published = published or {}
+        self.published = dict(published or {})
+
+    def use(self, name: str, written: DataFrame) -> None:
+        """Read a mart from where it was written from now on."""
+        self.published[name] = written
+        self.__dict__.pop(name, None)
 
     def table(self, name: str) -> DataFrame:
         return self.net.table(name)

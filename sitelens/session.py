@@ -16,6 +16,8 @@ RUNTIME = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.timeType.enabled": "true",
+    # call-site capture costs two driver round trips per column expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

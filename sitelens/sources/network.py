@@ -7,10 +7,13 @@ of another type fails the read instead of being cast.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from sitelens.functions.scale import broadcast_within
+from sitelens.functions.scale import has_at_most
 from sitelens.functions.temporal import Span, in_span
 
 # fixed values: column names and types of the source tables
@@ -88,14 +91,14 @@ SCHEMAS: dict[str, str] = {
 class Network:
     """Source tables by name, with a size-checked view of the facility dimension."""
 
-    # event columns that a window may prune on, and their types
+    # event columns that a window may prune on
     EVENT = {
-        "payer_claims": ("service_date", "date"),
-        "ops_appointments": ("scheduled_dt_local", "timestamp_ntz"),
-        "ehr_encounters": ("admission_dt", "timestamp_ntz"),
-        "ops_or_schedule": ("scheduled_start_dt_local", "timestamp_ntz"),
-        "ops_bed_census_daily": ("census_date", "date"),
-        "ops_referrals": ("issued_dt", "timestamp_ntz"),
+        "payer_claims": "service_date",
+        "ops_appointments": "scheduled_dt_local",
+        "ehr_encounters": "admission_dt",
+        "ops_or_schedule": "scheduled_start_dt_local",
+        "ops_bed_census_daily": "census_date",
+        "ops_referrals": "issued_dt",
     }
 
     def __init__(self, spark: SparkSession):
@@ -107,26 +110,32 @@ class Network:
 
     def within(self, name: str, span: Span) -> DataFrame:
         """Rows of ``name`` whose event date lies in ``span``; the filter reaches the scan."""
-        column, kind = self.EVENT[name]
-        return self.table(name).filter(in_span(F.col(column), span, kind))
+        df = self.table(name)
+        column = self.EVENT[name]
+        return df.filter(in_span(F.col(column), span, df.schema[column].dataType))
 
     def small(self, name: str) -> DataFrame:
         """``name`` with a broadcast hint if, and only if, its counted size allows it."""
         if name not in self._small:
-            self._small[name] = broadcast_within(self.table(name))
+            fits = has_at_most(self.rows_behind(name))
+            self._small[name] = F.broadcast(self.table(name)) if fits else self.table(name)
         return self._small[name]
 
+    def rows_behind(self, name: str) -> DataFrame:
+        """What to count to bound the size of ``name``."""
+        return self.table(name)
+
 
 class ParquetNetwork(Network):
-    """One parquet folder (or file) per table under ``root``."""
+    """One parquet folder (or file) per table under ``root``, read with declared schemas."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, schemas: Mapping[str, str | StructType] = SCHEMAS):
         super().__init__(spark)
-        self.root = root.rstrip("/")
+        self.root, self.schemas = root.rstrip("/"), schemas
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.root}/{name}.parquet")
+        return self.spark.read.schema(self.schemas[name]).parquet(f"{self.root}/{name}.parquet")
 
-    def register_views(self, names: list[str] | None = None) -> None:
-        for name in names or SCHEMAS:
+    def register_views(self, names: Iterable[str] | None = None) -> None:
+        for name in names or self.schemas:
             self.table(name).createOrReplaceTempView(f"raw_{name}")

@@ -52,8 +52,26 @@ STATUS = {
 }
 
 
+# fixed values: columns of the generated files that the derivations read
+BASE = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 def pick(options: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(o) for o in options]), (index + 1).cast("int"))
+    return F.get(F.split(F.lit(",".join(options)), ","), index.cast("int"))
 
 
 def money(col: Column) -> Column:
@@ -61,12 +79,22 @@ def money(col: Column) -> Column:
 
 
 class StandIn(Network):
+    NAMES = (
+        "ops_facilities", "payer_members", "ehr_patients", "ops_providers", "payer_plans",
+        "payer_employers", "outreach_wellness_programs", "external_drive_time_isochrones",
+        "payer_claims", "ops_appointments", "ehr_encounters", "ops_or_schedule",
+        "ops_bed_census_daily", "ehr_observations", "ops_referrals", "ehr_conditions",
+        "pharmacy_rx_claims", "payer_member_eligibility_history", "outreach_program_enrollments",
+        "answers", "documents",
+    )
+
     def __init__(self, spark: SparkSession, folder: str):
         super().__init__(spark)
         self.folder = folder.rstrip("/")
+        self._built: dict[tuple[str, Span | None], DataFrame] = {}
 
     def base(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(BASE[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def _count(self, name: str) -> Column:
         return self.base(name).agg(F.count("*").alias("n")).scalar()
@@ -80,15 +108,25 @@ class StandIn(Network):
         return self._count("part")
 
     def table(self, name: str) -> DataFrame:
-        return getattr(self, f"_{name}")()
+        return self._derived(name, None)
 
     def within(self, name: str, span: Span) -> DataFrame:
         if name == "ops_bed_census_daily":
             return super().within(name, span)
         if name == "ops_appointments":
             shift = timedelta(days=EVENT_SHIFT_DAYS)
-            return self._ops_appointments(Span(span.lo + shift, span.hi + shift))
-        return getattr(self, f"_{name}")(span)
+            span = Span(span.lo + shift, span.hi + shift)
+        return self._derived(name, span)
+
+    def _derived(self, name: str, span: Span | None) -> DataFrame:
+        if (name, span) not in self._built:
+            derive = getattr(self, f"_{name}")
+            self._built[name, span] = derive(span) if span else derive()
+        return self._built[name, span]
+
+    def rows_behind(self, name: str) -> DataFrame:
+        # one facility per supplier: no need to place them to count them
+        return self.base("supplier") if name == "ops_facilities" else self.table(name)
 
     # --- dimensions -------------------------------------------------------
 
@@ -164,7 +202,7 @@ class StandIn(Network):
             F.substring(last, 2, 1),
             F.expr("substring(last_name, 4)"),
         )
-        members = self._payer_members()
+        members = self.table("payer_members")
         real = members.filter(k % 8 != 7).select(
             F.concat(F.lit("P"), k.cast("string")).alias("patient_id"),
             F.when(case == 4, F.concat(F.upper(first), F.lit(" ")))
@@ -341,7 +379,7 @@ class StandIn(Network):
             F.col("site_beds") - F.floor(F.col("site_beds") / 5)
         )
         return (
-            self._ops_facilities()
+            self.table("ops_facilities")
             .filter(F.col("facility_type") == "hospital")
             .select(
                 k,
@@ -362,7 +400,7 @@ class StandIn(Network):
             )
         )
 
-    def observations(self) -> DataFrame:
+    def _ehr_observations(self) -> DataFrame:
         """Row-grain observations; the monthly rollup is the table the network keeps."""
         k = F.get_json_object("props", "$.k").cast("int")
         flag = (
@@ -409,7 +447,7 @@ class StandIn(Network):
         )
 
     def _payer_member_eligibility_history(self) -> DataFrame:
-        return self._payer_members().select(
+        return self.table("payer_members").select(
             F.col("member_id").alias("eligibility_id"),
             "member_id",
             "plan_id",
@@ -426,8 +464,10 @@ class StandIn(Network):
             F.when(k % 4 == 0, "completed").otherwise("active").alias("status"),
         )
 
-    def answers(self) -> DataFrame:
+    # texts, screened as written answers and as documents
+
+    def _answers(self) -> DataFrame:
         return self.base("conversations")
 
-    def documents(self) -> DataFrame:
+    def _documents(self) -> DataFrame:
         return self.base("documents")
