@@ -16,8 +16,8 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
+import uuid
 from datetime import datetime
 
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -58,6 +58,7 @@ MART = [
 
 
 def main() -> None:
+    from sitelens.functions.scale import shared_dir
     from sitelens.plans import catalog, publish
     from sitelens.plans.workspace import Workspace
     from sitelens.session import local_session
@@ -66,7 +67,7 @@ def main() -> None:
     from sitelens.sources.stand_in import AS_OF, SPAN, StandIn
 
     spark = local_session(CPUS, shuffle_partitions=int(CPUS))
-    scratch = tempfile.mkdtemp(prefix="bench-")
+    scratch = f"{shared_dir(spark)}/bench-{uuid.uuid4().hex}"
     cold: dict[str, float] = {}
     warm: dict[str, float] = {}
 

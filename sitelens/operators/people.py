@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sitelens.functions.geo import inside_ring, ring_points
 from sitelens.functions.measures import share_pct
+from sitelens.functions.scale import staged
 from sitelens.functions.temporal import Span, active_on, age_years
 
 
@@ -77,9 +78,9 @@ def condition_prevalence(
     conditions: DataFrame, xwalk: DataFrame, members: DataFrame, city: str
 ) -> DataFrame:
     """Distinct linked members per condition; the denominator is linked members only."""
-    linked = xwalk.join(members.filter(F.col("city") == city).select("member_id"), "member_id").select(
-        "patient_id", "member_id"
-    )
+    local = members.filter(F.col("city") == city).select("member_id")
+    # read for the denominator and for the join
+    linked = staged(xwalk.join(local, "member_id").select("patient_id", "member_id"))
     total = linked.agg(F.count("*")).scalar()
     return (
         conditions.select("patient_id", "condition_name")

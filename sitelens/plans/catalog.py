@@ -101,6 +101,19 @@ def all_tables(w: Workspace) -> dict[str, DataFrame]:
     return {name: w.table(source) for name, source in TABLES.items()}
 
 
+def settled(*names: str) -> Callable[[Query], Query]:
+    """Settle marts before a query that reads them more than once."""
+
+    def wrap(query: Query) -> Query:
+        def run(w: Workspace) -> DataFrame:
+            w.settle(*names)
+            return query(w)
+
+        return run
+
+    return wrap
+
+
 def clinic_facts(w: Workspace) -> DataFrame:
     return utilization.clinic_facts(
         sites(w),
@@ -224,20 +237,26 @@ QUERIES |= {
     "corridor_catchment": lambda w: siting.catchment(
         w.table("ops_facilities"), members(w), FOCUS, CORRIDOR, w.as_of
     ),
-    "capacity_sizing": lambda w: siting.capacity_sizing(
-        w.net.spark, w.facility_metrics, w.market_summary, ANCHOR_SITE, CATCHMENTS
+    "capacity_sizing": settled("facility_metrics", "market_summary")(
+        lambda w: siting.capacity_sizing(
+            w.net.spark, w.facility_metrics, w.market_summary, ANCHOR_SITE, CATCHMENTS
+        )
     ),
     "share_served_in_corridor": lambda w: siting.share_served_in_corridor(w.market_flows, CORRIDOR),
     "recapture_by_line": lambda w: siting.recapture_by_line(w.market_flows, CORRIDOR),
-    "facility_benchmark": lambda w: siting.facility_benchmark(w.facility_metrics, w.market_summary, ANCHOR_SITE),
+    "facility_benchmark": settled("facility_metrics")(
+        lambda w: siting.facility_benchmark(w.facility_metrics, w.market_summary, ANCHOR_SITE)
+    ),
     "utilization_range": lambda w: siting.utilization_range(w.facility_metrics),
     "paid_share_by_status": lambda w: siting.paid_share_by_status(claims(w), w.span.lo),
     "top_recapture": lambda w: siting.top_recapture(w.market_summary),
     "reachable_catchment": lambda w: siting.reachable_catchment(
         w.table("ops_facilities"), members(w), FOCUS, "NATION_8", w.as_of
     ),
-    "sizing_anchors": lambda w: siting.sizing_anchors(
-        w.facility_metrics, w.market_summary, ANCHOR_SITE, CATCHMENT
+    "sizing_anchors": settled("facility_metrics", "market_summary")(
+        lambda w: siting.sizing_anchors(
+            w.facility_metrics, w.market_summary, ANCHOR_SITE, CATCHMENT
+        )
     ),
     "active_member_acute_miles": lambda w: rounded(
         siting.acute_miles_by_market(
@@ -326,11 +345,13 @@ QUERIES |= {
 
 
 def path_tables(w: Workspace) -> dict[str, DataFrame]:
+    w.settle("identity_xwalk")
     names = {n for p in quality.JOIN_PATHS for n in (p.left, p.right)} - {"identity_xwalk"}
     return {n: w.table(n) for n in names} | {"identity_xwalk": w.identity_xwalk}
 
 
 def conclusion_bands(w: Workspace) -> list[quality.Band]:
+    w.settle("facility_metrics", "market_summary")
     own_clinic = (F.col("ownership") == "owned") & (F.col("facility_type") == "clinic")
     return [
         quality.Band("bed_occupancy_mean", w.facility_metrics, F.avg("bed_occupancy_pct"), 54.0, 55.0),
@@ -348,6 +369,7 @@ def conclusion_bands(w: Workspace) -> list[quality.Band]:
 
 
 def reconciliation(w: Workspace) -> DataFrame:
+    w.settle("facility_metrics", "market_summary")
     done = F.count_if(F.col("status") == "completed")
     raw_claims = w.windowed("payer_claims")
     return quality.reconcile(
@@ -384,8 +406,10 @@ QUERIES |= {
     "first_date_ranges": lambda w: quality.first_date_ranges(quality.profile(all_tables(w))),
     "profile_drift": late_profile,
     "table_emptiness": lambda w: quality.table_emptiness(all_tables(w)),
-    "crosswalk_invariants": lambda w: quality.crosswalk_invariants(
-        w.identity_xwalk, w.table("ehr_patients"), identity.THRESHOLD
+    "crosswalk_invariants": settled("identity_xwalk")(
+        lambda w: quality.crosswalk_invariants(
+            w.identity_xwalk, w.table("ehr_patients"), identity.THRESHOLD
+        )
     ),
     "links_by_method": lambda w: quality.links_by_method(w.identity_xwalk),
     "observed_windows": lambda w: quality.observed_windows(
@@ -395,22 +419,26 @@ QUERIES |= {
     "providers_per_site": lambda w: quality.providers_per_site(w.table("ops_appointments")),
     "sites_per_provider": lambda w: quality.sites_per_provider(w.table("ops_appointments"), sites(w)),
     "mart_reconciliation": reconciliation,
-    "mart_grain": lambda w: quality.stacked(
-        [
-            quality.grain("facility_metrics", w.facility_metrics, ["facility_id"]),
-            quality.grain("market_summary", w.market_summary, ["city"]),
-            quality.grain(
-                "market_flows", w.market_flows, ["member_city", "care_city", "service_line", "network_status"]
-            ),
-            quality.grain("identity_xwalk", w.identity_xwalk, ["patient_id", "member_id"]),
-        ]
+    "mart_grain": settled("facility_metrics", "identity_xwalk")(
+        lambda w: quality.stacked(
+            [
+                quality.grain("facility_metrics", w.facility_metrics, ["facility_id"]),
+                quality.grain("market_summary", w.market_summary, ["city"]),
+                quality.grain(
+                    "market_flows", w.market_flows, ["member_city", "care_city", "service_line", "network_status"]
+                ),
+                quality.grain("identity_xwalk", w.identity_xwalk, ["patient_id", "member_id"]),
+            ]
+        )
     ),
     "claim_key_grain": lambda w: quality.grain("claims", claims(w), ["member_id", "facility_id", "service_date"]),
     "duplicate_claim_days": lambda w: quality.duplicate_keys(claims(w), ["member_id", "service_date"]),
     "flows_against_summary": lambda w: quality.flows_against_summary(w.market_flows, w.market_summary),
     "metadata_counts": lambda w: quality.metadata_counts(w.build_metadata(BUILT_AT), w.sources()),
     "claims_lag": lambda w: quality.lag_distribution(claims(w), "service_date", "processed_date"),
-    "uniformity": lambda w: quality.uniformity(w.facility_metrics, w.market_summary, MIN_ACTIVE),
+    "uniformity": settled("facility_metrics", "market_summary")(
+        lambda w: quality.uniformity(w.facility_metrics, w.market_summary, MIN_ACTIVE)
+    ),
     "conclusion_bands": lambda w: quality.band_checks(conclusion_bands(w)),
     "stale_builds": lambda w: freshness.stale_builds(w.build_metadata(BUILT_AT), BUILT_AT + timedelta(hours=27)),
     "landed_since": lambda w: extract.landed_since(claims(w), "processed_date", date(2001, 5, 1))

@@ -7,6 +7,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
+from sitelens.functions.scale import staged
 from sitelens.functions.temporal import Span
 from sitelens.operators import facility, freshness, identity, market
 from sitelens.sources.network import Network
@@ -24,6 +25,12 @@ class Workspace:
         self.published[name] = written
         self.__dict__.pop(name, None)
 
+    def settle(self, *names: str) -> None:
+        """Write marts that the query at hand reads several times, and read those."""
+        for name in names:
+            if name not in self.published:
+                self.use(name, staged(getattr(self, name)))
+
     def table(self, name: str) -> DataFrame:
         return self.net.table(name)
 

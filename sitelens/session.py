@@ -34,6 +34,9 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, **extra: str
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # a few megabytes should still use all cores of one machine
+        .config("spark.sql.files.openCostInBytes", "262144")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
     )
     for key, value in {**RUNTIME, **extra}.items():
         builder = builder.config(key, value)

@@ -64,14 +64,25 @@ def with_provenance(df: DataFrame, origin: str = "source") -> DataFrame:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a completed write is there: its success marker is."""
     try:
-        spark.read.parquet(path).schema
+        spark.read.format("binaryFile").load(f"{path}/_SUCCESS").schema
         return True
     except AnalysisException:
         return False
 
 
-def extract(df: DataFrame, path: str) -> int | None:
+def in_event_order(df: DataFrame, event_column: str) -> DataFrame:
+    """Files that each cover a short stretch of event dates, for pruning by file statistics.
+
+    The second sort key is a row hash, so that a single day holding very many rows is
+    still cut into several files.
+    """
+    spread = F.xxhash64(*[F.col(c) for c in df.columns])
+    return df.repartitionByRange(F.col(event_column), spread).sortWithinPartitions(event_column)
+
+
+def extract(df: DataFrame, path: str, event_column: str | None = None) -> int | None:
     """Write ``df`` once as zstd parquet; an existing extract is kept.
 
     Returns the rows written, counted during the write, or None when skipped.  The
@@ -81,6 +92,8 @@ def extract(df: DataFrame, path: str) -> int | None:
         return None
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    if event_column:
+        counted = in_event_order(counted, event_column)
     counted.write.option("compression", "zstd").parquet(path)
     return seen.get["rows"]
 
@@ -88,7 +101,7 @@ def extract(df: DataFrame, path: str) -> int | None:
 def extract_network(net: Network, names: Iterable[str], root: str) -> tuple[dict[str, int | None], ParquetNetwork]:
     """Extract tables under ``root`` and open them there, with the types they had."""
     frames = {name: net.table(name) for name in names}
-    rows = {name: extract(df, f"{root}/{name}.parquet") for name, df in frames.items()}
+    rows = {n: extract(df, f"{root}/{n}.parquet", net.EVENT.get(n)) for n, df in frames.items()}
     return rows, ParquetNetwork(net.spark, root, {name: df.schema for name, df in frames.items()})
 
 
