@@ -40,7 +40,7 @@ def crosswalk(patients: str, scope: str = "") -> str:
                      strip_accents(lower(trim(last_name))) AS ln, dob, gender, zip FROM members),
             same_key AS MATERIALIZED (
               SELECT who.*, whom.member_id, whom.zip AS other_zip, whom.gender AS other_gender
-              FROM who JOIN whom ON (who.fn, who.ln, who.dob) = (whom.fn, whom.ln, whom.dob)),
+              FROM who JOIN whom ON who.fn = whom.fn AND who.ln = whom.ln AND who.dob = whom.dob),
             settled AS MATERIALIZED (
               SELECT {sc}patient_id, min(member_id) AS member_id, 'exact' AS match_method
               FROM same_key GROUP BY ALL HAVING count(*) = 1

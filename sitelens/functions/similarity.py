@@ -74,7 +74,9 @@ def similarity_of(left: pd.Series, right: pd.Series) -> pd.Series:
 
 
 def jaro_winkler(left: Column, right: Column) -> Column:
-    udf = F.pandas_udf(similarity_of, DoubleType())
+    """Declared non-deterministic so that a filter on the result is not pushed below it,
+    which would evaluate it once for the filter and once more for the value."""
+    udf = F.pandas_udf(similarity_of, DoubleType()).asNondeterministic()
     return udf(left, right)
 
 

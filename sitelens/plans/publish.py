@@ -37,14 +37,16 @@ def materialize(df: DataFrame, path: str) -> int:
     return seen.get["rows"]
 
 
-def build_marts(work: Workspace, root: str, version: str) -> dict[str, int]:
+def build_marts(
+    work: Workspace, root: str, version: str, names: Iterable[str] = MART_ORDER
+) -> dict[str, int]:
     """Write every mart of one version into a folder no reader looks at yet.
 
     Marts go in dependency order, and a later mart reads the earlier ones back from
     what was written instead of computing them again.
     """
     counts = {}
-    for name in MART_ORDER:
+    for name in names:
         df = work.build_metadata() if name == "build_metadata" else getattr(work, name)
         path = f"{root}/v={version}/{name}"
         counts[name] = materialize(df, path)
@@ -52,13 +54,15 @@ def build_marts(work: Workspace, root: str, version: str) -> dict[str, int]:
     return counts
 
 
-def publish(work: Workspace, root: str, version: str, at: datetime) -> dict[str, int]:
+def publish(
+    work: Workspace, root: str, version: str, at: datetime, names: Iterable[str] = MART_ORDER
+) -> dict[str, int]:
     """Build a version aside, then make it current by appending to the publish log.
 
     Readers resolve the version through the log, so they see the previous set or the
     new one, and files of the previous set stay untouched while they read.
     """
-    counts = build_marts(work, root, version)
+    counts = build_marts(work, root, version, names)
     spark = work.net.spark
     entry = spark.createDataFrame(
         [(version, at, name, n) for name, n in counts.items()],

@@ -7,7 +7,6 @@ from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from sitelens.sources.network import Network, ParquetNetwork
 
@@ -65,11 +64,8 @@ def with_provenance(df: DataFrame, origin: str = "source") -> DataFrame:
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a completed write is there: its success marker is."""
-    try:
-        spark.read.format("binaryFile").load(f"{path}/_SUCCESS").schema
-        return True
-    except AnalysisException:
-        return False
+    marker = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
 
 
 def in_event_order(df: DataFrame, event_column: str) -> DataFrame:
@@ -90,10 +86,11 @@ def extract(df: DataFrame, path: str, event_column: str | None = None) -> int |
     """
     if exists(df.sparkSession, path):
         return None
+    if event_column:
+        df = in_event_order(df, event_column)
+    # above the range exchange, whose sampling pass would count the rows a second time
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    if event_column:
-        counted = in_event_order(counted, event_column)
     counted.write.option("compression", "zstd").parquet(path)
     return seen.get["rows"]
 
