@@ -24,20 +24,21 @@ def miles(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     )
 
 
-def crosswalk(patients: str, scope: str = "") -> str:
-    """Nested query linking ``patients`` to members; ``scope`` separates parallel runs."""
+def links(patients: str, scope: str = "", extra: str = "") -> str:
+    """Nested query of every link before the one-to-one contest; ``scope`` separates runs."""
     sc = f"{scope}, " if scope else ""
-    return f"""
-        SELECT {sc}patient_id, member_id, match_method, match_confidence FROM (
-          SELECT *, row_number() OVER (PARTITION BY {sc}member_id
-                 ORDER BY match_confidence DESC, match_method, patient_id) AS place
-          FROM (
-            WITH who AS MATERIALIZED (
-              SELECT {sc}patient_id, strip_accents(lower(trim(first_name))) AS fn,
-                     strip_accents(lower(trim(last_name))) AS ln, dob, gender, zip FROM {patients}),
-            whom AS MATERIALIZED (
-              SELECT member_id, strip_accents(lower(trim(first_name))) AS fn,
-                     strip_accents(lower(trim(last_name))) AS ln, dob, gender, zip FROM members),
+    also = f", lower(trim({extra})) AS extra" if extra else ""
+
+    def people(key: str, table: str) -> str:
+        return f"""SELECT {key}, strip_accents(lower(trim(first_name))) AS fn,
+                     strip_accents(lower(trim(last_name))) AS ln, dob, gender, zip{also} FROM {table}"""
+
+    def same_run(a: str, b: str) -> str:
+        return f"AND {a}.{scope} = {b}.{scope}" if scope else ""
+
+    return f"""(
+            WITH who AS MATERIALIZED ({people(sc + "patient_id", patients)}),
+            whom AS MATERIALIZED ({people("member_id", "members")}),
             same_key AS MATERIALIZED (
               SELECT who.*, whom.member_id, whom.zip AS other_zip, whom.gender AS other_gender
               FROM who JOIN whom ON who.fn = whom.fn AND who.ln = whom.ln AND who.dob = whom.dob),
@@ -50,24 +51,52 @@ def crosswalk(patients: str, scope: str = "") -> str:
                           WHEN gender <> other_gender THEN 1 ELSE 2 END * 1000000000000 + member_id),
                      'exact_tiebreak'
               FROM same_key k WHERE zip = other_zip AND 1 < (SELECT count(*) FROM same_key o
-                   WHERE o.patient_id = k.patient_id {f"AND o.{scope} = k.{scope}" if scope else ""})
+                   WHERE o.patient_id = k.patient_id {same_run("o", "k")})
               GROUP BY ALL),
             alike AS MATERIALIZED (
-              SELECT {", ".join(f"who.{c.strip()}" for c in [*scope.split(","), "patient_id"] if c.strip())},
-                     whom.member_id,
+              SELECT {"who." + scope + ", " if scope else ""}who.patient_id, whom.member_id,
                      jaro_winkler_similarity(concat(who.fn, ' ', who.ln), concat(whom.fn, ' ', whom.ln)) AS s
               FROM who JOIN whom ON who.dob = whom.dob AND who.gender = whom.gender
-               AND (who.ln = whom.ln OR who.zip = whom.zip)
-              WHERE NOT EXISTS (FROM settled z WHERE z.patient_id = who.patient_id
-                                {f"AND z.{scope} = who.{scope}" if scope else ""})
+               AND (who.ln = whom.ln OR who.zip = whom.zip {"OR who.extra = whom.extra" if extra else ""})
+              WHERE NOT EXISTS (FROM settled z WHERE z.patient_id = who.patient_id {same_run("z", "who")})
                 AND who.fn IS NOT NULL AND who.ln IS NOT NULL)
             SELECT *, 1.0::DOUBLE AS match_confidence FROM settled
             UNION ALL
             (SELECT DISTINCT ON ({sc}patient_id) {sc}patient_id, member_id, 'fuzzy', s FROM alike
-             WHERE s >= 0.92 ORDER BY s DESC, member_id)))
+             WHERE s >= 0.92 ORDER BY s DESC, member_id))"""
+
+
+def contest(claimed: str, scope: str = "") -> str:
+    sc = f"{scope}, " if scope else ""
+    return f"""
+        SELECT {sc}patient_id, member_id, match_method, match_confidence FROM (
+          SELECT *, row_number() OVER (PARTITION BY {sc}member_id
+                 ORDER BY match_confidence DESC, match_method, patient_id) AS place FROM {claimed})
         WHERE place = 1"""
 
 
+def crosswalk(patients: str, scope: str = "", extra: str = "") -> str:
+    return contest(links(patients, scope, extra), scope)
+
+
+def late_links() -> str:
+    """Similar names under a neighbouring or swapped birth date, among who is still free."""
+    return """(
+        WITH free_p AS (SELECT *, strip_accents(lower(trim(first_name))) AS fn,
+                               strip_accents(lower(trim(last_name))) AS ln FROM patients
+                        WHERE patient_id NOT IN (SELECT patient_id FROM claimed)),
+        free_m AS (SELECT *, strip_accents(lower(trim(first_name))) AS fn,
+                          strip_accents(lower(trim(last_name))) AS ln FROM members
+                   WHERE member_id NOT IN (SELECT member_id FROM base)),
+        near AS (SELECT p.patient_id, m.member_id,
+                        jaro_winkler_similarity(p.fn || ' ' || p.ln, m.fn || ' ' || m.ln) AS s
+                 FROM free_p p JOIN free_m m ON p.gender = m.gender AND (p.ln = m.ln OR p.zip = m.zip)
+                 WHERE p.dob <> m.dob AND (abs(p.dob - m.dob) = 1 OR (day(p.dob) <= 12
+                       AND day(m.dob) = month(p.dob) AND month(m.dob) = day(p.dob) AND year(m.dob) = year(p.dob))))
+        SELECT DISTINCT ON (patient_id) patient_id, member_id, 'fuzzy_dob' AS match_method, s AS match_confidence
+        FROM near WHERE s >= 0.96 ORDER BY s DESC, member_id)"""
+
+
 MARTS: dict[str, str] = {
     "xwalk": crosswalk("patients"),
     "fm": f"""

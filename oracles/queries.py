@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from oracles.assemble import with_tables
-from oracles.marts import ACUTE, HI, LO, TODAY, active, crosswalk, during, miles
+from oracles.marts import HI, LO, TODAY, active, contest, crosswalk, during, late_links, links, miles
 from sitelens.plans import catalog as c
 
 
@@ -406,7 +406,6 @@ BODIES |= {
 }
 
 # --- people --------------------------------------------------------------------------
-AGE = "date_sub('year', {d}, " + TODAY + ")"
 BODIES |= {
     "member_360": f"""SELECT m.member_id, x.patient_id, x.match_method, m.gender,
         date_sub('year', m.dob, {TODAY}) AS age, m.city, m.state, m.plan_id, m.employer_id,
@@ -433,6 +432,15 @@ BODIES |= {
         GROUP BY ALL""",
 }
 
+BODIES |= {
+    "crosswalk_with_address": "SELECT * REPLACE (round(match_confidence, 6) AS match_confidence) FROM ("
+    + crosswalk("patients", extra="address_line1")
+    + ")",
+    "crosswalk_with_date_variants": f"""SELECT patient_id, member_id, match_method,
+        round(match_confidence, 6) AS match_confidence
+        FROM (SELECT * FROM base UNION ALL {contest(late_links())})""",
+}
+
 # --- quality -------------------------------------------------------------------------
 EVERY = list(c.TABLES)
 BODIES |= {
@@ -585,6 +593,8 @@ BODIES |= {
 
 LOCAL = {
     # extra expressions of single queries, after the shared ones
+    "crosswalk_with_date_variants": f"claimed AS MATERIALIZED (FROM {links('patients')}), "
+    f"base AS MATERIALIZED ({contest('claimed')})",
     "link_precision": f"agree AS MATERIALIZED (FROM {AGREE})",
     "link_recall": f"sample AS MATERIALIZED (FROM {TRUTH}), worse AS MATERIALIZED ({damaged('sample')}), "
     f"found AS MATERIALIZED ({crosswalk('worse', 'corruption')})",

@@ -72,10 +72,9 @@ def _blocks(side: DataFrame, extra: Sequence[str]) -> DataFrame:
     entries = F.array(
         *[F.struct(F.lit(k).alias("kind"), F.col(c).alias("token")) for k, c in tokens.items()]
     )
-    exploded = side.withColumn("_entry", F.explode(entries))
     return (
-        exploded.withColumn("kind", F.col("_entry.kind"))
-        .withColumn("token", F.col("_entry.token"))
+        side.withColumn("_entry", F.explode(entries))
+        .selectExpr("*", "_entry.kind", "_entry.token")
         .drop("_entry")
         .filter("token IS NOT NULL AND dob IS NOT NULL AND gender IS NOT NULL")
     )
@@ -91,39 +90,39 @@ def similar_pairs(
     """Best similar member per patient profile among those sharing a blocking key.
 
     "Same birth date and gender, and (same surname or same zip)" is an equi-join on
-    (dob, gender, kind, token): the alternatives are separate blocking keys, a pair
-    is kept by the first that holds, and a necessary length and letter bound drops
-    hopeless pairs inside the join, before anything is sent to Python.  Heavy blocks
-    are split by the adaptive skew join.
+    (dob, gender, kind, token), one kind per alternative.  The similarity depends on
+    the names alone, so both sides of the join are distinct names per block: any number
+    of namesakes meets as one pair.  Within a block a necessary length and letter bound
+    drops hopeless pairs before anything is sent to Python, and heavy blocks are split
+    by the adaptive skew join.  The best member of a name is then handed back to every
+    profile that bears it.
     """
-    p, m = _blocks(patients, extra).alias("p"), _blocks(members, extra).alias("m")
+    person = ["fn", "ln", "dob", "gender", "kind", "token"]
+    bearers = _blocks(patients, extra)
+    wanted = bearers.select(*scope, *person).distinct().alias("p")
+    offered = _blocks(members, extra).groupBy(*person).agg(F.min("member_id").alias("member_id")).alias("m")
     same_block = reduce(
         lambda a, b: a & b,
         [F.col(f"p.{c}") == F.col(f"m.{c}") for c in ("dob", "gender", "kind", "token")],
     )
-    first_kind = F.lit(True)
-    earlier: list[str] = []
-    for kind in ("ln", "zip", *extra):
-        already = reduce(
-            lambda a, b: a | b,
-            [F.coalesce(F.col(f"p.{c}") == F.col(f"m.{c}"), F.lit(False)) for c in earlier],
-            F.lit(False),
+    # equal surnames meet in their own blocks and need not meet again
+    once = (F.col("p.kind") == "ln") | ~F.col("p.ln").eqNullSafe(F.col("m.ln"))
+    scored = (
+        wanted.join(offered, same_block & once & can_reach(_name("p"), _name("m"), threshold))
+        .select(
+            *[F.col(f"p.{c}") for c in (*scope, *person)],
+            F.col("m.member_id"),
+            jaro_winkler(_name("p"), _name("m")).alias("similarity"),
         )
-        first_kind = first_kind & ((F.col("p.kind") != kind) | ~already)
-        earlier.append(kind)
-    pairs = p.join(m, same_block & first_kind & can_reach(_name("p"), _name("m"), threshold)).select(
-        *[F.col(f"p.{c}") for c in scope],
-        F.col("p.patient_id"),
-        F.col("m.member_id"),
-        _name("p").alias("patient_name"),
-        _name("m").alias("member_name"),
-    )
-    scored = pairs.withColumn(
-        "similarity", jaro_winkler(F.col("patient_name"), F.col("member_name"))
-    ).filter(F.col("similarity") >= threshold)
+        .filter(F.col("similarity") >= threshold)
+    )
+    best = F.min(F.struct((-F.col("similarity")).alias("loss"), "member_id")).alias("best")
+    by_name = scored.groupBy(*scope, *person).agg(best)
     return (
-        scored.groupBy(*scope, "patient_id")
-        .agg(F.min(F.struct((-F.col("similarity")).alias("loss"), "member_id")).alias("best"))
+        bearers.select(*scope, *person, "patient_id")
+        .join(by_name, [*scope, *person])
+        .groupBy(*scope, "patient_id")
+        .agg(F.min("best").alias("best"))
         .select(
             *scope,
             "patient_id",

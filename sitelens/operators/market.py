@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from sitelens.functions.geo import distance_miles
 from sitelens.functions.measures import ratio
-from sitelens.functions.scale import exact_quantiles, staged
+from sitelens.functions.scale import broadcast_within, exact_quantiles, staged
 from sitelens.functions.temporal import Span, active_on, in_span
 
 # fixed values: the hospital service lines and the distance that counts as far
@@ -277,7 +277,7 @@ def market_flows(facilities: DataFrame, members: DataFrame, claims: DataFrame, s
     allowed = F.sum("allowed").cast("double")
     return (
         ledger.filter("placed")
-        .join(owned_ratios(ledger), "service_line")
+        .join(broadcast_within(owned_ratios(ledger), 10_000), "service_line")
         .groupBy("member_city", "care_city", "service_line", "network_status")
         .agg(
             F.min("member_state").alias("member_state"),

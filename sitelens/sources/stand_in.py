@@ -130,17 +130,17 @@ class StandIn(Network):
 
     # --- dimensions -------------------------------------------------------
 
-    def _places(self) -> DataFrame:
-        nation, region = self.base("nation"), self.base("region")
-        return nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey).select(
-            "n_nationkey", F.col("n_name").alias("city"), F.col("r_name").alias("state")
+    def _placed(self, df: DataFrame, nation_key: str) -> DataFrame:
+        """``df`` with city and state; both lookups are small files Spark broadcasts by size."""
+        nation = self.base("nation").selectExpr("n_nationkey", "n_name AS city", "n_regionkey")
+        region = self.base("region").selectExpr("r_regionkey", "r_name AS state")
+        return df.join(nation, F.col(nation_key) == F.col("n_nationkey")).join(
+            region, F.col("n_regionkey") == F.col("r_regionkey")
         )
 
     def _ops_facilities(self) -> DataFrame:
         k, n = F.col("s_suppkey"), F.col("s_nationkey")
-        site = self.base("supplier").join(
-            F.broadcast(self._places()), F.col("s_nationkey") == F.col("n_nationkey")
-        )
+        site = self._placed(self.base("supplier"), "s_nationkey")
         kind = (
             F.when(k % 4 == 0, "hospital").when(k % 4 == 1, "urgent_care").otherwise("clinic")
         )
@@ -166,9 +166,7 @@ class StandIn(Network):
 
     def _payer_members(self) -> DataFrame:
         k, n = F.col("c_custkey"), F.col("c_nationkey")
-        people = self.base("customer").join(
-            F.broadcast(self._places()), F.col("c_nationkey") == F.col("n_nationkey")
-        )
+        people = self._placed(self.base("customer"), "c_nationkey")
         family = k * 11 + F.when(k % 10 == 9, 0).otherwise(F.floor(k / 600))
         enrolled = F.date_add(F.lit(date(1995, 1, 1)), (k * 37 % 2600).cast("int"))
         return people.select(
