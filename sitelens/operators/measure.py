@@ -25,8 +25,18 @@ IDENTITY_FIELDS = ["first_name", "last_name", "dob", "gender", "zip"]
 
 
 def stable_sample(df: DataFrame, key: str, n: int) -> DataFrame:
-    """The n rows whose hashed key is smallest: the same rows on every run."""
-    return df.orderBy(F.md5(F.col(key).cast("string")), key).limit(n)
+    """The n rows whose hashed key is smallest: the same rows on every run.
+
+    Counts per hash prefix (at most 16^4 of them) give the prefix within which the n-th
+    row lies, so that the final ordering sees little more than n rows in all, however
+    many partitions there are.
+    """
+    hashed = df.withColumn("_hash", F.md5(F.col(key).cast("string")))
+    prefix = F.substring("_hash", 1, 4)
+    counts = hashed.groupBy(prefix.alias("prefix")).agg(F.count("*").alias("n"))
+    before = F.expr("sum(n) OVER (ORDER BY prefix ROWS UNBOUNDED PRECEDING) - n")
+    last = counts.withColumn("before", before).filter(F.col("before") < n).agg(F.max("prefix")).scalar()
+    return hashed.filter(prefix <= last).orderBy("_hash", key).limit(n).drop("_hash")
 
 
 def random_control(patients: DataFrame, members: DataFrame, n: int) -> DataFrame:
@@ -141,8 +151,8 @@ def known_truth(xwalk: DataFrame, patients: DataFrame, n: int) -> DataFrame:
     exact = xwalk.filter(F.col("match_method") == "exact").select(
         "patient_id", F.col("member_id").alias("true_member_id")
     )
-    records = patients.select("patient_id", *IDENTITY_FIELDS)
-    return stable_sample(records.join(exact, "patient_id"), "patient_id", n)
+    sample = stable_sample(staged(exact), "patient_id", n)  # read to count and to pick
+    return sample.join(patients.select("patient_id", *IDENTITY_FIELDS), "patient_id")
 
 
 Matcher = Callable[..., DataFrame]

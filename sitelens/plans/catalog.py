@@ -323,7 +323,7 @@ QUERIES |= {
 
 QUERIES |= {
     "member_360": lambda w: people.member_360(
-        members(w), w.identity_xwalk, w.table("ops_providers"), w.table("outreach_program_enrollments"), w.as_of
+        members(w), w.identity_xwalk, w.small("ops_providers"), w.table("outreach_program_enrollments"), w.as_of
     ),
     "member_months": lambda w: people.member_months(w.table("payer_member_eligibility_history"), w.span),
     "condition_prevalence": lambda w: people.condition_prevalence(

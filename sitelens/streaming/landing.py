@@ -54,12 +54,14 @@ def restate(claims: DataFrame, target: str, as_of: date, days: int = RESTATED_DA
     """Replace the service months of the trailing period and leave older ones alone.
 
     The scan is limited to those months, and only their partitions are overwritten.
+    Rebalancing gives every month files of the advisory size: a month with very many
+    rows is written by several tasks, small ones share a task.
     """
     since = restated_span(as_of, days)
     (
         claims.filter(F.col("service_date") >= F.lit(since))
         .withColumn("service_month", service_month())
-        .repartition("service_month", F.pmod(F.xxhash64("member_id"), F.lit(16)))
+        .hint("rebalance", F.col("service_month"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("service_month")

@@ -207,3 +207,13 @@ def test_recall_counts_wrong_links(spark, both):
     for row in found.values():
         assert row.matched == row.correct + row.wrong
         assert row.n == truth.count()
+
+
+def test_stable_sample_is_the_smallest_hashes(spark):
+    import hashlib
+
+    df = spark.createDataFrame([(f"k{i}",) for i in range(3000)], "key string")
+    found = {r.key for r in measure.stable_sample(df, "key", 700).collect()}
+    ordered = sorted((hashlib.md5(f"k{i}".encode()).hexdigest(), f"k{i}") for i in range(3000))
+    assert found == {k for _, k in ordered[:700]}
+    assert measure.stable_sample(df, "key", 5000).count() == 3000
