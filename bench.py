@@ -25,9 +25,6 @@ FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 REPS = max(2, int(os.environ.get("BENCH_REPS", "3")))
 
 RAW = [
-    "clinic_comparison_raw",
-    "market_ranking_raw",
-    "leakage_raw",
     "facility_metrics",
     "market_summary",
     "market_flows",
@@ -45,6 +42,9 @@ RAW = [
     "condition_prevalence",
     "link_recall",
     "destained_documents",
+    "clinic_comparison_raw",
+    "market_ranking_raw",
+    "leakage_raw",
 ]
 MART = [
     "clinic_comparison_mart",
