@@ -105,21 +105,21 @@ def test_claims_of_unknown_members_stay_in_the_paid_share_only(spark):
 
 
 def test_classifier_counts_whole_texts(spark):
-    text = "Lodi first. " + "filler " * 400 + "Stockton Stockton beats Lodi by distance"
+    text = "Alder first. " + "filler " * 400 + "Birch Birch beats Alder by distance"
     df = spark.createDataFrame([(1, text), (2, "nothing here")], "id int, text string")
-    rows = {r.id: r for r in screening.classify(df, ["Lodi", "Stockton"], {"access": ["distance"]}).collect()}
-    assert rows[1].recommendation == "Lodi"  # two each: the earlier wins
+    rows = {r.id: r for r in screening.classify(df, ["Alder", "Birch"], {"access": ["distance"]}).collect()}
+    assert rows[1].recommendation == "Alder"  # two each: the earlier wins
     assert rows[1].access and not rows[2].access
     assert rows[2].recommendation is None
-    head = screening.classify(df, ["Lodi", "Stockton"], {}, head_chars=20).filter("id = 1").first()
-    assert head.recommendation == "Lodi"
+    head = screening.classify(df, ["Alder", "Birch"], {}, head_chars=20).filter("id = 1").first()
+    assert head.recommendation == "Alder"
 
 
 def test_destaining_removes_headed_blocks_only(spark):
-    text = "intro Lodi\n**C1. about Lodi\nmore\n**C2. clean\nline"
+    text = "intro Alder\n**C1. about Alder\nmore\n**C2. clean\nline"
     df = spark.createDataFrame([(text,)], "text string")
-    row = screening.without_named_blocks(df, ["Lodi"], r"\n(?=\*\*C[0-9]+\. )", r"\*\*C").first()
-    assert row.cleaned == "intro Lodi\n**C2. clean\nline"
+    row = screening.without_named_blocks(df, ["Alder"], r"\n(?=\*\*C[0-9]+\. )", r"\*\*C").first()
+    assert row.cleaned == "intro Alder\n**C2. clean\nline"
     assert (row.n_blocks, row.removed_blocks, row.residual_lines) == (3, 1, 1)
 
 
