@@ -38,7 +38,7 @@ def document_features(docs: DataFrame, carry: Sequence[str] = ("doc_id",), host:
     the row, whatever its length, and no row is multiplied or shuffled.
     """
     text = "coalesce(cast(text AS string), '')"
-    spaced = f"translate({text}, '\\t\\n\\u000b\\f\\r', '     ')"
+    spaced = f"translate({text}, '\\t\\n\\u000b\\u000c\\r', '     ')"
     base = docs.select(
         F.struct(*carry).alias("_row"),
         F.col(host).alias("_host"),
@@ -50,7 +50,7 @@ def document_features(docs: DataFrame, carry: Sequence[str] = ("doc_id",), host:
         "_row",
         "_host",
         "cast(size(words) AS bigint) AS n_words",
-        "cast(length(translate(_text, ' \\t\\n\\u000b\\f\\r', '')) AS bigint) AS word_chars",
+        "cast(length(translate(_text, ' \\t\\n\\u000b\\u000c\\r', '')) AS bigint) AS word_chars",
         "cast(length(_text) - length(translate(_text, '#*$%&|<>', '')) AS bigint) AS n_symbols",
         f"transform(array({lines}), x -> cast(size(x) - size(array_distinct(x)) AS bigint))[0] AS n_dup_lines",
         f"cast({_REPEAT_WORDS} AS bigint) AS n_repeat_words",
