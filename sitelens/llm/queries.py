@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from sitelens.llm import near, packing, quality, recompress, suffix
+from sitelens.functions.scale import shared_dir
+from sitelens.llm import licenses, near, packing, quality, recompress, segments, shards, suffix, urls, vectors
 from sitelens.llm.oracles import SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
-WORD_BPE = "word_bpe_49k.json"
+WORD_BPE, PIECE_BPE = "word_bpe_49k.json", "piece_bpe_32k.model"
 
 
 def over(table: str, run: Callable[[DataFrame], DataFrame]) -> Query:
@@ -27,11 +29,29 @@ def packed(docs: DataFrame) -> DataFrame:
     return packing.packed_documents(docs, public_tokenizers.path(WORD_BPE))
 
 
+def sharded(docs: DataFrame) -> DataFrame:
+    folder = f"{shared_dir(docs.sparkSession)}/shards-{uuid.uuid4().hex}"
+    return shards.write_shards(docs, public_tokenizers.path(WORD_BPE), folder)
+
+
+def segmented(docs: DataFrame) -> DataFrame:
+    return segments.best_segmentations(docs, public_tokenizers.path(PIECE_BPE))
+
+
+def judged_urls(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.url_filter(spark.read.parquet(f"{folder}/pages.parquet"), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": over("documents", quality_rows),
+    "op2_training_order": over("documents", sharded),
     "op3_suffix_dedup": over("documents", suffix.byte_repeats),
+    "op4_nbest_pieces": over("documents", segmented),
     "op5_recompression": over("documents", recompress.word_repeats),
     "op6_bagminhash": over("documents", near.near_duplicates),
+    "op7_license_digests": over("documents", licenses.license_scan),
+    "op8_pca_tiles": over("embeddings", vectors.near_vectors),
+    "op9_url_templates": judged_urls,
     "op10_packing": over("documents", packed),
     "pipeline": corpus_pipeline.run,
 }
