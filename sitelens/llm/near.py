@@ -18,7 +18,7 @@ from sitelens.llm.text import U64, flat, hashed_words, mix, rows_of, within
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, BAND_ROWS = 32, 5
-STAR_ROUNDS = 12
+FEW_PAIRS = 2
 _STEP = np.array([0x9E3779B97F4A7C15 * (2 * i + 1) % (1 << 64) for i in range(64)], U64)
 
 
@@ -176,6 +176,19 @@ def overlaps(pairs: DataFrame, texts: DataFrame, threshold: float, width: int =
     return pairs.join(tu, "u").join(tv, "v").select("u", "v", "tu", "tv").mapInArrow(run, "u binary, v binary")
 
 
+def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Component labels after more ``links(u, v)``: only what they join is contracted."""
+    if labels is None:
+        return components(links)
+    of = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"l{c}"))
+    joined = links.join(of("u"), "u", "left").join(of("v"), "v", "left")
+    ends = joined.select(F.coalesce("lu", "u").alias("u"), F.coalesce("lv", "v").alias("v"))
+    step = components(ends).select(F.col("node").alias("label"), F.col("label").alias("next"))
+    fresh = links.select(F.col("u").alias("node")).union(links.select("v")).distinct().join(labels, "node", "left_anti")
+    every = labels.union(fresh.select("node", F.col("node").alias("label")))
+    return staged(every.join(step, "label", "left").select("node", F.coalesce("next", "label").alias("label")))
+
+
 def near_classes(
     docs: DataFrame, threshold: float = SIMILARITY, width: int = SHINGLE, bands: int = BANDS, rows_per_band: int = BAND_ROWS
 ) -> DataFrame:
@@ -186,14 +199,13 @@ def near_classes(
     shared = banded.groupBy("bucket").agg(F.count("*").alias("_c")).filter("_c > 1").select("bucket")
     members = staged(banded.join(shared, "bucket"))
     rows = members.count()
-    labels = edges = compared = None
+    labels = compared = before = None
     if rows:
         texts = staged(docs.select("_key", "text").join(members.select("_key", "same").distinct(), "_key").select("same", "text"))
-    for turn in range(STAR_ROUNDS + 1 if rows else 0):
-        live = members.withColumn("label", F.col("same"))
-        if labels is not None:
-            known = labels.withColumnRenamed("node", "same")
-            live = members.join(known, "same", "left").withColumn("label", F.coalesce("label", "same"))
+    fits = "least({0}.n, {1}.n) >= " + str(threshold) + " * greatest({0}.n, {1}.n)"
+    live, last = members.withColumn("label", F.col("same")), not rows
+    turn = 0
+    while not last:
         buckets = live.groupBy("bucket").agg(
             F.min("label").alias("lo"),
             F.max("label").alias("hi"),
@@ -204,22 +216,23 @@ def near_classes(
         left = live.agg(F.expr("coalesce(sum((c - 1) / 2), 0)")).first()[0]
         if not left:
             break
-        fits = "least({0}.n, {1}.n) >= " + str(threshold) + " * greatest({0}.n, {1}.n)"
-        last = left <= 4 * rows or turn == STAR_ROUNDS
+        last = left <= FEW_PAIRS * rows or before is not None and left > before / 2
+        before = left
         if last:
             others = f"a.bucket = b.bucket AND a.same < b.same AND a.label != b.label AND {fits.format('a', 'b')}"
             pairs = live.alias("a").join(live.alias("b"), F.expr(others)).selectExpr("a.same AS u", "b.same AS v")
         else:
             star = live.alias("a").filter(f"a.label != s.label AND {fits.format('a', 's')}")
-            pairs = star.selectExpr("least(a.same, s.same) AS u", "greatest(a.same, s.same) AS v")
+            pairs = star.selectExpr("least(same, s.same) AS u", "greatest(same, s.same) AS v")
         pairs = pairs.distinct()
         pairs = staged(pairs if compared is None else pairs.join(compared, ["u", "v"], "left_anti"))
         compared = pairs if compared is None else compared.union(pairs)
         links = staged(overlaps(pairs, texts, threshold, width))
-        edges = links if edges is None else edges.union(links)
-        labels = components(edges)
-        if last:
-            break
+        labels = merged(labels, links)
+        if not last:
+            known = labels.select(F.col("node").alias("same"), F.col("label").alias("_l"))
+            live = live.drop("c", "s", "label").join(known, "same", "left").withColumn("label", F.coalesce("_l", "same")).drop("_l")
+        turn += 1
     found = sketched.select("_key", "doc_id", F.col("same").alias("node"))
     if labels is not None:
         found = found.join(labels, "node", "left").withColumn("node", F.coalesce("label", "node"))
@@ -237,11 +250,12 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY, width: int =
     Texts with equal words are one node from the start, whatever their white space.  A pair at
     the threshold shares a band with probability 1 - (1 - 0.8^5)^32 = 0.999997.
 
-    No group emits all its pairs.  In each round every bucket compares its members to one
-    member drawn at random, and what links is one component from then on; members of one
-    component need no comparison, so buckets of copies dissolve in a round or two.  When the
-    pairs left between different components are no more than a few per member, or rounds have
-    run out, all of them are compared, so that no candidate pair is left out.
+    In each round every bucket compares its members to one member drawn at random, and what
+    links is one component from then on; members of one component need no comparison, so
+    groups of copies dissolve in a round or two.  When the pairs left between different
+    components are no more than a few per member, or a round no longer halves them, all of
+    them are compared, so that no candidate pair is left out.  A group whose members are just
+    too far apart to link is the costly case: each of its pairs must be refuted.
 
     Documents without words are classes of their own.  Repeated rows are copies of the first;
     a null doc_id comes before all others.  An empty table gives an empty result.
