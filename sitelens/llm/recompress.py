@@ -15,7 +15,7 @@ from sitelens.llm.suffix import texts_of
 from sitelens.llm.text import U64, Powers, cuts, flat, mix, rows_of, within, word_hashes, word_spans
 
 WINDOW = 13
-ROUNDS = 3
+ROUNDS = 2
 PIECE = 1 << 20
 WORDS = Powers(31)
 _TAG = np.array([0xC2B2AE3D27D4EB4F * (2 * i + 1) % (1 << 64) for i in range(2 * ROUNDS + 2)], U64)
@@ -56,7 +56,7 @@ def anchors(words: np.ndarray, row: np.ndarray, start: np.ndarray, length: int =
     inside therefore depends on the window's words alone.  The anchor is the interior symbol of
     most words (then of smallest hash, then leftmost) on the last level that has interior
     symbols; words themselves are level 0, so there always is one.  One run round and
-    ``ROUNDS`` pair rounds give symbols of two to eight words, of which a window of 13 words
+    ``ROUNDS`` pair rounds give symbols of one to four words, of which a window of 13 words
     nearly always holds some.
     """
     name, where = np.zeros(len(start), U64), np.zeros(len(start), np.int64)
@@ -154,11 +154,6 @@ def _hashed(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return word_hashes(data, starts, ends), rows
 
 
-def window_names(windows: list[bytes]) -> np.ndarray:
-    words, rows = _hashed(windows)
-    return mix(WORDS.part(WORDS.prefix(words), rows[:-1], rows[1:]))
-
-
 def repeated(texts: list[bytes], group: np.ndarray, key: np.ndarray, start: np.ndarray, n: np.ndarray, lead: np.ndarray) -> np.ndarray:
     """For every window of blocks in order of (group, key, start): is an equal one in an earlier document?
 
@@ -189,7 +184,7 @@ def repeated(texts: list[bytes], group: np.ndarray, key: np.ndarray, start: np.n
     return out
 
 
-METHOD = Method(blocks, parts, window_names, repeated, strict=True)
+METHOD = Method(blocks, parts, repeated, strict=True)
 ROWS = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 

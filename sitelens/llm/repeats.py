@@ -9,13 +9,14 @@ thing that is shuffled: (anchor, digest of the block's content, document, place)
    several contents, the first block of each goes on to step 2.  Copies inside one Arrow batch
    are settled before the shuffle, so a copied text sends a row per batch, not per copy.
 2. ``settled``: the bytes of those few blocks are fetched and their windows compared exactly.
-   An anchor with more contents than one task should hold sends its windows one by one, keyed
-   by their own hash, so that such an anchor is spread over all tasks.
+   An anchor with more contents than one task should hold sends its windows one by one, as
+   128-bit digests and keyed by them, so that such an anchor is spread over all tasks.
 3. ``covered``: the repeated ranges are joined to the documents.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -31,6 +32,7 @@ REPEAT, SEVERAL, HOT = 1, 2, 3
 GROUP_ROWS = 10_000
 TASK_BYTES = 1 << 20
 N_BITS = 7
+HOT_LEAD = -1
 
 
 @dataclass
@@ -50,14 +52,12 @@ class Method:
     """What differs between kinds of windows.
 
     ``blocks`` yields the blocks of an Arrow text column; ``parts`` gives the bytes of wanted
-    blocks of one text; ``window_names`` hashes single windows of such bytes; ``repeated``
-    tells which windows of blocks with one anchor have an earlier equal; ``strict`` asks for
-    an earlier document.
+    blocks of one text; ``repeated`` tells which windows of blocks with one anchor have an
+    earlier equal; ``strict`` asks for an earlier document.
     """
 
     blocks: Callable[[pa.Array], Iterator[Blocks]]
     parts: Callable[[bytes, list[tuple[int, int]]], list[bytes]]
-    window_names: Callable[[list[bytes]], np.ndarray]
     repeated: Callable[[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
     strict: bool
 
@@ -223,17 +223,18 @@ def settled(docs: DataFrame, found: DataFrame, method: Method) -> DataFrame:
                 yield table(spread(hot))
 
     def spread(hot: list[tuple]) -> list[tuple]:
-        """Single windows keyed by their content; those with an equal before them here are done."""
-        names = method.window_names([x[2] for x in hot]).view(np.int64)
+        """Single windows as digests, keyed by them; those with an equal before them here are done."""
+        hot = [(key, s, hashlib.blake2b(part, digest_size=16).digest()) for key, s, part in hot]
+        names = [int.from_bytes(x[2][:8], "little", signed=True) for x in hot]
         order = sorted(range(len(hot)), key=lambda i: (names[i], hot[i][0], hot[i][1]))
         out, before, first = [], None, None
         for i in order:
             key, s, part = hot[i]
-            if names[i] != before or part != out_part:
-                before, out_part, first, done = names[i], part, key, False
+            if part != before:
+                before, first, done = part, key, False
             else:
                 done = not method.strict or key != first
-            out.append((key, s, 1, 0, int(names[i]) ^ (hash((key, s)) if done else 0), None if done else part, done))
+            out.append((key, s, 1, HOT_LEAD, names[i] ^ (hash((key, s)) if done else 0), None if done else part, done))
         return out
 
     def compare(rows: list[np.ndarray]) -> tuple[pa.RecordBatch, np.ndarray]:
@@ -241,10 +242,15 @@ def settled(docs: DataFrame, found: DataFrame, method: Method) -> DataFrame:
         window = np.repeat(np.arange(len(key)), n)
         at = start[window] + within(n)
         hit = done[window].copy()
-        live = np.flatnonzero(~done)
+        alone = ~done & (lead == HOT_LEAD)
+        first: dict[bytes, int] = {}
+        for i in np.flatnonzero(alone[window]):  # one window a row: a row's digest names it
+            earlier = first.setdefault(part[window[i]], i)
+            hit[i] = key[window[i]] > key[window[earlier]] if method.strict else earlier != i
+        live = np.flatnonzero(~done & ~alone)
         if len(live):
             group = np.cumsum(np.concatenate(([True], anchor[live][1:] != anchor[live][:-1]))) - 1
-            hit[~done[window]] = method.repeated(list(part[live]), group, key[live], start[live], n[live].astype(np.int64), lead[live].astype(np.int64))
+            hit[np.isin(window, live)] = method.repeated(list(part[live]), group, key[live], start[live], n[live].astype(np.int64), lead[live].astype(np.int64))
         found = np.flatnonzero(hit)
         first, length = runs(hit, window)
         table = pa.RecordBatch.from_arrays(

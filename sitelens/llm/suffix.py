@@ -75,12 +75,6 @@ def parts(text: bytes, wanted: list[tuple[int, int]]) -> list[bytes]:
     return [text[s : s + n + LENGTH - 1] for s, n in wanted]
 
 
-def window_names(windows: list[bytes]) -> np.ndarray:
-    data = np.frombuffer(b"".join(windows), np.uint8)
-    at = np.arange(len(windows)) * LENGTH
-    return mix(BYTES.part(BYTES.prefix(BYTES.of_byte[data]), at, at + LENGTH))
-
-
 class Suffixes:
     """Suffixes of one byte string, compared on their first ``LENGTH`` bytes through prefix hashes."""
 
@@ -186,7 +180,7 @@ def repeated(texts: list[bytes], group: np.ndarray, key: np.ndarray, start: np.n
     return out
 
 
-METHOD = Method(blocks, parts, window_names, repeated, strict=False)
+METHOD = Method(blocks, parts, repeated, strict=False)
 ROWS = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
