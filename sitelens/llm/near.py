@@ -19,6 +19,7 @@ from sitelens.llm.text import U64, flat, hashed_words, mix, rows_of, within
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, BAND_ROWS = 32, 5
 FEW_PAIRS = 2
+ODD_WORDS = 32
 _STEP = np.array([0x9E3779B97F4A7C15 * (2 * i + 1) % (1 << 64) for i in range(64)], U64)
 
 
@@ -111,12 +112,29 @@ def signatures(row: np.ndarray, item: np.ndarray, weight: np.ndarray, n: int, m:
         waiting, step = [], 8
 
 
+def odd_sketches(row: np.ndarray, item: np.ndarray, count: np.ndarray, n: int, words: int = ODD_WORDS) -> np.ndarray:
+    """One bitmap of ``64 * words`` bits (n x words) per bag: a bit is the parity of the units in it.
+
+    A unit is one occurrence of an item.  Units that two bags share cancel out, so the bits in
+    which two bitmaps differ never outnumber the units in which the bags differ.
+    """
+    unit = mix(np.repeat(item, count) + within(count).astype(U64) * U64(0x9E3779B97F4A7C15))
+    size = 64 * words
+    out = np.zeros((n, words), U64)
+    bit = (unit >> U64(32)).astype(np.int64) % size
+    place, times = np.unique(np.repeat(row, count) * size + bit, return_counts=True)
+    place = place[times % 2 == 1]
+    np.bitwise_or.at(out.reshape(-1), place // 64, U64(1) << (place % 64).astype(U64))
+    return out
+
+
 def sketch(docs: DataFrame, width: int = SHINGLE, bands: int = BANDS, rows_per_band: int = BAND_ROWS) -> DataFrame:
-    """(_key, doc_id, same, n, bands) of ``keyed`` documents: digest of the words, shingles, band hashes.
+    """(_key, doc_id, same, n, bands, odd) of ``keyed`` documents: digest of the words, shingles,
+    band hashes, parity bitmap.
 
     A text without words has a null digest.
     """
-    schema = "_key long, doc_id long, same binary, n long, bands array<long>"
+    schema = "_key long, doc_id long, same binary, n long, bands array<long>, odd array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,10 +149,14 @@ def sketch(docs: DataFrame, width: int = SHINGLE, bands: int = BANDS, rows_per_b
                 texts = (bytes(raw[offsets[i] : offsets[i + 1]]) for i in range(a, b))
                 same = [hashlib.blake2b(b" ".join(t.split()), digest_size=16).digest() if n else None for t, n in zip(texts, np.diff(rows))]
                 n = np.bincount(row, count, b - a).astype(np.int64)
-                flat_bands = pa.ListArray.from_arrays(np.arange(b - a + 1, dtype=np.int32) * bands, pa.array(band.ravel().view(np.int64)))
+                odd = odd_sketches(row, item, count, b - a)
+                lists = (
+                    pa.ListArray.from_arrays(np.arange(b - a + 1, dtype=np.int32) * x.shape[1], pa.array(x.ravel().view(np.int64)))
+                    for x in (band, odd)
+                )
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).slice(a, b - a) for c in ("_key", "doc_id")), pa.array(same, pa.binary()), pa.array(n), flat_bands],
-                    ["_key", "doc_id", "same", "n", "bands"],
+                    [*(batch.column(c).slice(a, b - a) for c in ("_key", "doc_id")), pa.array(same, pa.binary()), pa.array(n), *lists],
+                    ["_key", "doc_id", "same", "n", "bands", "odd"],
                 )
 
     return docs.select("_key", "doc_id", "text").mapInArrow(run, schema)
@@ -176,6 +198,30 @@ def overlaps(pairs: DataFrame, texts: DataFrame, threshold: float, width: int =
     return pairs.join(tu, "u").join(tv, "v").select("u", "v", "tu", "tv").mapInArrow(run, "u binary, v binary")
 
 
+def bucket_pairs(live: DataFrame, odd: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (u, v) of different labels that meet in a bucket of ``live`` and may reach ``threshold``.
+
+    Similarity t of bags of a and b units means that they differ in at most
+    (a + b)(1 - t) / (1 + t) units.  A pair whose parity bitmaps (``odd(_key, odd)``) differ in
+    more bits cannot link and never leaves the join.  Of the buckets that a pair shares, the
+    lowest one emits it.
+    """
+    ends = live.groupBy("same").agg(
+        F.min(F.struct("_key", "label", "n")).alias("s"), F.sort_array(F.collect_set("bucket")).alias("buckets")
+    )
+    ends = staged(ends.select("same", "s.*", "buckets").join(odd, "_key").drop("_key"))
+    side = ends.select("*", F.explode("buckets").alias("bucket"))
+    side = side.withColumn("earlier", F.expr("filter(buckets, x -> x < bucket)")).drop("buckets")
+    apart = " + ".join(f"bit_count(a.odd[{i}] ^ b.odd[{i}])" for i in range(ODD_WORDS))
+    on = (
+        "a.bucket = b.bucket AND a.same < b.same AND a.label != b.label"
+        f" AND least(a.n, b.n) >= {threshold} * greatest(a.n, b.n)"
+        f" AND {apart} <= (a.n + b.n) * {(1 - threshold) / (1 + threshold)!r}D + 1e-6D"
+        " AND NOT arrays_overlap(a.earlier, b.earlier)"
+    )
+    return side.alias("a").join(side.alias("b"), F.expr(on)).selectExpr("a.same AS u", "b.same AS v")
+
+
 def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     """Component labels after more ``links(u, v)``: only what they join is contracted."""
     if labels is None:
@@ -202,7 +248,7 @@ def near_classes(
     labels = compared = before = None
     if rows:
         texts = staged(docs.select("_key", "text").join(members.select("_key", "same").distinct(), "_key").select("same", "text"))
-    fits = "least({0}.n, {1}.n) >= " + str(threshold) + " * greatest({0}.n, {1}.n)"
+    fits = f"least(a.n, s.n) >= {threshold} * greatest(a.n, s.n)"
     live, last = members.withColumn("label", F.col("same")), not rows
     turn = 0
     while not last:
@@ -219,12 +265,10 @@ def near_classes(
         last = left <= FEW_PAIRS * rows or before is not None and left > before / 2
         before = left
         if last:
-            others = f"a.bucket = b.bucket AND a.same < b.same AND a.label != b.label AND {fits.format('a', 'b')}"
-            pairs = live.alias("a").join(live.alias("b"), F.expr(others)).selectExpr("a.same AS u", "b.same AS v")
+            pairs = bucket_pairs(live, sketched.select("_key", "odd"), threshold)
         else:
-            star = live.alias("a").filter(f"a.label != s.label AND {fits.format('a', 's')}")
-            pairs = star.selectExpr("least(same, s.same) AS u", "greatest(same, s.same) AS v")
-        pairs = pairs.distinct()
+            star = live.alias("a").filter(f"a.label != s.label AND {fits}")
+            pairs = star.selectExpr("least(same, s.same) AS u", "greatest(same, s.same) AS v").distinct()
         pairs = staged(pairs if compared is None else pairs.join(compared, ["u", "v"], "left_anti"))
         compared = pairs if compared is None else compared.union(pairs)
         links = staged(overlaps(pairs, texts, threshold, width))
@@ -254,7 +298,8 @@ def near_duplicates(docs: DataFrame, threshold: float = SIMILARITY, width: int =
     links is one component from then on; members of one component need no comparison, so
     groups of copies dissolve in a round or two.  When the pairs left between different
     components are no more than a few per member, or a round no longer halves them, all of
-    them are compared, so that no candidate pair is left out.  A group whose members are just
+    them are compared, so that no candidate pair is left out; pairs that the parity bitmaps
+    refute are never emitted.  A group whose members are just
     too far apart to link is the costly case: each of its pairs must be refuted.
 
     Documents without words are classes of their own.  Repeated rows are copies of the first;

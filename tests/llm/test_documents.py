@@ -237,3 +237,34 @@ def test_pipeline_stages(spark, make_docs):
     left = "".join(seen[2].values())
     assert left.count("passage39") == 1 and len(seen[2]) == len(seen[1])
     assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() == len(seen[2])
+
+
+def test_parity_bitmaps_never_exceed_the_difference():
+    rng = np.random.default_rng(5)
+    items = near.mix(np.arange(900).astype(np.uint64)) >> np.uint64(16)
+    counts = rng.integers(1, 5, (2, 900)) * (rng.random((2, 900)) < 0.8)
+    row, col = np.nonzero(counts)
+    odd = near.odd_sketches(row, items[col], counts[row, col], 2)
+    apart = int(np.bitwise_count(odd[0] ^ odd[1]).sum())
+    assert 0 < apart <= np.abs(counts[0] - counts[1]).sum()
+    assert (apart - np.abs(counts[0] - counts[1]).sum()) % 2 == 0
+    assert not near.odd_sketches(row[:0], items[:0], counts[0][:0], 1).any()
+
+
+def test_bucket_pairs_hold_every_link_once(spark, make_docs):
+    rng = np.random.default_rng(6)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for k in range(40):
+        own = list(base)
+        for i in rng.choice(120, k % 8, replace=False):
+            own[i] = f"z{k}x{i}"
+        texts.append(" ".join(own))
+    sketched = near.sketch(near.keyed(make_docs(texts)))
+    live = sketched.selectExpr("_key", "same", "same AS label", "n", "explode(bands) AS bucket")
+    pairs = near.bucket_pairs(live, sketched.select("_key", "odd"), 0.8).collect()
+    found = {(bytes(p.u), bytes(p.v)) for p in pairs}
+    assert len(found) == len(pairs)
+    rows = {bytes(r.same): set(zip(*[r.text.split()[j:] for j in range(5)])) for r in near.keyed(make_docs(texts)).join(sketched.select("_key", "same"), "_key").collect()}
+    links = {(u, v) for u in rows for v in rows if u < v and len(rows[u] & rows[v]) >= 0.8 * len(rows[u] | rows[v])}
+    assert links and links <= found < {(u, v) for u in rows for v in rows if u < v}
