@@ -513,9 +513,11 @@ BODIES |= {
         AS distinct_keys, 0::BIGINT AS null_keys, n_rows = distinct_keys AS "unique" FROM claims""",
     "duplicate_claim_days": """SELECT member_id, service_date, count(*) AS n FROM claims
         GROUP BY member_id, service_date HAVING n >= 2""",
-    "flows_against_summary": """SELECT city, round(a, 4) AS flow_allowed_musd, allowed_musd, round(r, 4) AS flow_recapture_musd,
-        recapture_plan_paid_musd, abs(a - allowed_musd) <= 0.15 AND coalesce(abs(r - recapture_plan_paid_musd), 0) <= 0.15 AS ok
-        FROM ms JOIN (SELECT member_city, sum(allowed_musd) AS a, sum(if(is_acute AND ownership <> 'owned',
+    "flows_against_summary": """SELECT coalesce(city, member_city) AS city, round(a, 4) AS flow_allowed_musd, allowed_musd, round(r, 4) AS flow_recapture_musd,
+        recapture_plan_paid_musd, member_city IS NOT NULL AND city IS NOT NULL
+          AND coalesce(abs(a - allowed_musd) <= 0.15, a IS NULL AND allowed_musd IS NULL)
+          AND coalesce(abs(r - recapture_plan_paid_musd) <= 0.15, r IS NULL AND recapture_plan_paid_musd IS NULL) AS ok
+        FROM ms FULL JOIN (SELECT member_city, sum(allowed_musd) AS a, sum(if(is_acute AND ownership <> 'owned',
             plan_paid_musd - if_owned_plan_paid_musd, NULL)) AS r FROM mf GROUP BY member_city) ON member_city = city""",
     "claims_lag": """SELECT count(*) AS n, round(quantile_cont(d, 0.1), 4) AS p10_days, round(quantile_cont(d, 0.5), 4)
         AS median_days, round(quantile_cont(d, 0.9), 4) AS p90_days, max(d) AS max_days
@@ -538,7 +540,9 @@ BODIES |= {
         UNION ALL SELECT 'farthest_market_miles', (SELECT max(median_miles_to_acute) FROM ms), 100, 2000
         UNION ALL SELECT 'corridor_recapture', (SELECT sum(recapture_plan_paid_musd) FROM ms WHERE city IN {CORRIDOR}), 0, 1000)""",
     "landed_since": """SELECT service_line, count(*) AS claims, min(service_date) AS oldest_service FROM claims
-        WHERE processed_date > DATE '2001-05-01' GROUP BY service_line""",
+        WHERE processed_date >= DATE '2001-05-01' OR processed_date IS NULL GROUP BY service_line""",
+    "restated_months": """SELECT m AS service_month, count(k) AS claims, round(coalesce(sum(paid), 0), 2)::DOUBLE AS amount
+        FROM touched LEFT JOIN now ON date_trunc('month', day) = m GROUP BY m""",
     "allowed_quantiles": """SELECT service_line, round(quantile_cont(a, 0.1), 4) AS p10, round(quantile_cont(a, 0.5), 4) AS p50,
         round(quantile_cont(a, 0.9), 4) AS p90
         FROM (SELECT service_line, allowed_amount::DOUBLE AS a FROM claims) GROUP BY service_line""",
@@ -595,6 +599,20 @@ LOCAL = {
     # extra expressions of single queries, after the shared ones
     "crosswalk_with_date_variants": f"claimed AS MATERIALIZED (FROM {links('patients')}), "
     f"base AS MATERIALIZED ({contest('claimed')})",
+    "restated_months": """versions AS (
+          SELECT rx_claim_id AS k, fill_date AS day, if(k % 17 <> 0, fill_date + CAST(k % 75 AS INTEGER), NULL) AS landed,
+            (member_id % 100 + 1)::DOUBLE AS paid, 1 AS version FROM rx_claims
+          UNION ALL
+          SELECT rx_claim_id AS k,
+            CASE WHEN date_trunc('month', fill_date) = DATE '1995-04-01' THEN fill_date - 40
+                 WHEN k % 3 = 0 THEN fill_date - 150 ELSE fill_date END,
+            CASE WHEN date_trunc('month', fill_date) = DATE '1995-04-01' OR k % 7 <> 0
+                 THEN if(k % 2 = 0, DATE '1998-07-01', DATE '1998-07-09') END,
+            (member_id % 100 + 1) / 2.0, 2
+          FROM rx_claims WHERE k % 5 = 0 OR date_trunc('month', fill_date) = DATE '1995-04-01'),
+        now AS (SELECT * FROM versions QUALIFY row_number() OVER (PARTITION BY k ORDER BY landed DESC NULLS LAST, version DESC) = 1),
+        touched AS (SELECT DISTINCT date_trunc('month', day)::DATE AS m FROM versions
+          WHERE k IN (SELECT k FROM versions WHERE landed >= DATE '1998-07-01' OR landed IS NULL))""",
     "link_precision": f"agree AS MATERIALIZED (FROM {AGREE})",
     "link_recall": f"sample AS MATERIALIZED (FROM {TRUTH}), worse AS MATERIALIZED ({damaged('sample')}), "
     f"found AS MATERIALIZED ({crosswalk('worse', 'corruption')})",

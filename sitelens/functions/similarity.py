@@ -1,7 +1,8 @@
 """Jaro-Winkler similarity: the one measure Spark has no expression for.
 
-Evaluated per Arrow batch with numpy over padded byte matrices (no per-row
-Python).  Bytes, not characters, are compared.
+Evaluated per Arrow batch with numpy over padded byte matrices of texts of like length;
+a long pair is walked once through the positions of each byte, so a row costs what its own
+length asks for.  Bytes, not characters, are compared.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql.types import DoubleType
 # fixed values: prefix weight, longest prefix counted, smallest Jaro that is boosted
 PREFIX_WEIGHT, PREFIX_CAP, BOOST_FLOOR = 0.1, 4, 0.7
 _ROWS_PER_BLOCK = 4096
+_LONG = 256
 
 
 def _padded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -59,17 +61,59 @@ def _block_similarity(left: list[bytes], right: list[bytes]) -> np.ndarray:
     return np.where(jaro > BOOST_FLOOR, jaro + PREFIX_WEIGHT * prefix * (1 - jaro), jaro)
 
 
+def _long_similarity(a: bytes, b: bytes) -> float:
+    """One pair of any length, in time proportional to it.
+
+    The window over ``b`` only moves forward, so the first free place of a byte is always the
+    next one of its list that the window has not passed.
+    """
+    reach = max(max(len(a), len(b)) // 2 - 1, 0)
+    codes = np.frombuffer(b, dtype=np.uint8)
+    places = {c: np.flatnonzero(codes == c).tolist() for c in set(b)}
+    turn = dict.fromkeys(places, 0)
+    taken, matched = [], bytearray()
+    for i, c in enumerate(a):
+        if c not in places:
+            continue
+        own, k = places[c], turn[c]
+        while k < len(own) and own[k] < i - reach:
+            k += 1
+        if k < len(own) and own[k] <= i + reach:
+            taken.append(own[k])
+            matched.append(c)
+            k += 1
+        turn[c] = k
+    m = len(matched)
+    if not m:
+        return 0.0
+    other = codes[np.sort(taken)]
+    swaps = int((np.frombuffer(matched, dtype=np.uint8) != other).sum()) // 2
+    jaro = (m / len(a) + m / len(b) + (m - swaps) / m) / 3
+    prefix = 0
+    while prefix < min(PREFIX_CAP, len(a), len(b)) and a[prefix] == b[prefix]:
+        prefix += 1
+    return jaro + PREFIX_WEIGHT * prefix * (1 - jaro) if jaro > BOOST_FLOOR else jaro
+
+
+def _similarities(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    size = np.fromiter((max(len(x), len(y)) for x, y in zip(a, b)), dtype=np.int64, count=len(a))
+    order = np.argsort(size, kind="stable")
+    short = int(np.searchsorted(size[order], _LONG, "right"))
+    out = np.zeros(len(a))
+    for start in range(0, short, _ROWS_PER_BLOCK):
+        rows = order[start : min(start + _ROWS_PER_BLOCK, short)]
+        out[rows] = _block_similarity([a[i] for i in rows], [b[i] for i in rows])
+    for i in order[short:]:
+        out[i] = _long_similarity(a[i], b[i])
+    return out
+
+
 def similarity_of(left: pd.Series, right: pd.Series) -> pd.Series:
     known = (left.notna() & right.notna()).to_numpy()
     out = np.full(len(left), np.nan)
     a = [t.encode("utf-8") for t in left[known]]
     b = [t.encode("utf-8") for t in right[known]]
-    scores = [
-        _block_similarity(a[i : i + _ROWS_PER_BLOCK], b[i : i + _ROWS_PER_BLOCK])
-        for i in range(0, len(a), _ROWS_PER_BLOCK)
-    ]
-    if scores:
-        out[known] = np.concatenate(scores)
+    out[known] = _similarities(a, b)
     return pd.Series(out).where(pd.Series(known), None)
 
 

@@ -18,7 +18,7 @@ def accent_pairs() -> tuple[str, str]:
     (o-slash, l-stroke, eszett) are kept as they are.
     """
     source, target = [], []
-    for code in range(0x80, min(0x10000, sys.maxunicode)):
+    for code in range(0x80, sys.maxunicode + 1):
         char = chr(code)
         parts = unicodedata.normalize("NFD", char)
         base = "".join(c for c in parts if not unicodedata.category(c).startswith("M"))

@@ -58,7 +58,8 @@ def member_360(
 def member_months(eligibility: DataFrame, span: Span) -> DataFrame:
     """Distinct members covered in each month of the window; no end date means covered.
 
-    A row only spans the months of the window, so it expands to a fixed few.
+    A row only spans the months of the window, so it expands to a fixed few.  A row that ends
+    before it starts covers nothing; ``reversed_eligibility`` reports it.
     """
     first = F.trunc(F.greatest(F.col("effective_date"), F.lit(span.lo)), "MM")
     last = F.trunc(
@@ -67,6 +68,7 @@ def member_months(eligibility: DataFrame, span: Span) -> DataFrame:
     covered = eligibility.filter(
         (F.col("effective_date") < F.lit(span.hi))
         & (F.col("end_date").isNull() | (F.col("end_date") >= F.lit(span.lo)))
+        & (F.col("end_date").isNull() | (F.col("end_date") >= F.col("effective_date")))
     )
     months = covered.select(
         "member_id", F.explode(F.sequence(first, last, F.expr("INTERVAL 1 MONTH"))).alias("month")
@@ -74,6 +76,11 @@ def member_months(eligibility: DataFrame, span: Span) -> DataFrame:
     return months.distinct().groupBy("month").agg(F.count("member_id").alias("members_covered"))
 
 
+def reversed_eligibility(eligibility: DataFrame) -> DataFrame:
+    """The eligibility rows that end before they start."""
+    return eligibility.filter(F.col("end_date") < F.col("effective_date"))
+
+
 def condition_prevalence(
     conditions: DataFrame, xwalk: DataFrame, members: DataFrame, city: str
 ) -> DataFrame:
@@ -84,7 +91,6 @@ def condition_prevalence(
     total = linked.agg(F.count("*")).scalar()
     return (
         conditions.select("patient_id", "condition_name")
-        .distinct()
         .join(linked, "patient_id")
         .groupBy("condition_name")
         .agg(F.countDistinct("member_id").alias("members"))

@@ -299,25 +299,34 @@ def reconcile(checks: Sequence[tuple[str, DataFrame, Column, DataFrame, Column]]
         )
 
     gap = F.abs(F.col("mart_value") - F.col("source_value"))
-    return stacked([one(*c) for c in checks]).withColumn("ok", gap <= tolerance)
+    same = F.col("mart_value").eqNullSafe(F.col("source_value"))
+    return stacked([one(*c) for c in checks]).withColumn("ok", F.coalesce(gap <= tolerance, same))
 
 
 def flows_against_summary(flows: DataFrame, summary: DataFrame, tolerance: float = 0.15) -> DataFrame:
-    """Market dollars and recapture by two routes, one row per market."""
+    """Market dollars and recapture by two routes, one row per market of either route.
+
+    A market missing on one side, or a value that is NULL on one side only, is not ok.
+    """
     outside = F.col("is_acute") & (F.col("ownership") != "owned")
     by_city = flows.groupBy(F.col("member_city").alias("city")).agg(
         F.sum("allowed_musd").alias("flow_allowed"),
         sum_if(outside, F.col("plan_paid_musd") - F.col("if_owned_plan_paid_musd")).alias("flow_recapture"),
     )
-    allowed_gap = F.abs(F.col("flow_allowed") - F.col("allowed_musd"))
-    recapture_gap = F.abs(F.col("flow_recapture") - F.col("recapture_plan_paid_musd"))
-    return by_city.join(summary.select("city", "allowed_musd", "recapture_plan_paid_musd"), "city").select(
+
+    def agree(a: str, b: str) -> Column:
+        return F.coalesce(F.abs(F.col(a) - F.col(b)) <= tolerance, F.col(a).isNull() & F.col(b).isNull())
+
+    one_side = by_city.withColumn("_flow", F.lit(True))
+    other = summary.select("city", "allowed_musd", "recapture_plan_paid_musd").withColumn("_mart", F.lit(True))
+    both = F.col("_flow").isNotNull() & F.col("_mart").isNotNull()
+    return one_side.join(other, "city", "full").select(
         "city",
         F.round("flow_allowed", 4).alias("flow_allowed_musd"),
         "allowed_musd",
         F.round("flow_recapture", 4).alias("flow_recapture_musd"),
         "recapture_plan_paid_musd",
-        ((allowed_gap <= tolerance) & (F.coalesce(recapture_gap, F.lit(0.0)) <= tolerance)).alias("ok"),
+        (both & agree("flow_allowed", "allowed_musd") & agree("flow_recapture", "recapture_plan_paid_musd")).alias("ok"),
     )
 
 

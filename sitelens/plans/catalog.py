@@ -16,6 +16,7 @@ from sitelens.plans import siting, utilization
 from sitelens.plans.workspace import Workspace
 from sitelens.sources import extract
 from sitelens.sources.stand_in import AS_OF, SPAN, StandIn
+from sitelens.streaming import landing
 
 Query = Callable[[Workspace], DataFrame]
 
@@ -399,6 +400,35 @@ def late_profile(w: Workspace) -> DataFrame:
     )
 
 
+RX_WATERMARK = date(1998, 7, 1)
+
+
+def rx_versions(w: Workspace) -> DataFrame:
+    """Fills as they landed: many corrected later, some without a landing date.
+
+    Corrections land together, half of them on the watermark day.  Some move a fill far back,
+    and those of one month empty it.
+    """
+    k, filled = F.col("rx_claim_id"), F.col("fill_date")
+    amount = (F.col("member_id") % 100 + 1).cast("double")
+    first = w.table("pharmacy_rx_claims").select(
+        k,
+        filled.alias("service_date"),
+        F.when(k % 17 != 0, F.date_add(filled, (k % 75).cast("int"))).alias("landed"),
+        amount.alias("amount"),
+        F.lit(1).alias("version"),
+    )
+    emptied = F.trunc(filled, "MM") == F.lit(date(1995, 4, 1))
+    again = w.table("pharmacy_rx_claims").filter((k % 5 == 0) | emptied).select(
+        k,
+        F.when(emptied, F.date_sub(filled, 40)).when(k % 3 == 0, F.date_sub(filled, 150)).otherwise(filled).alias("service_date"),
+        F.when(emptied | (k % 7 != 0), F.when(k % 2 == 0, F.lit(RX_WATERMARK)).otherwise(F.lit(date(1998, 7, 9)))).alias("landed"),
+        (amount / 2).alias("amount"),
+        F.lit(2).alias("version"),
+    )
+    return first.unionByName(again)
+
+
 QUERIES |= {
     "join_path_orphans": lambda w: quality.orphans(quality.JOIN_PATHS, path_tables(w)),
     "join_path_null_rates": lambda w: quality.null_rates(quality.JOIN_PATHS, path_tables(w)),
@@ -444,6 +474,9 @@ QUERIES |= {
     "landed_since": lambda w: extract.landed_since(claims(w), "processed_date", date(2001, 5, 1))
     .groupBy("service_line")
     .agg(F.count("*").alias("claims"), F.min("service_date").alias("oldest_service")),
+    "restated_months": lambda w: landing.restated_months(
+        rx_versions(w), "rx_claim_id", "landed", RX_WATERMARK, "amount", then=["version"]
+    ),
     "allowed_quantiles": lambda w: rounded(
         exact_quantiles(
             claims(w), ["service_line"], "allowed_amount", {"p10": 0.1, "p50": 0.5, "p90": 0.9}, 100.0

@@ -82,7 +82,7 @@ def extract(df: DataFrame, path: str, event_column: str | None = None) -> int |
     """Write ``df`` once as zstd parquet; an existing extract is kept.
 
     Returns the rows written, counted during the write, or None when skipped.  The
-    commit protocol shows readers all files or none.
+    commit protocol shows readers all files or none; what a failed write left is replaced.
     """
     if exists(df.sparkSession, path):
         return None
@@ -91,7 +91,7 @@ def extract(df: DataFrame, path: str, event_column: str | None = None) -> int |
     # above the range exchange, whose sampling pass would count the rows a second time
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.option("compression", "zstd").parquet(path)
+    counted.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return seen.get["rows"]
 
 
@@ -111,11 +111,24 @@ def save_snapshot(df: DataFrame, name: str) -> None:
 
 
 def landed_since(df: DataFrame, landing_column: str, watermark: date | None) -> DataFrame:
-    """Rows that arrived after the watermark, by landing date and never by event date.
+    """Rows that may have arrived since the watermark, by landing date and never by event date.
 
-    A claim arrives weeks after its service date; a delta on the event date would
-    lose it for good.
+    A claim arrives weeks after its service date; a delta on the event date would lose it
+    for good.  The watermark day comes again as a whole, because rows may land later on the
+    same day, and so do rows without a landing date: nothing says when they came.  Readers
+    drop what they have by key (``not_yet_seen``) or keep the last version (``latest_versions``).
     """
     if watermark is None:
         return df
-    return df.filter(F.col(landing_column) > F.lit(watermark))
+    landed = F.col(landing_column)
+    return df.filter((landed >= F.lit(watermark)) | landed.isNull())
+
+
+def not_yet_seen(delta: DataFrame, seen: DataFrame, key: str) -> DataFrame:
+    """Rows of ``delta`` that ``seen`` does not hold in the same version; NULL keys stay.
+
+    A version is the key with a hash of the whole row.
+    """
+    version = F.xxhash64(*[F.col(c) for c in delta.columns]).alias("_version")
+    have = seen.select(F.col(key), version).distinct()
+    return delta.select("*", version).join(have, [key, "_version"], "left_anti").select(*delta.columns)

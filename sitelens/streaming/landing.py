@@ -2,17 +2,22 @@
 
 The reference point is the landing date.  The streaming form reads files that
 arrived since the last run (its checkpoint is the watermark) and stops when caught
-up; every touched service month is restated as a whole, so a late or corrected claim
-replaces what was published.
+up; every service month touched by what landed is restated as a whole, however old it is, so
+a late or corrected claim replaces what was published.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
+
+from sitelens.sources.extract import landed_since
 
 RESTATED_DAYS = 100  # fixed value: longest adjudication lag, rounded up
 
@@ -21,9 +26,10 @@ def service_month(col: str = "service_date") -> Column:
     return F.trunc(F.col(col), "MM")
 
 
-def append_landed(spark: SparkSession, landing: str, target: str, checkpoint: str) -> StreamingQuery:
-    """Append every newly landed file to ``target``, partitioned by service month."""
-    schema = spark.read.parquet(landing).schema
+def append_landed(
+    spark: SparkSession, landing: str, target: str, checkpoint: str, schema: StructType | str
+) -> StreamingQuery:
+    """Append every newly landed file, of the declared schema, to ``target`` by service month."""
     stream = spark.readStream.schema(schema).parquet(landing)
     return (
         stream.withColumn("service_month", service_month())
@@ -35,13 +41,41 @@ def append_landed(spark: SparkSession, landing: str, target: str, checkpoint: st
     )
 
 
-def latest_versions(claims: DataFrame, key: str, landed: str) -> DataFrame:
-    """One row per claim: the version that landed last."""
+def latest_versions(claims: DataFrame, key: str, landed: str, then: Sequence[str] = ()) -> DataFrame:
+    """One row per claim: the version that landed last.
+
+    A version without a landing date counts as older than any dated one.  Versions of one
+    landing date are ordered by the columns ``then``, and last by a hash of the row, so the
+    same version is chosen on every run.
+    """
     row = F.struct(*[F.col(c) for c in claims.columns])
-    return (
-        claims.groupBy(key)
-        .agg(F.max_by(row, F.col(landed)).alias("_row"))
-        .select("_row.*")
+    order = F.struct(F.col(landed), *[F.col(c) for c in then], F.xxhash64(*[F.col(c) for c in claims.columns]))
+    return claims.groupBy(key).agg(F.max_by(row, order).alias("_row")).select("_row.*")
+
+
+def touched_months(versions: DataFrame, key: str, landed: str, watermark: date | None) -> DataFrame:
+    """Service months of the claims that landed since, in any of their versions.
+
+    A correction that moves a claim to another month touches the month it leaves as well.
+    """
+    fresh = landed_since(versions, landed, watermark).select(key).distinct()
+    return versions.join(fresh, key, "left_semi").select(service_month().alias("service_month")).distinct()
+
+
+def restated_months(
+    versions: DataFrame, key: str, landed: str, watermark: date | None, amount: str, then: Sequence[str] = ()
+) -> DataFrame:
+    """Every touched month with the claims and the amount it holds now; an emptied month has 0."""
+    touched = touched_months(versions, key, landed, watermark).withColumnRenamed("service_month", "_month")
+    now = (
+        latest_versions(versions, key, landed, then)
+        .groupBy(service_month().alias("service_month"))
+        .agg(F.count("*").alias("claims"), F.sum(amount).alias("amount"))
+    )
+    return touched.join(now, F.col("_month").eqNullSafe(F.col("service_month")), "left").select(
+        F.col("_month").alias("service_month"),
+        F.coalesce("claims", F.lit(0)).alias("claims"),
+        F.round(F.coalesce(F.col("amount").cast("double"), F.lit(0.0)), 2).alias(amount),
     )
 
 
@@ -50,20 +84,49 @@ def restated_span(as_of: date, days: int = RESTATED_DAYS) -> date:
     return (as_of - timedelta(days=days)).replace(day=1)
 
 
-def restate(claims: DataFrame, target: str, as_of: date, days: int = RESTATED_DAYS) -> None:
-    """Replace the service months of the trailing period and leave older ones alone.
+def restate(
+    claims: DataFrame, target: str, as_of: date, days: int = RESTATED_DAYS, touched: Sequence[date | None] = ()
+) -> None:
+    """Replace the service months of the trailing period and the ``touched`` ones.
 
-    The scan is limited to those months, and only their partitions are overwritten.
+    The trailing period is a minimum: months that ``touched_months`` finds (a list as long as
+    the calendar) are restated however old they are, the one of claims without a service
+    date, None, included.  The scan is limited to those months, and only their partitions
+    are overwritten; a month whose claims have all gone becomes an empty partition.
     Rebalancing gives every month files of the advisory size: a month with very many
     rows is written by several tasks, small ones share a task.
     """
+    spark = claims.sparkSession
     since = restated_span(as_of, days)
+    old = [m for m in touched if m is not None and m < since]
+
+    def wanted(month: Column, day: Column) -> Column:
+        chosen = day >= F.lit(since)
+        if old:
+            chosen = chosen | ((day >= F.lit(min(old))) & month.isin(old))
+        return chosen | day.isNull() if None in touched else chosen
+
+    def months(df: DataFrame) -> set[date | None]:
+        return {r.service_month for r in df.select("service_month").distinct().collect()}
+
+    chosen = claims.filter(wanted(service_month(), F.col("service_date"))).withColumn("service_month", service_month())
+    schema = StructType(list(claims.schema.fields)).add("service_month", "date")
+    try:
+        published = spark.read.schema(schema).parquet(target)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        emptied = set()  # nothing is published yet
+    else:
+        month = F.col("service_month")
+        emptied = months(published.filter(wanted(month, month))) - months(chosen)
     (
-        claims.filter(F.col("service_date") >= F.lit(since))
-        .withColumn("service_month", service_month())
-        .hint("rebalance", F.col("service_month"))
+        chosen.hint("rebalance", F.col("service_month"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("service_month")
         .parquet(target)
     )
+    for month in emptied:
+        name = month or "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's folder of a NULL partition
+        claims.limit(0).write.mode("overwrite").parquet(f"{target}/service_month={name}")

@@ -156,3 +156,19 @@ def test_staged_tables_live_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert all(f.replace("file://", "").startswith(shared) for f in df.inputFiles())
     assert df.count() == 10
+
+
+def test_similarity_costs_a_row_its_own_length():
+    import time
+
+    from sitelens.functions import similarity
+
+    rng = np.random.default_rng(3)
+    pairs = [[bytes(rng.integers(97, 101, rng.integers(1, 400)).astype(np.uint8)) for _ in range(2)] for _ in range(300)]
+    whole = similarity._block_similarity(*map(list, zip(*pairs)))
+    assert np.allclose([similarity._long_similarity(a, b) for a, b in pairs], whole, atol=1e-12)
+    assert np.allclose(similarity._similarities(*map(list, zip(*pairs))), whole, atol=1e-12)
+    left = pd.Series(["martha"] * 4095 + ["x" * 100_000])
+    start = time.monotonic()
+    got = similarity.similarity_of(left, pd.Series(["marhta"] * 4095 + ["x" * 99_000]))
+    assert time.monotonic() - start < 10 and abs(got[0] - 0.961111) < 1e-5 and got[4095] > 0.99

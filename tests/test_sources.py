@@ -125,11 +125,11 @@ CLAIM = "claim_id int, member_id int, service_date date, processed_date date, al
 def test_stream_picks_up_only_new_files(spark, tmp_path):
     src, out, mark = (str(tmp_path / n) for n in ("landing", "claims", "mark"))
     spark.createDataFrame([(1, 1, date(2024, 1, 5), date(2024, 2, 1), 10.0)], CLAIM).write.parquet(src)
-    landing.append_landed(spark, src, out, mark).awaitTermination()
+    landing.append_landed(spark, src, out, mark, CLAIM).awaitTermination()
     late = [(2, 1, date(2024, 1, 9), date(2024, 5, 1), 20.0), (1, 1, date(2024, 1, 5), date(2024, 5, 2), 12.0)]
     spark.createDataFrame(late, CLAIM).write.mode("append").parquet(src)
-    landing.append_landed(spark, src, out, mark).awaitTermination()
-    landing.append_landed(spark, src, out, mark).awaitTermination()
+    landing.append_landed(spark, src, out, mark, CLAIM).awaitTermination()
+    landing.append_landed(spark, src, out, mark, CLAIM).awaitTermination()
     got = spark.read.parquet(out)
     assert got.count() == 3
     latest = landing.latest_versions(got, "claim_id", "processed_date")
@@ -151,6 +151,45 @@ def test_restatement_leaves_old_months_alone(spark, tmp_path):
     assert wrong.count() == 0
 
 
+def test_landing_loses_nothing_on_the_watermark_day(spark):
+    rows = [(1, 1, None, date(2024, 5, 1), 1.0), (2, 1, None, None, 1.0), (3, 1, None, date(2024, 4, 30), 1.0)]
+    df = spark.createDataFrame(rows, CLAIM)
+    delta = extract.landed_since(df, "processed_date", date(2024, 5, 1))
+    assert {r.claim_id for r in delta.collect()} == {1, 2}
+    left = extract.not_yet_seen(delta, df.filter("claim_id = 2"), "claim_id")
+    assert left.columns == df.columns and [r.claim_id for r in left.collect()] == [1]
+
+
+def test_latest_version_without_landing_dates(spark):
+    rows = [(1, 1, None, None, 1.0), (2, 1, None, None, 1.0), (2, 1, None, date(2024, 1, 1), 2.0)]
+    rows += [(3, 1, None, date(2024, 1, 1), 3.0), (3, 2, None, date(2024, 1, 1), 4.0)]
+    df = spark.createDataFrame(rows, CLAIM)
+    got = [landing.latest_versions(x, "claim_id", "processed_date", ["member_id"]) for x in (df, df.repartition(5))]
+    assert all({(r.claim_id, r.allowed_amount) for r in x.collect()} == {(1, 1.0), (2, 2.0), (3, 4.0)} for x in got)
+
+
+def test_restatement_of_old_and_emptied_months(spark, tmp_path):
+    target = str(tmp_path / "claims")
+    jan, apr, jun = date(2023, 1, 9), date(2024, 4, 9), date(2024, 6, 9)
+    day = date(2024, 7, 1)
+    rows = [(1, 1, jan, day, 1.0), (2, 1, date(2023, 2, 9), day, 1.0), (3, 1, apr, day, 1.0), (4, 1, jun, day, 1.0), (5, 1, None, day, 1.0)]
+    landing.restate(spark.createDataFrame(rows, CLAIM), target, date(2024, 7, 31), days=900, touched=[None])
+    moved = [(1, 1, date(2023, 3, 9), date(2024, 7, 9), 9.0), (3, 1, jun, date(2024, 7, 9), 9.0), (5, 1, jun, date(2024, 7, 9), 9.0)]
+    versions = spark.createDataFrame(rows + moved, CLAIM)
+    months = landing.touched_months(versions, "claim_id", "processed_date", date(2024, 7, 2)).collect()
+    latest = landing.latest_versions(versions, "claim_id", "processed_date")
+    landing.restate(latest, target, date(2024, 7, 31), touched=[r.service_month for r in months])
+    got = spark.read.parquet(target)
+    want = [(1, date(2023, 3, 9), 9.0), (2, date(2023, 2, 9), 1.0), (3, jun, 9.0), (4, jun, 1.0), (5, jun, 9.0)]
+    assert sorted((r.claim_id, r.service_date, r.allowed_amount) for r in got.collect()) == want
+
+
+def test_extract_replaces_what_a_failed_write_left(spark, tmp_path):
+    (tmp_path / "t.parquet").mkdir()
+    assert extract.extract(spark.range(7), str(tmp_path / "t.parquet")) == 7
+    assert extract.extract(spark.range(9), str(tmp_path / "t.parquet")) is None
+
+
 def test_marts_run_from_an_extracted_snapshot(spark, tmp_path):
     _, snap = extract.extract_network(StandIn(spark, SMALL), StandIn.NAMES, str(tmp_path / "raw"))
     from_files = Workspace(snap, SPAN, AS_OF).market_summary.collect()
