@@ -211,6 +211,15 @@ def test_n_best_segmentations():
     whole = "the thing und"
     want = sorted((-s for s, _ in every("▁" + whole.replace(" ", "▁"))))[:3]
     assert [-s for s, _ in model.encode(whole, 3)] == want
+    for whole in ("it, so.", "a.b, c", "aa aa aa", "中, 中"):
+        want = sorted((-s for s, _ in every("▁" + whole.replace(" ", "▁"))))[:4]
+        got = model.encode(whole, 4)
+        assert [-s for s, _ in got] == pytest.approx(want, abs=1e-9) and len({i for _, i in got}) == len(got)
+        assert all(model.decode(i) == whole for _, i in got)
+    for unbroken in ("a" * 20_000, "ab中" * 5_000):  # many ties, no border
+        got, back = model.choices(unbroken, 3)
+        assert back == unbroken and len({b"".join(parts) for _, parts in got}) == 3
+        assert got[0][0] >= got[1][0] >= got[2][0]
     for text in ("", "a  b\nc 中 ", "Größe 🙂"):
         assert model.decode(model.encode(text)[0][1]) == text
 
