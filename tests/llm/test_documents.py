@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 from collections import Counter
 
 import numpy as np
@@ -277,3 +278,18 @@ def test_bucket_pairs_hold_every_link_once(spark, make_docs):
     rows = {bytes(r.same): set(zip(*[r.text.split()[j:] for j in range(5)])) for r in near.keyed(make_docs(texts)).join(sketched.select("_key", "same"), "_key").collect()}
     links = {(u, v) for u in rows for v in rows if u < v and len(rows[u] & rows[v]) >= 0.8 * len(rows[u] | rows[v])}
     assert links and links <= found < {(u, v) for u in rows for v in rows if u < v}
+
+
+def test_whole_licence_files(make_docs):
+    texts = {p.name.removesuffix(".txt"): p.read_text(encoding="utf-8") for p in licenses.TEXTS.glob("*.txt")} | dict(licenses.KNOWN[4:])
+    head, docs = "Copyright (c) 2019, 2020 Some One <a@b.org>\nAll rights reserved.\n", []
+    for name, text in texts.items():
+        parts = [p if re.search(r"(?im)^\W*copyright +[\[(0-9]", p) else textwrap.fill(p, 58, break_long_words=False, break_on_hyphens=False) for p in text.split("\n\n")]
+        wrapped = "\n\n".join(parts)
+        docs += [(name, head + text), (name, f"{licenses.TITLES[name][0]}\n\n{head}\r\n{text}"), (name, f"// {head}" + wrapped.replace("\n", "\n// "))]
+    docs += [("MIT", texts["MIT"].replace("sublicense", "sub-\nlicence")), ("Apache-2.0", texts["Apache-2.0"].split("END OF TERMS")[0])]
+    docs += [("Apache-2.0", texts["Apache-2.0"].replace("[yyyy] [name of copyright owner]", "2021 Some One"))]
+    docs += [("BSD-3-Clause", re.sub(r"(?m)^[0-9]\.", "*", texts["BSD-3-Clause"])), (None, texts["MIT"].replace("free of charge", "for a fee"))]
+    docs += [(None, texts["BSD-2-Clause"].replace("source and binary forms", "source forms"))]
+    got = {r.doc_id: r.license_id for r in licenses.license_scan(make_docs([text for _, text in docs])).collect()}
+    assert [(i, name, got[i]) for i, (name, _) in enumerate(docs) if got[i] != name] == []
