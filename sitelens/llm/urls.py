@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +18,6 @@ RULES = [
     ("block", "net/es/"),
     ("block", "net/fr/"),
 ]
-LEVELS = 4
 MANY_VALUES, PAGES_A_VALUE = 50, 3
 Z, PRIOR_WEIGHT, MAX_BAD = 1.96, 10.0, 0.5
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -44,33 +44,41 @@ def rule_columns(rules: Sequence[tuple[str, str]]) -> tuple[F.Column, F.Column]:
 
 
 def templates(paths: DataFrame) -> DataFrame:
-    """``paths(host, path, ...)`` with ``t1 .. t4``: path segments, variable ones as ``*``.
+    """``paths(host, path, ...)`` with ``template``: the path, its variable segments as ``*``.
 
-    A segment with a digit is variable.  Then level by level, under one host and parent, a
-    segment's place is variable if it has more than 50 values with under 3 pages each on
-    average.  Segments after the fourth count as one.  Levels are aggregates joined back, so a
-    host may hold any share of the pages.
+    A segment with a digit is variable.  Then level by level, under one host and parent
+    template, a segment's place is variable if it has more than 50 values with under 3 pages
+    each on average.  Levels are aggregates joined back, so a host may hold any share of the
+    pages.  A parent with at most 50 paths cannot have more values below, so its paths leave
+    the loop: it goes on to the depth at which templates can still branch that far.
     """
-    tail = f"array_join(slice(_s, {LEVELS}, greatest(size(_s) - {LEVELS - 1}, 0)), '/')"
-    seg = paths.withColumn("_s", F.expr("filter(split(path, '/'), x -> x <> '')")).selectExpr(
-        "*",
-        *[f"coalesce(get(_s, {i}), '') AS t{i + 1}" for i in range(LEVELS - 1)],
-        f"{tail} AS t{LEVELS}",
-    )
-    for i in range(1, LEVELS + 1):
-        seg = seg.withColumn(f"t{i}", F.expr(f"if(t{i} RLIKE '[0-9]', '*', t{i})"))
-    parent = ["host"]
-    for i in range(1, LEVELS + 1):
-        values = seg.groupBy(*parent, f"t{i}").agg(F.sum("pages").alias("_n"))
+    segments = "transform(filter(split(path, '/'), x -> x <> ''), x -> if(x RLIKE '[0-9]', '*', x))"
+    left = staged(paths.withColumn("_s", F.expr(segments)).withColumn("_t", F.lit("")))
+    done, level = [], 0
+    while True:
+        parents = left.groupBy("host", "_t").agg(F.count("*").alias("_paths"), F.max(F.size("_s")).alias("_depth"))
+        parents = parents.filter(f"_paths > {MANY_VALUES} AND _depth > {level}").select("host", "_t", F.lit(True).alias("_open"))
+        marked = staged(left.join(parents, ["host", "_t"], "left"))
+        rest = f"concat(_t, array_join(transform(slice(_s, {level + 1}, greatest(size(_s) - {level}, 1)), x -> concat('/', x)), ''))"
+        done.append(marked.filter("_open IS NULL").withColumn("_t", F.expr(rest)).drop("_open"))
+        left = marked.filter("_open").drop("_open")
+        if left.isEmpty():
+            break
+        ended, left = left.filter(f"size(_s) <= {level}"), left.filter(f"size(_s) > {level}")
+        done.append(ended)
+        left = left.withColumn("_v", F.expr(f"_s[{level}]"))
         wide = (
-            values.groupBy(*parent)
-            .agg(F.count("*").alias("_v"), F.sum("_n").alias("_n"))
-            .filter(f"_v > {MANY_VALUES} AND _n < {PAGES_A_VALUE} * _v")
-            .select(*parent, F.lit(True).alias("_wide"))
+            left.groupBy("host", "_t", "_v")
+            .agg(F.sum("pages").alias("_n"))
+            .groupBy("host", "_t")
+            .agg(F.count("*").alias("_values"), F.sum("_n").alias("_n"))
+            .filter(f"_values > {MANY_VALUES} AND _n < {PAGES_A_VALUE} * _values")
+            .select("host", "_t", F.lit(True).alias("_wide"))
         )
-        seg = seg.join(wide, parent, "left").withColumn(f"t{i}", F.expr(f"if(_wide AND t{i} <> '', '*', t{i})")).drop("_wide")
-        parent.append(f"t{i}")
-    return seg.drop("_s")
+        left = left.join(wide, ["host", "_t"], "left").withColumn("_t", F.expr("concat(_t, '/', if(_wide, '*', _v))"))
+        left, level = staged(left.drop("_v", "_wide")), level + 1
+    out = reduce(DataFrame.unionByName, done)
+    return out.withColumn("template", F.expr("if(_t = '', '/', _t)")).drop("_s", "_t")
 
 
 def url_filter(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, str]] = tuple(RULES)) -> DataFrame:
@@ -98,14 +106,11 @@ def url_filter(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, s
         .join(marks, "_doc", "left")
         .selectExpr("host", "path", "pages", "if(_bad IS NULL, 0L, pages) AS labelled", "coalesce(_bad, 0L) * pages AS bad")
     )
-    levels = [f"t{i}" for i in range(1, LEVELS + 1)]
-    by_path = staged(templates(counted).select("host", "path", "labelled", "bad", *levels))
-    branch = by_path.groupBy("host", *levels).agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
-    parent = ["host", *levels[:-1]]
-    # the last segment that is there is what branches; its parent is all before it
-    depth = f"size(filter(array({', '.join(levels)}), x -> x <> ''))"
-    branch = branch.withColumn("_depth", F.expr(depth)).withColumn(
-        "_parent", F.expr(f"concat_ws('/', slice(array({', '.join(levels)}), 1, greatest(_depth - 1, 0)))")
+    by_path = staged(templates(counted).select("host", "path", "labelled", "bad", "template"))
+    branch = by_path.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
+    # the last segment is what branches; its parent is all before it
+    branch = branch.withColumn("_depth", F.expr("if(template = '/', 1, size(split(template, '/')))")).withColumn(
+        "_parent", F.expr("regexp_extract(template, '^(.*)/[^/]*$', 1)")
     )
     branch = staged(branch)
     pool = branch.groupBy("host", "_depth", "_parent").agg(F.sum("labelled").alias("_all"), F.sum("bad").alias("_all_bad"))
@@ -124,11 +129,9 @@ def url_filter(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, s
         .withColumn("_b", F.expr("if(_merged, _mb, bad)"))
         .withColumn("_l", F.expr("if(_merged, _ml, labelled)"))
         .withColumn("_blocked", F.expr(f"(_b + {PRIOR_WEIGHT}D * _share) / (_l + {PRIOR_WEIGHT}D) > {MAX_BAD}D"))
-        .select(*parent, levels[-1], "_blocked")
-    )
-    verdicts = by_path.join(scored, ["host", *levels]).select(
-        "host", "path", "_blocked", F.concat(F.lit("/"), F.expr(f"array_join(filter(array({', '.join(levels)}), x -> x <> ''), '/')")).alias("template")
+        .select("host", "template", "_blocked")
     )
+    verdicts = by_path.join(scored, ["host", "template"]).select("host", "path", "_blocked", "template")
     return parsed.join(verdicts, ["host", "path"]).select(
         "page_id",
         "host",

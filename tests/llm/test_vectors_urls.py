@@ -59,3 +59,16 @@ def test_bad_templates_are_blocked(spark):
     labels = spark.createDataFrame([(i, 1, i % 2) for i in range(0, 400)], "doc_id long, quality int, toxic int")
     got = {r.page_id: (r.verdict, r.template) for r in urls.url_filter(pages, labels).collect()}
     assert got[400] == ("block", "/bad/*") and got[0] == ("allow", "/fine/*")
+
+
+def test_templates_reach_the_whole_path(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(i, f"http://d.org/a/b/c/{'spam' if i % 2 else 'news'}/{i}") for i in range(200)]
+    rows += [(1000 + i, f"http://d.org/w/x/y/z/{letters[i % 26]}{letters[i // 26]}/end") for i in range(60)]
+    rows += [(2000, "http://d.org/" + "/".join(["deep"] * 300 + ["7x", "end"]))]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(200)], "doc_id long, quality int, toxic int")
+    got = {r.page_id: (r.verdict, r.template) for r in urls.url_filter(pages, labels).collect()}
+    assert got[0] == ("allow", "/a/b/c/news/*") and got[1] == ("block", "/a/b/c/spam/*")
+    assert {got[1000 + i][1] for i in range(60)} == {"/w/x/y/z/*/end"}
+    assert got[2000][1] == "/" + "deep/" * 300 + "*/end"
