@@ -20,6 +20,11 @@ RULES = [
 ]
 MANY_VALUES, PAGES_A_VALUE = 50, 3
 Z, PRIOR_WEIGHT, MAX_BAD = 1.96, 10.0, 0.5
+#: SQL: does the share of ``b`` in ``l`` lie within Z standard errors of the node's?  Branches without labels do.
+CLOSE = (
+    "coalesce(abs(b / nullif(l, 0) - _all_bad / nullif(_all, 0)) <= "
+    f"{Z}D * sqrt((_all_bad / nullif(_all, 0)) * (1 - _all_bad / nullif(_all, 0)) / nullif(l, 0)), true)"
+)
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -81,14 +86,71 @@ def templates(paths: DataFrame) -> DataFrame:
     return out.withColumn("template", F.expr("if(_t = '', '/', _t)")).drop("_s", "_t")
 
 
+def merged_counts(counts: DataFrame) -> DataFrame:
+    """``counts(host, template, labelled, bad)`` with ``l`` and ``b``: those of the branch each is merged into.
+
+    Under each node of a host's tree the branches (subtrees, and the template that is the node
+    itself) whose share of bad labels lies within 1.96 standard errors of the node's are merged.
+    This goes from the leaves up: what is merged under a node goes on as one branch of the node
+    above, with the counts of its members; a branch that does not fit stays by itself.  Nodes
+    with a single branch merge nothing and are left out, so there are as many rounds as nodes
+    that branch above each other.
+    """
+    segments = "if(template = '/', CAST(array() AS array<string>), slice(split(template, '/'), 2, size(split(template, '/')) - 1))"
+    leaves = staged(counts.withColumn("_s", F.expr(segments)))
+    nodes = leaves.select("host", "template", F.expr("posexplode(concat(_s, array('')))").alias("_k", "_next"), "_s").withColumn(
+        "_node", F.expr("concat_ws('/', slice(_s, 1, _k))")
+    )
+    nodes = staged(nodes.select("host", "template", "_k", "_node", "_next"))
+    branching = nodes.groupBy("host", "_k", "_node").agg(F.min("_next").alias("_a"), F.max("_next").alias("_z"))
+    branching = branching.filter("_k = 0 OR _a <> _z").select("host", "_k", "_node")
+    above = (
+        nodes.join(branching, ["host", "_k", "_node"])
+        .groupBy("host", "template")
+        .agg(F.sort_array(F.collect_list(F.struct("_k", "_node"))).alias("_up"))
+    )
+    # one row per template: its counts, and the branching nodes above it from the root down
+    leaves = staged(leaves.drop("_s").join(above, ["host", "template"]).withColumn("_rank", F.size("_up")))
+    stops, carried = [], None
+    for rank in range(leaves.agg(F.max("_rank").alias("n")).first().n or 0, 0, -1):
+        units = leaves.filter(f"_rank = {rank}").selectExpr("host", "_up", "template AS _unit", f"{rank} AS _at", "true AS _own", "labelled AS l", "bad AS b")
+        if carried is not None:
+            units = units.unionByName(carried)
+        units = units.withColumn("_node", F.expr("element_at(_up, -1)._node"))
+        pool = units.groupBy("host", "_node").agg(F.sum("l").alias("_all"), F.sum("b").alias("_all_bad"))
+        judged = staged(units.join(pool, ["host", "_node"]).withColumn("_fits", F.expr(CLOSE)))
+        stops.append(judged.filter("NOT _fits").select("host", "_unit", "_own", "_at", "l", "b"))
+        merged = judged.filter("_fits").groupBy("host", "_node").agg(F.any_value("_up").alias("_up"), F.sum("l").alias("l"), F.sum("b").alias("b"))
+        carried = staged(
+            merged.selectExpr(
+                "host", f"slice(_up, 1, {rank - 1}) AS _up", "_node AS _unit", f"{rank - 1} AS _at", "false AS _own", "l", "b"
+            )
+        )
+    if carried is None:
+        return counts.selectExpr("*", "labelled AS l", "bad AS b")
+    stops.append(carried.select("host", "_unit", "_own", "_at", "l", "b"))
+    # the lowest branch that did not fit, or the root's, holds the template
+    chain = leaves.selectExpr(
+        "host",
+        "template",
+        "explode(concat(transform(_up, (x, i) -> struct(x._node AS _unit, false AS _own, i AS _at)), "
+        "array(struct(template AS _unit, true AS _own, _rank AS _at)))) AS _c",
+    ).select("host", "template", "_c.*")
+    held = (
+        chain.join(reduce(DataFrame.unionByName, stops), ["host", "_unit", "_own", "_at"])
+        .groupBy("host", "template")
+        .agg(F.max(F.struct("_at", "l", "b")).alias("_held"))
+    )
+    return leaves.drop("_up", "_rank").join(held, ["host", "template"]).select("host", "template", "labelled", "bad", "_held.l", "_held.b")
+
+
 def url_filter(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, str]] = tuple(RULES)) -> DataFrame:
     """page_id, host, path, rule, verdict, template for every page.
 
     Where no rule fits, the page's path template decides.  Pages are labelled by the document
-    number at the end of their path: bad is quality 0 or toxic.  Branches of one parent whose
-    share of bad labels lies within 1.96 standard errors of the parent's are merged; every
-    branch's share is then smoothed towards the overall one, worth 10 labels, and the template
-    is blocked beyond one half.  Without labels everything else is allowed.
+    number at the end of their path: bad is quality 0 or toxic.  Similar branches are merged
+    from the leaves up (``merged_counts``); the share of what a template is merged into is then
+    smoothed towards the overall one, worth 10 labels, and the template is blocked beyond one half.  Without labels everything else is allowed.
 
     Null ids and urls are ordinary rows (both parts empty); repeated pages are judged alike; of
     repeated labels the bad ones win; an empty table gives an empty result.
@@ -108,27 +170,12 @@ def url_filter(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, s
     )
     by_path = staged(templates(counted).select("host", "path", "labelled", "bad", "template"))
     branch = by_path.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
-    # the last segment is what branches; its parent is all before it
-    branch = branch.withColumn("_depth", F.expr("if(template = '/', 1, size(split(template, '/')))")).withColumn(
-        "_parent", F.expr("regexp_extract(template, '^(.*)/[^/]*$', 1)")
-    )
     branch = staged(branch)
-    pool = branch.groupBy("host", "_depth", "_parent").agg(F.sum("labelled").alias("_all"), F.sum("bad").alias("_all_bad"))
     total = branch.selectExpr("coalesce(sum(bad) / nullif(sum(labelled), 0), 0D) AS share").scalar()
-    close = (
-        "coalesce(abs(bad / nullif(labelled, 0) - _all_bad / nullif(_all, 0)) <= "
-        f"{Z}D * sqrt((_all_bad / nullif(_all, 0)) * (1 - _all_bad / nullif(_all, 0)) / nullif(labelled, 0)), true)"
-    )
-    judged = branch.join(pool, ["host", "_depth", "_parent"]).withColumn("_merged", F.expr(close))
-    merged = judged.groupBy("host", "_depth", "_parent", "_merged").agg(
-        F.sum("labelled").alias("_ml"), F.sum("bad").alias("_mb")
-    )
     scored = (
-        judged.join(merged, ["host", "_depth", "_parent", "_merged"])
+        merged_counts(branch)
         .withColumn("_share", total)
-        .withColumn("_b", F.expr("if(_merged, _mb, bad)"))
-        .withColumn("_l", F.expr("if(_merged, _ml, labelled)"))
-        .withColumn("_blocked", F.expr(f"(_b + {PRIOR_WEIGHT}D * _share) / (_l + {PRIOR_WEIGHT}D) > {MAX_BAD}D"))
+        .withColumn("_blocked", F.expr(f"(b + {PRIOR_WEIGHT}D * _share) / (l + {PRIOR_WEIGHT}D) > {MAX_BAD}D"))
         .select("host", "template", "_blocked")
     )
     verdicts = by_path.join(scored, ["host", "template"]).select("host", "path", "_blocked", "template")

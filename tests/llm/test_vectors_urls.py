@@ -72,3 +72,50 @@ def test_templates_reach_the_whole_path(spark):
     assert got[0] == ("allow", "/a/b/c/news/*") and got[1] == ("block", "/a/b/c/spam/*")
     assert {got[1000 + i][1] for i in range(60)} == {"/w/x/y/z/*/end"}
     assert got[2000][1] == "/" + "deep/" * 300 + "*/end"
+
+
+def test_similar_sections_are_merged_over_all_levels(spark):
+    names = ["sa", "sb", "sc", "sd", "se", "sf", "sg", "sh"]
+    rows = [(3 * k + i, f"http://few.org/{name}/{3 * k + i}") for k, name in enumerate(names) for i in range(3)]
+    deep = [(100 + 3 * k + i, f"http://deep.org/x/{name}/y/{100 + 3 * k + i}") for k, name in enumerate(names) for i in range(3)]
+    good = [(1000 + i, f"http://fine.org/ok/{1000 + i}") for i in range(144)]
+    mixed = [(2000 + i, f"http://mixed.org/{'bad' if i < 40 else 'good'}/a/{2000 + i}") for i in range(80)] + [(3000, "http://mixed.org/good/b/3000")]
+    pages = spark.createDataFrame([*rows, *deep, *good, *mixed], "page_id long, url string")
+    marks = [(i, 1, int(i < 200)) for i, _ in [*rows, *deep, *good]] + [(2000 + i, 1, int(i < 40)) for i in range(80)] + [(3000, 1, 0)]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    got = {r.page_id: r.verdict for r in urls.url_filter(pages, labels).collect()}
+    assert {got[i] for i, _ in rows} == {got[i] for i, _ in deep} == {"block"}
+    assert {got[i] for i, _ in good} == {"allow"} and got[2000] == "block" and got[2079] == got[3000] == "allow"
+
+
+def test_merged_counts_against_brute_force(spark):
+    rng = np.random.default_rng(4)
+    rows = {}
+    for _ in range(120):
+        host, depth = f"h{rng.integers(3)}", int(rng.integers(0, 6))
+        path = tuple(str(rng.choice(list("abc"))) for _ in range(depth))
+        n = int(rng.integers(0, 12))
+        rows[host, path] = (n, int(rng.binomial(n, rng.choice([0.0, 0.3, 1.0]))))
+    want = {}
+    for host in {h for h, _ in rows}:
+        tree = {p: c for (h, p), c in rows.items() if h == host}
+        nodes = {p[:k] for p in tree for k in range(len(p) + 1)}
+        groups = {}
+        for node in sorted(nodes, key=len, reverse=True):
+            units = [groups[kid] for kid in sorted(nodes) if len(kid) == len(node) + 1 and kid[: len(node)] == node and kid in groups]
+            units += [(*tree[node], [node])] if node in tree else []
+            all_l, all_b = sum(u[0] for u in units), sum(u[1] for u in units)
+            fits = []
+            for unit in units:
+                p = all_b / all_l if all_l else 0
+                if not unit[0] or abs(unit[1] / unit[0] - p) <= 1.96 * math.sqrt(p * (1 - p) / unit[0]):
+                    fits.append(unit)
+                else:
+                    want |= {(host, x): unit[:2] for x in unit[2]}
+            if fits:
+                groups[node] = (sum(u[0] for u in fits), sum(u[1] for u in fits), [x for u in fits for x in u[2]])
+        if () in groups:
+            want |= {(host, x): groups[()][:2] for x in groups[()][2]}
+    df = spark.createDataFrame([(h, "/" + "/".join(p), *c) for (h, p), c in rows.items()], "host string, template string, labelled long, bad long")
+    got = {(r.host, tuple(x for x in r.template.split("/") if x)): (r.l, r.b) for r in urls.merged_counts(df).collect()}
+    assert got == want
