@@ -19,9 +19,7 @@ def distance_miles(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Co
     return F.lit(2 * EARTH_RADIUS_MILES) * F.asin(F.sqrt(F.least(F.lit(1.0), chord)))
 
 
-def ring_points(wkt: Column) -> Column:
-    """Outer ring of a ``POLYGON ((x y, ...))`` text as array<struct<x, y>>."""
-    ring = F.regexp_extract(wkt, r"\(\(([^()]*)\)", 1)
+def _points(ring: Column) -> Column:
     return F.transform(
         F.split(ring, r"\s*,\s*"),
         lambda p: F.struct(
@@ -31,6 +29,23 @@ def ring_points(wkt: Column) -> Column:
     )
 
 
+def ring_points(wkt: Column) -> Column:
+    """Outer ring of a ``POLYGON ((x y, ...))`` text as array<struct<x, y>>."""
+    return _points(F.regexp_extract(wkt, r"\(\(([^()]*)\)", 1))
+
+
+def all_rings(wkt: Column) -> Column:
+    """Every ring of a ``POLYGON`` or ``MULTIPOLYGON`` text, holes too; empty for ``EMPTY`` and null texts."""
+    rings = F.regexp_extract_all(F.coalesce(wkt, F.lit("")), F.lit(r"\(([^()]+)\)"), 1)
+    return F.transform(F.filter(rings, lambda r: F.trim(r) != ""), _points)
+
+
+def inside_rings(x: Column, y: Column, rings: Column) -> Column:
+    """Even-odd test over all rings: parts count, their holes do not."""
+    odd = F.filter(rings, lambda ring: inside_ring(x, y, ring))
+    return F.size(odd) % 2 == 1
+
+
 def inside_ring(x: Column, y: Column, ring: Column) -> Column:
     """Even-odd test: does a ray to the right of (x, y) cross the ring an odd number of times?"""
     edges = F.arrays_zip(

@@ -7,9 +7,9 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sitelens.functions.geo import inside_ring, ring_points
+from sitelens.functions.geo import all_rings, inside_rings
 from sitelens.functions.measures import share_pct
-from sitelens.functions.scale import staged
+from sitelens.functions.scale import null_safe_join, staged
 from sitelens.functions.temporal import Span, active_on, age_years
 
 
@@ -116,7 +116,10 @@ CELL_DEGREES = 0.25
 
 
 def drive_time_access(members: DataFrame, isochrones: DataFrame) -> DataFrame:
-    """Members within each drive-time polygon, by point-in-polygon.
+    """Members within each drive-time polygon, by point-in-polygon; 0 where there are none.
+
+    All parts of a multipolygon count and holes do not.  Rows that repeat a facility and
+    time are added up.
 
     Polygons are laid on a grid and meet members by grid cell, an equi-join; the exact
     test runs only on members of a polygon's cells.  Members first collapse to distinct
@@ -131,19 +134,22 @@ def drive_time_access(members: DataFrame, isochrones: DataFrame) -> DataFrame:
     )
 
     def cell_range(axis: str):
-        values = F.transform("ring", lambda p: p[axis])
+        values = F.transform(F.flatten("rings"), lambda p: p[axis])
         return F.sequence(
             F.floor(F.array_min(values) / CELL_DEGREES), F.floor(F.array_max(values) / CELL_DEGREES)
         )
 
+    key = ["facility_id", "isochrone_minutes"]
     cells = (
-        isochrones.select("facility_id", "isochrone_minutes", ring_points(F.col("polygon_wkt")).alias("ring"))
+        isochrones.select(*key, all_rings(F.col("polygon_wkt")).alias("rings"))
         .withColumn("cx", F.explode(cell_range("x")))
         .withColumn("cy", F.explode(cell_range("y")))
     )
-    return (
+    counts = (
         cells.join(homes, ["cx", "cy"])
-        .filter(inside_ring(F.col("x"), F.col("y"), F.col("ring")))
-        .groupBy("facility_id", "isochrone_minutes")
+        .filter(inside_rings(F.col("x"), F.col("y"), F.col("rings")))
+        .groupBy(*key)
         .agg(F.sum("people").alias("members_within"))
     )
+    every = isochrones.select(*key).distinct()
+    return null_safe_join(every, counts, key, "left").withColumn("members_within", F.coalesce("members_within", F.lit(0).cast("long")))

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sitelens.functions import geo, scale, similarity, temporal, text
+from sitelens.operators import people
 
 
 def _pairs(rng, n, alphabet):
@@ -172,3 +173,18 @@ def test_similarity_costs_a_row_its_own_length():
     start = time.monotonic()
     got = similarity.similarity_of(left, pd.Series(["marhta"] * 4095 + ["x" * 99_000]))
     assert time.monotonic() - start < 10 and abs(got[0] - 0.961111) < 1e-5 and got[4095] > 0.99
+
+
+def test_drive_time_access_takes_every_ring(spark):
+    polygons = [
+        ("multi", "MULTIPOLYGON (((0 0, 1 0, 1 1, 0 1, 0 0)), ((5 5, 9 5, 9 9, 5 9, 5 5), (6 6, 8 6, 8 8, 6 8, 6 6)))"),
+        ("hole", "POLYGON ((5 5, 9 5, 9 9, 5 9, 5 5), (6 6, 8 6, 8 8, 6 8, 6 6))"),
+        ("nobody", "POLYGON ((20 20, 21 20, 21 21, 20 21, 20 20))"),
+        ("empty", "MULTIPOLYGON EMPTY"),
+        ("null", None),
+        (None, "POLYGON ((0 0, 1 0, 1 1, 0 1, 0 0))"),
+    ]
+    isochrones = spark.createDataFrame([(f, 15, w) for f, w in polygons], "facility_id string, isochrone_minutes long, polygon_wkt string")
+    members = spark.createDataFrame([(0.5, 0.5), (0.5, 0.5), (5.5, 5.5), (7.0, 7.0), (3.0, 3.0)], "longitude double, latitude double")
+    got = {r.facility_id: r.members_within for r in people.drive_time_access(members, isochrones).collect()}
+    assert got == {"multi": 3, "hole": 1, "nobody": 0, "empty": 0, "null": 0, None: 2}
