@@ -39,15 +39,20 @@ def stable_sample(df: DataFrame, key: str, n: int) -> DataFrame:
     return hashed.filter(prefix <= last).orderBy("_hash", key).limit(n).drop("_hash")
 
 
-def random_control(patients: DataFrame, members: DataFrame, n: int) -> DataFrame:
-    """n unrelated pairs: two hash-ordered samples matched by position.
+def _placed(df: DataFrame, key: str) -> DataFrame:
+    """``key`` with its ``place`` in hash order: ranks within hash prefixes, after the counts of the prefixes before."""
+    hashed = staged(df.select(key, F.md5(F.col(key).cast("string")).alias("_hash")).withColumn("_prefix", F.substring("_hash", 1, 4)))
+    counts = hashed.groupBy("_prefix").agg(F.count("*").alias("_n"))
+    before = counts.select("_prefix", F.expr("sum(_n) OVER (ORDER BY _prefix ROWS UNBOUNDED PRECEDING) - _n").alias("_before"))
+    rank = F.row_number().over(Window.partitionBy("_prefix").orderBy("_hash", key))
+    return hashed.withColumn("_rank", rank).join(before, "_prefix").select(key, (F.col("_before") + F.col("_rank")).alias("place"))
 
-    The numbering window runs over the sample, whose size is the parameter n.
-    """
+
+def random_control(patients: DataFrame, members: DataFrame, n: int | None = None) -> DataFrame:
+    """n unrelated pairs, or as many as there are: both sides in hash order, matched by position."""
 
     def numbered(df: DataFrame, key: str) -> DataFrame:
-        order = Window.partitionBy(F.lit(0)).orderBy(F.md5(F.col(key).cast("string")), key)
-        return stable_sample(df.select(key), key, n).withColumn("place", F.row_number().over(order))
+        return _placed(df.select(key) if n is None else stable_sample(df.select(key), key, n), key)
 
     return (
         numbered(patients, "patient_id")
@@ -56,8 +61,8 @@ def random_control(patients: DataFrame, members: DataFrame, n: int) -> DataFrame
     )
 
 
-def agreement(xwalk: DataFrame, patients: DataFrame, members: DataFrame, n: int) -> DataFrame:
-    """Agreement of attributes the matcher never saw, per method and for random pairs."""
+def agreement(xwalk: DataFrame, patients: DataFrame, members: DataFrame, n: int | None = None) -> DataFrame:
+    """Agreement of attributes the matcher never saw, per method and for random pairs (n, or all there are)."""
     links = xwalk.select("patient_id", "member_id", "match_method")
     pairs = links.unionByName(random_control(patients, members, n))
     p = patients.select("patient_id", *[F.col(a).alias(f"p_{k}") for k, (a, _) in SIGNALS.items()])
@@ -146,13 +151,14 @@ def corrupt(truth: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, damaged)
 
 
-def known_truth(xwalk: DataFrame, patients: DataFrame, n: int) -> DataFrame:
-    """A stable sample of exactly matched patients, with the member they belong to."""
+def known_truth(xwalk: DataFrame, patients: DataFrame, n: int | None = None) -> DataFrame:
+    """Exactly matched patients with the member they belong to: all, or a stable sample of n."""
     exact = xwalk.filter(F.col("match_method") == "exact").select(
         "patient_id", F.col("member_id").alias("true_member_id")
     )
-    sample = stable_sample(staged(exact), "patient_id", n)  # read to count and to pick
-    return sample.join(patients.select("patient_id", *IDENTITY_FIELDS), "patient_id")
+    if n is not None:
+        exact = stable_sample(staged(exact), "patient_id", n)  # read to count and to pick
+    return exact.join(patients.select("patient_id", *IDENTITY_FIELDS), "patient_id")
 
 
 Matcher = Callable[..., DataFrame]

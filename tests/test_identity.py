@@ -1,5 +1,6 @@
 """The crosswalk against a plain statement of its rules, on tables full of collisions."""
 
+import hashlib
 import random
 from datetime import date, timedelta
 
@@ -217,3 +218,14 @@ def test_stable_sample_is_the_smallest_hashes(spark):
     ordered = sorted((hashlib.md5(f"k{i}".encode()).hexdigest(), f"k{i}") for i in range(3000))
     assert found == {k for _, k in ordered[:700]}
     assert measure.stable_sample(df, "key", 5000).count() == 3000
+
+
+def test_match_measurement_takes_every_link_by_default(spark):
+    patients = spark.range(1200).selectExpr("concat('p', id) AS patient_id", *[f"'x' AS {f}" for f in measure.IDENTITY_FIELDS])
+    members = spark.range(900).selectExpr("id AS member_id")
+    links = spark.range(800).selectExpr("concat('p', id) AS patient_id", "id AS member_id", "'exact' AS match_method")
+    assert measure.known_truth(links, patients).count() == 800 and measure.known_truth(links, patients, 500).count() == 500
+    pairs = {(r.patient_id, r.member_id) for r in measure.random_control(patients, members).collect()}
+    left, right = ([k for _, k in sorted((hashlib.md5(str(k).encode()).hexdigest(), k) for k in keys)] for keys in ([f"p{i}" for i in range(1200)], range(900)))
+    assert pairs == set(zip(left, right))
+    assert {(r.patient_id, r.member_id) for r in measure.random_control(patients, members, 500).collect()} == set(zip(left[:500], right[:500]))
