@@ -9,7 +9,7 @@ for path in (ROOT, ROOT / "tools"):
     if str(path) not in sys.path:
         sys.path.insert(0, str(path))
 
-SMALL = "/root/testdata/sf0.001"
+from paths import SMALL  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import TABLES, compare
-from conftest import SMALL
+from paths import SMALL
 
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 

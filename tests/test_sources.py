@@ -11,7 +11,7 @@ from sitelens.sources import extract
 from sitelens.sources.network import SCHEMAS, ParquetNetwork
 from sitelens.sources.stand_in import AS_OF, SPAN, StandIn
 from sitelens.streaming import landing
-from conftest import SMALL
+from paths import SMALL
 
 
 def plan_of(df):
