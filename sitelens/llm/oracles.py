@@ -101,9 +101,73 @@ reach AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT reach.doc_id, v FRO
 SELECT doc_id, min(other) AS class_id, min(other) = doc_id AS kept FROM reach GROUP BY doc_id
 """
 
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PLAIN = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP11 = rf"""
+WITH b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_PLAIN} AS w FROM benchmark),
+wins AS (
+    SELECT DISTINCT item, m, array_to_string(w[i:i + m - 1], ' ') AS g
+    FROM (SELECT item, w, least(len(w), 10) AS m, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)
+),
+d AS (SELECT doc_id, {_PLAIN} AS w FROM documents),
+places AS (
+    SELECT doc_id, m, i, array_to_string(w[i:i + m - 1], ' ') AS g
+    FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM d, (SELECT DISTINCT m FROM wins) WHERE len(w) >= m)
+),
+found AS (SELECT DISTINCT doc_id, m, i, item FROM places JOIN wins USING (m, g)),
+hit AS (
+    SELECT doc_id, count(DISTINCT pos) AS n
+    FROM (SELECT doc_id, unnest(range(i, i + m)) AS pos FROM found) GROUP BY doc_id
+),
+held AS (
+    SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(held.n, 0) AS n_items,
+    sha256(coalesce(items, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN held USING (doc_id)
+"""
+
+OP12 = rf"""
+WITH p AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWERED}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+phrases AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k)
+),
+f AS (SELECT lang, k, phrase, count(*) AS n FROM phrases GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(n) AS HUGEINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND n >= 100),
+parts AS (
+    SELECT c.lang, phrase, n AS a, j, array_to_string(w[:j], ' ') AS head, array_to_string(w[j + 1:], ' ') AS rest
+    FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c
+),
+scored AS (
+    SELECT parts.lang, parts.phrase, a, x.n AS l, y.n AS r, total.n AS n, j,
+        (1000 * CAST(a AS HUGEINT) * total.n) // (CAST(x.n AS HUGEINT) * y.n) AS score
+    FROM parts JOIN f x ON x.lang = parts.lang AND x.phrase = head JOIN f y ON y.lang = parts.lang AND y.phrase = rest
+    JOIN total ON total.lang = parts.lang
+    QUALIFY row_number() OVER (PARTITION BY parts.lang, parts.phrase ORDER BY score, j) = 1
+),
+inside AS (
+    SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, max(n) AS most
+    FROM (SELECT *, unnest(range(1, k - s + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS s FROM c WHERE k > 2)) GROUP BY 1, 2
+),
+ranked AS (
+    SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank
+    FROM scored s LEFT JOIN inside i ON i.lang = s.lang AND i.phrase = s.phrase WHERE coalesce(100 * most < 100 * a, true)
+)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000
+"""
+
 SQL: dict[str, str] = {
     "op1_quality_rules": OP1,
     "op3_suffix_dedup": OP3,
     "op5_recompression": OP5,
     "op6_bagminhash": OP6,
+    "op11_winnowing": OP11,
+    "op12_collocations": OP12,
 }

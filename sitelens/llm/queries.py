@@ -7,10 +7,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sitelens.functions.scale import shared_dir
-from sitelens.llm import licenses, near, packing, quality, recompress, segments, shards, suffix, urls, vectors
+from sitelens.llm import collocations, conversations, licenses, near, packing, quality, recompress, segments, shards, suffix, urls, vectors, winnow
 from sitelens.llm.oracles import SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +43,18 @@ def judged_urls(spark: SparkSession, folder: str) -> DataFrame:
     return urls.url_filter(spark.read.parquet(f"{folder}/pages.parquet"), spark.read.parquet(f"{folder}/labels.parquet"))
 
 
+def decontaminated(spark: SparkSession, folder: str) -> DataFrame:
+    found = winnow.contaminated(spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/benchmark.parquet"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": over("documents", quality_rows),
     "op2_training_order": over("documents", sharded),
@@ -53,6 +66,9 @@ QUERIES: dict[str, Query] = {
     "op8_pca_tiles": over("embeddings", vectors.near_vectors),
     "op9_url_templates": judged_urls,
     "op10_packing": over("documents", packed),
+    "op11_winnowing": decontaminated,
+    "op12_collocations": over("documents", collocations.collocations),
+    "op13_conversation_repair": over("conversations", conversations.repaired),
     "pipeline": corpus_pipeline.run,
 }
 
