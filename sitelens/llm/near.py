@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sitelens.functions.scale import staged
 from sitelens.llm.graph import components
 from sitelens.llm.keys import keyed, restored
-from sitelens.llm.text import U64, flat, hashed_words, mix, rows_of, within
+from sitelens.llm.text import U64, flat, hashed_words, mix, rows_of, within, word_array, word_ids, word_spans
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, BAND_ROWS = 32, 5
@@ -53,6 +53,34 @@ def bags(words: np.ndarray, rows: np.ndarray, width: int = SHINGLE) -> tuple[np.
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
+def exact_bags(column: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The multisets without hashes: (row, count, code), a code for each different shingle of the column.
+
+    Words are numbered by their bytes, and runs of words by the numbers of their two parts.
+    """
+    offsets, data = flat(column)
+    starts, ends, rows = word_spans(data, offsets)
+    words = word_ids(word_array(data, starts, ends))[0] + 1
+    row, counts = rows_of(rows), np.diff(rows)
+    last = rows[1:][row]
+
+    def paired(left: np.ndarray, right: np.ndarray, reach: int) -> np.ndarray:
+        """Numbers of (left at a place, right ``reach`` places on in the row; 0 beyond it)."""
+        at = np.arange(len(words)) + reach
+        after = np.where(at < last, right[np.minimum(at, max(len(words) - 1, 0))], 0) if len(words) else words
+        return np.unique(left * (int(right.max(initial=0)) + 1) + after, return_inverse=True)[1].astype(np.int64) + 1
+
+    code, size = words, 1
+    while size < width:
+        step = size if 2 * size <= width else 1
+        code = paired(code, code if step == size else words, size)
+        size += step
+    starts_one = within(counts) < np.repeat(np.maximum(counts - width + 1, 1), counts)
+    codes = int(code.max(initial=0)) + 1
+    key, count = np.unique(row[starts_one] * codes + code[starts_one], return_counts=True)
+    return key // codes, count.astype(np.int64), key % codes
+
+
 def signatures(row: np.ndarray, item: np.ndarray, weight: np.ndarray, n: int, m: int) -> np.ndarray:
     """BagMinHash registers (n x m) of weighted sets; equal registers estimate weighted Jaccard.
 
@@ -165,7 +193,8 @@ def sketch(docs: DataFrame, width: int = SHINGLE, bands: int = BANDS, rows_per_b
 def overlaps(pairs: DataFrame, texts: DataFrame, threshold: float, width: int = SHINGLE) -> DataFrame:
     """The ``pairs(u, v)`` whose bags reach ``threshold``; ``texts(same, text)`` has each text once.
 
-    A pair links if min-sums over max-sums of the shingle counts reach the threshold.
+    A pair links if min-sums over max-sums of the shingle counts reach the threshold; shingles are
+    compared by the words' bytes.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,18 +208,13 @@ def overlaps(pairs: DataFrame, texts: DataFrame, threshold: float, width: int =
                 a = b
             yield batch.select(["u", "v"]).filter(pa.array(keep))
 
-    def keys(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        parts = []
-        for a, _, words, rows in hashed_words(column, 1 << 40):
-            row, item, count = bags(words, rows, width)
-            parts.append(((row + a).astype(U64) << U64(48) | item, count))
-        return tuple(np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, U64), np.zeros(0, np.int64))
-
     def linked(tu: pa.Array, tv: pa.Array) -> np.ndarray:
-        (ku, cu), (kv, cv) = keys(tu), keys(tv)
+        row, count, code = exact_bags(pa.concat_arrays([tu.cast(pa.large_string()), tv.cast(pa.large_string())]), width)
+        other = row >= len(tu)
+        ku, kv = (code[x] * len(tu) + row[x] % len(tu) for x in (~other, other))
         _, i, j = np.intersect1d(ku, kv, assume_unique=True, return_indices=True)
-        shared = np.bincount((ku[i] >> U64(48)).astype(np.int64), np.minimum(cu[i], cv[j]), len(tu))
-        both = np.bincount((ku >> U64(48)).astype(np.int64), cu, len(tu)) + np.bincount((kv >> U64(48)).astype(np.int64), cv, len(tu))
+        both = np.bincount(row % len(tu), count, len(tu))
+        shared = np.bincount(row[~other][i], np.minimum(count[~other][i], count[other][j]), len(tu))
         return shared >= threshold * (both - shared) - 1e-9
 
     tu = texts.select(F.col("same").alias("u"), F.col("text").alias("tu"))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from sitelens.llm.keys import keyed
 from sitelens.llm.repeats import Blocks, Method, covered, runs, spans
 from sitelens.llm.suffix import texts_of
-from sitelens.llm.text import U64, Powers, cuts, flat, mix, rows_of, within, word_hashes, word_spans
+from sitelens.llm.text import U64, Powers, cuts, flat, mix, rows_of, within, word_array, word_hashes, word_ids, word_spans
 
 WINDOW = 13
 ROUNDS = 2
@@ -147,23 +147,24 @@ def parts(text: bytes, wanted: list[tuple[int, int]]) -> list[bytes]:
     return [b" ".join(words[s : s + n + WINDOW - 1]) for s, n in wanted]
 
 
-def _hashed(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def _numbered(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The words as integers that are equal only for equal bytes, and the offsets of the texts."""
     data = np.frombuffer(b"".join(texts), np.uint8)
     offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
     starts, ends, rows = word_spans(data, offsets)
-    return word_hashes(data, starts, ends), rows
+    return word_ids(word_array(data, starts, ends))[0].astype(U64), rows
 
 
 def repeated(texts: list[bytes], group: np.ndarray, key: np.ndarray, start: np.ndarray, n: np.ndarray, lead: np.ndarray) -> np.ndarray:
     """For every window of blocks in order of (group, key, start): is an equal one in an earlier document?
 
-    Windows with one name are verified word by word (each word by its 64-bit hash); a window
+    Windows with one name are verified word by word, on the words' bytes; a window
     that shares only the name of its neighbours is compared under a name of its own.
     """
-    words, rows = _hashed(texts)
+    words, rows = _numbered(texts)
     block = np.repeat(np.arange(len(texts)), n)
     at = rows[:-1][block] + within(n)
-    name = mix(WORDS.part(WORDS.prefix(words), at, at + WINDOW) + group[block].astype(U64) * _TAG[1])
+    name = mix(WORDS.part(WORDS.prefix(mix(words + _TAG[3])), at, at + WINDOW) + group[block].astype(U64) * _TAG[1])
     reach = np.arange(WINDOW)
     while True:
         order = np.argsort(name, kind="stable")

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 U64 = np.uint64
 SPACE = np.zeros(256, dtype=bool)
@@ -96,9 +97,23 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def word_array(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.LargeBinaryArray:
+    """The words at the spans that ``word_spans`` found."""
+    offsets = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(ends - starts, out=offsets[1:])
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[~SPACE[data]])])
+
+
+def word_ids(words: pa.LargeBinaryArray) -> tuple[np.ndarray, pa.LargeBinaryArray]:
+    """An integer per word, equal for equal bytes and only for them, and the distinct words."""
+    encoded = words.dictionary_encode()
+    return encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64), encoded.dictionary
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    prefix = BYTES.prefix(BYTES.of_byte[data])
-    return mix(BYTES.part(prefix, starts, ends) + (ends - starts).astype(U64) * U64(0x9E3779B97F4A7C15))
+    """The XXH3 hash of every word, taken once per distinct word."""
+    ids, distinct = word_ids(word_array(data, starts, ends))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, distinct.to_pylist()), U64, len(distinct))[ids]
 
 
 def hashed_words(column: pa.Array, most: int = 1 << 21) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -7,6 +7,7 @@ import textwrap
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 
@@ -86,6 +87,46 @@ def test_word_repeats(make_docs):
         assert got[i].kept_sha256 == hashlib.sha256(left.encode()).hexdigest()
 
 
+def thue_morse(n, letters):
+    """Words that polynomial hashes modulo a power of two cannot tell from their complement."""
+    return "".join(letters[i.bit_count() % 2] for i in range(n))
+
+
+def test_words_that_collide_under_polynomials(make_docs):
+    a, b = thue_morse(1024, "ab"), thue_morse(1024, "ba")
+    tail = " ".join(f"t{i}" for i in range(12))
+    docs = make_docs([f"{a} {tail}", f"{b} {tail}", f"{a} x y z", f"{b} x y z"])
+    assert [r.n_removed for r in recompress.word_repeats(docs).orderBy("doc_id").collect()] == [0, 0, 0, 0]
+    assert [r.kept for r in near.near_duplicates(docs).orderBy("doc_id").collect()] == [True, False, True, True]  # 0 and 1 share 8 of 10
+    spoken = make_docs([" ".join(thue_morse(2048, ls)) for ls in ("ab", "ba")] + [a + a, b + b, thue_morse(4096, "cd"), thue_morse(4096, "dc")])
+    for operator, pattern, width in ((recompress.word_repeats, "[^ ]+", 13), (suffix.byte_repeats, "(?s).", 100)):
+        seen = {}
+        got = {r.doc_id: r.n_removed for r in operator(spoken).collect()}
+        for row in spoken.orderBy("doc_id").collect():
+            parts, gone = re.findall(pattern, row.text), set()
+            for i in range(len(parts) - width + 1):
+                first = seen.setdefault(tuple(parts[i : i + width]), (row.doc_id, i))
+                if first[0] < row.doc_id or width == 100 and first[1] < i:
+                    gone |= set(range(i, i + width))
+            assert got[row.doc_id] == len(gone)
+
+
+def test_exact_bags():
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice("abc") for _ in range(rng.randrange(12))) for _ in range(60)] + ["", " ", "a b", "a b c d", "a b c d e"]
+    for width in (1, 2, 3, 5, 6):
+        row, count, code = near.exact_bags(pa.array(texts), width)
+        names = {}
+        for i, text in enumerate(texts):
+            w = text.split()
+            want = Counter(tuple(w[j : j + width]) for j in range(max(1, len(w) - width + 1))) if w else Counter()
+            assert sorted(count[row == i].tolist()) == sorted(want.values())
+            here = set(code[row == i].tolist())
+            for other, (their_codes, their_bag) in names.items():
+                assert len(here & their_codes) == len(set(want) & their_bag)
+            names[i] = here, set(want)
+
+
 def bag(text):
     w = re.findall("[^\x20\x09-\x0d]+", text)
     return Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else Counter()
