@@ -7,11 +7,14 @@ length asks for.  Bytes, not characters, are compared.
 
 from __future__ import annotations
 
+import math
+from functools import cache
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import ArrayType, DoubleType, LongType
 
 # fixed values: prefix weight, longest prefix counted, smallest Jaro that is boosted
 PREFIX_WEIGHT, PREFIX_CAP, BOOST_FLOOR = 0.1, 4, 0.7
@@ -147,3 +150,124 @@ def can_reach(left: Column, right: Column, threshold: float) -> Column:
         return F.coalesce(F.try_divide(m, size_a) + F.try_divide(m, size_b), F.lit(0.0)) >= needed
 
     return enough(by_length) & enough(most)
+
+
+def least_jaro(threshold: float, prefix: int) -> float:
+    """Smallest Jaro similarity that reaches ``threshold`` with ``prefix`` equal first bytes."""
+    boost = PREFIX_WEIGHT * prefix
+    return (threshold - boost) / (1 - boost)
+
+
+# Order in which letters are dealt out to groups, so that each group holds frequent ones.
+_DEALT = {c: i for i, c in enumerate(b"eaoinrslthcdumygkbpfvwjzxq ")}
+_RANK = np.array([_DEALT.get(c, c) for c in range(256)])
+_U64 = np.uint64
+_LETTER = np.random.default_rng(17).integers(1, 1 << 63, 256, dtype=np.int64).astype(_U64) * _U64(2) + _U64(1)
+#: pairs with a long equal beginning need ``NEAR_PREFIX`` bytes of it, the others have less
+NEAR_PREFIX = 3
+#: letters that may differ beyond which a pair is kept apart by lengths and beginning alone
+MOST_APART = 10
+
+
+@cache
+def length_band(n: int) -> int:
+    """Lengths up to 32 each by themselves, then bands of about an eighth."""
+    return n if n <= 32 else 32 + int(8 * math.log2(n / 32)) + 1
+
+
+@cache
+def band_lengths(band: int) -> tuple[int, int]:
+    """Smallest and largest length of a band."""
+    if band <= 32:
+        return band, band
+    low = max(33, math.floor(32 * 2 ** ((band - 33) / 8)) - 1)
+    while length_band(low) < band:
+        low += 1
+    high = low
+    while length_band(high + 1) == band:
+        high += 1
+    return low, high
+
+
+@cache
+def apart(a: int, b: int, needed: float) -> int | None:
+    """Most letters by which names of the bands ``a`` and ``b`` may differ; None if none can pass.
+
+    m matched bytes of |x| and |y| must reach m/|x| + m/|y| >= ``needed``, and m is at most the
+    number of letters that the names share, so they differ in |x| + |y| - 2m letters at most.
+    """
+    most = None
+    for x in range(band_lengths(a)[0], band_lengths(a)[1] + 1):
+        for y in range(band_lengths(b)[0], band_lengths(b)[1] + 1):
+            m = max(0, math.ceil(needed * x * y / (x + y) - 1e-9))
+            if m <= min(x, y):
+                most = max(most or 0, x + y - 2 * m)
+    return most
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> _U64(31))) * _U64(0x7FB5D329728EA185)
+    x = (x ^ (x >> _U64(27))) * _U64(0x81DADEF4BC2DD44D)
+    return x ^ (x >> _U64(33))
+
+
+def _of_one_band(names: list[bytes], own: int, threshold: float, first: bool) -> np.ndarray:
+    """Signatures (names x any) of names whose lengths share a band; see ``signatures_of``."""
+    letters, lengths = _padded(names)
+    inside = np.arange(letters.shape[1])[None, :] < lengths[:, None]
+    value, rank = np.where(inside, _LETTER[letters], _U64(0)), _RANK[letters]
+    grouped: dict[int, np.ndarray] = {}
+    out = []
+    for kind, prefix in ((1, NEAR_PREFIX), (2, 0)):
+        shared = PREFIX_CAP if prefix else NEAR_PREFIX - 1
+        needed = 3 * least_jaro(threshold, shared) - 1 - 1e-9
+        begin = np.full(len(names), kind, _U64)
+        for j in range(prefix):
+            begin = _mixed(begin + _LETTER[letters[:, j]] * inside[:, j].astype(_U64))
+        widest = length_band(math.ceil(band_lengths(own)[1] / max(needed - 1, 0.05)))
+        for other in range(1, widest + 1):
+            pair = (own, other) if first else (other, own)
+            most = apart(*pair, needed)
+            if most is None:
+                continue
+            key = _mixed(begin + _U64((kind << 40) + (pair[0] << 20) + pair[1]))
+            if most > MOST_APART:
+                out.append(key)
+                continue
+            groups = most + 2
+            if groups not in grouped:
+                of = rank % groups
+                grouped[groups] = np.stack([(value * (of == g)).sum(axis=1) for g in range(groups)], axis=1)
+            sums = grouped[groups]
+            for g in range(groups):
+                for h in range(g + 1, groups):
+                    out.append(_mixed(_mixed(key + sums[:, g] + _U64(g * 64 + h)) + sums[:, h]))
+    return np.stack(out, axis=1) if out else np.zeros((len(names), 0), _U64)
+
+
+def signatures_of(names: pd.Series, threshold: float, first: bool) -> pd.Series:
+    """Per name signatures such that two names that reach ``threshold`` share one.
+
+    Two names with k bytes of common beginning need a Jaro similarity of ``least_jaro(k)``, and so
+    share all but a few of their letters (``apart``, d of them).  The alphabet is dealt to d + 2
+    groups; d differing letters leave at least two groups untouched, and a signature stands for
+    the letters of two groups, the two lengths, and the beginning where at least three bytes of it
+    are equal.  ``first`` says which of the two lengths is the name's own.
+    """
+    out = pd.Series([[] for _ in range(len(names))], index=names.index, dtype=object)
+    texts = [t.encode("utf-8") if isinstance(t, str) else b"" for t in names]
+    bands: dict[int, list[int]] = {}
+    for i, t in enumerate(texts):
+        if t:
+            bands.setdefault(length_band(len(t)), []).append(i)
+    for band, rows in bands.items():
+        for start in range(0, len(rows), _ROWS_PER_BLOCK):
+            some = rows[start : start + _ROWS_PER_BLOCK]
+            for i, sig in zip(some, _of_one_band([texts[i] for i in some], band, threshold, first).view(np.int64)):
+                out.iat[i] = sig
+    return out
+
+
+def name_signatures(name: Column, threshold: float, first: bool) -> Column:
+    udf = F.pandas_udf(lambda names: signatures_of(names, threshold, first), ArrayType(LongType()))
+    return udf.asNondeterministic()(name)

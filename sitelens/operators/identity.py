@@ -15,14 +15,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitelens.functions.scale import staged
-from sitelens.functions.similarity import can_reach, jaro_winkler
+from sitelens.functions.scale import broadcast_within, staged
+from sitelens.functions.similarity import can_reach, jaro_winkler, name_signatures
 from sitelens.functions.temporal import swapped_day_month
 from sitelens.functions.text import normalized_name
 
 THRESHOLD = 0.92  # fixed value: smallest accepted name similarity
 KEY = ["fn", "ln", "dob"]
 PROFILE = [*KEY, "gender", "zip"]
+BLOCK = ["dob", "gender", "kind", "token"]
+#: pairs of names in one block beyond which its names meet by signature
+HOT_PAIRS = 4_000_000
 
 
 def profiles(people: DataFrame, person_id: str, scope: Sequence[str], extra: Sequence[str]) -> DataFrame:
@@ -42,8 +45,8 @@ def profiles(people: DataFrame, person_id: str, scope: Sequence[str], extra: Seq
     )
 
 
-def _name(side: str) -> Column:
-    return F.concat(F.col(f"{side}.fn"), F.lit(" "), F.col(f"{side}.ln"))
+def _name(fn: str, ln: str) -> Column:
+    return F.concat(F.col(fn), F.lit(" "), F.col(ln))
 
 
 def _resolve_ties(located: DataFrame, members: DataFrame, scope: Sequence[str]) -> DataFrame:
@@ -80,6 +83,59 @@ def _blocks(side: DataFrame, extra: Sequence[str]) -> DataFrame:
     )
 
 
+def hot_blocks(wanted: DataFrame, offered: DataFrame) -> DataFrame | None:
+    """Blocks in which more than ``HOT_PAIRS`` pairs of names would meet; None if there are none."""
+    sides = [side.select(*BLOCK, F.lit(p).alias("p"), F.lit(1 - p).alias("m")) for side, p in ((wanted, 1), (offered, 0))]
+    sizes = sides[0].unionByName(sides[1]).groupBy(*BLOCK).agg(F.sum("p").alias("p"), F.sum("m").alias("m"))
+    hot = staged(sizes.filter(F.col("p") * F.col("m") > HOT_PAIRS).select(*BLOCK))
+    return None if hot.isEmpty() else hot
+
+
+def _once(kind: Column, ln: Column, m_ln: Column) -> Column:
+    """Equal surnames meet in their own blocks and need not meet again."""
+    return (kind == "ln") | ~ln.eqNullSafe(m_ln)
+
+
+def _meeting(wanted: DataFrame, offered: DataFrame, keep: Sequence[str], on: Sequence[str], threshold: float) -> DataFrame:
+    """``keep`` columns of ``wanted`` with m_fn, m_ln, member_id of the members in its block."""
+    p, m = wanted.alias("p"), offered.alias("m")
+    same = reduce(lambda a, b: a & b, [F.col(f"p.{c}") == F.col(f"m.{c}") for c in on])
+    bound = can_reach(_name("p.fn", "p.ln"), _name("m.fn", "m.ln"), threshold)
+    return p.join(m, same & _once(F.col("p.kind"), F.col("p.ln"), F.col("m.ln")) & bound).select(
+        *[F.col(f"p.{c}") for c in keep], F.col("m.fn").alias("m_fn"), F.col("m.ln").alias("m_ln"), "m.member_id"
+    )
+
+
+def _meeting_by_signature(wanted: DataFrame, offered: DataFrame, keep: Sequence[str], threshold: float) -> DataFrame:
+    """The same pairs, or a few more that cannot pass, from an equi-join on (block, signature).
+
+    Only numbered names and signatures are shuffled; a pair that shares several signatures goes
+    on once, after the bound was applied to it.
+    """
+
+    def signed(side: DataFrame, own: bool) -> DataFrame:
+        name = _name("fn", "ln")
+        made = side.select("_id", *BLOCK, name.alias("name"), name_signatures(name, threshold, own).alias("_s"))
+        return made.select("_id", *BLOCK, "name", F.explode("_s").alias("_s")).select(
+            "_id", "name", F.xxhash64(*BLOCK, "_s").alias("sig")
+        )
+
+    numbered = [staged(side.withColumn("_id", F.monotonically_increasing_id())) for side in (wanted, offered)]
+    p, m = signed(numbered[0], True).alias("p"), signed(numbered[1], False).alias("m")
+    pairs = (
+        p.join(m, (F.col("p.sig") == F.col("m.sig")) & can_reach(F.col("p.name"), F.col("m.name"), threshold))
+        .select(F.col("p._id").alias("_p"), F.col("m._id").alias("_m"))
+        .distinct()
+    )
+    p, m = numbered[0].alias("p"), numbered[1].alias("m")
+    same = reduce(lambda a, b: a & b, [F.col(f"p.{c}") == F.col(f"m.{c}") for c in BLOCK])
+    return (
+        pairs.join(p, F.col("_p") == F.col("p._id"))
+        .join(m, (F.col("_m") == F.col("m._id")) & same & _once(F.col("p.kind"), F.col("p.ln"), F.col("m.ln")))
+        .select(*[F.col(f"p.{c}") for c in keep], F.col("m.fn").alias("m_fn"), F.col("m.ln").alias("m_ln"), "m.member_id")
+    )
+
+
 def similar_pairs(
     patients: DataFrame,
     members: DataFrame,
@@ -93,29 +149,26 @@ def similar_pairs(
     (dob, gender, kind, token), one kind per alternative.  The similarity depends on
     the names alone, so both sides of the join are distinct names per block: any number
     of namesakes meets as one pair.  Within a block a necessary length and letter bound
-    drops hopeless pairs before anything is sent to Python, and heavy blocks are split
-    by the adaptive skew join.  The best member of a name is then handed back to every
-    profile that bears it.
+    drops hopeless pairs before anything is sent to Python.  The names of a block with more
+    than ``HOT_PAIRS`` pairs meet by signature, so that pairs the bound refutes do not even
+    meet there; both ways find the same pairs.  The best member of a name is then handed
+    back to every profile that bears it.
     """
-    person = ["fn", "ln", "dob", "gender", "kind", "token"]
+    person = ["fn", "ln", *BLOCK]
     bearers = _blocks(patients, extra)
-    wanted = bearers.select(*scope, *person).distinct().alias("p")
-    offered = _blocks(members, extra).groupBy(*person).agg(F.min("member_id").alias("member_id")).alias("m")
-    same_block = reduce(
-        lambda a, b: a & b,
-        [F.col(f"p.{c}") == F.col(f"m.{c}") for c in ("dob", "gender", "kind", "token")],
-    )
-    # equal surnames meet in their own blocks and need not meet again
-    once = (F.col("p.kind") == "ln") | ~F.col("p.ln").eqNullSafe(F.col("m.ln"))
-    scored = (
-        wanted.join(offered, same_block & once & can_reach(_name("p"), _name("m"), threshold))
-        .select(
-            *[F.col(f"p.{c}") for c in (*scope, *person)],
-            F.col("m.member_id"),
-            jaro_winkler(_name("p"), _name("m")).alias("similarity"),
+    wanted = staged(bearers.select(*scope, *person).distinct())
+    offered = staged(_blocks(members, extra).groupBy(*person).agg(F.min("member_id").alias("member_id")))
+    hot = hot_blocks(wanted, offered)
+    if hot is None:
+        met = _meeting(wanted, offered, [*scope, *person], BLOCK, threshold)
+    else:
+        calm = [side.join(broadcast_within(hot), BLOCK, "left_anti") for side in (wanted, offered)]
+        met = _meeting(*calm, [*scope, *person], BLOCK, threshold).unionByName(
+            _meeting_by_signature(*(side.join(broadcast_within(hot), BLOCK, "left_semi") for side in (wanted, offered)), [*scope, *person], threshold)
         )
-        .filter(F.col("similarity") >= threshold)
-    )
+    scored = met.select(
+        *scope, *person, "member_id", jaro_winkler(_name("fn", "ln"), _name("m_fn", "m_ln")).alias("similarity")
+    ).filter(F.col("similarity") >= threshold)
     best = F.min(F.struct((-F.col("similarity")).alias("loss"), "member_id")).alias("best")
     by_name = scored.groupBy(*scope, *person).agg(best)
     return (
@@ -220,6 +273,7 @@ def identity_xwalk_with_variants(
     Only patients with no link and members no patient holds take part.
     """
     links, located = tiered_links(patients, members, threshold)
+    links = staged(links)
     base = staged(one_to_one(links))
     left_patients = located.join(links.select("patient_id"), "patient_id", "left_anti")
     free = members.join(base.select("member_id"), "member_id", "left_anti")

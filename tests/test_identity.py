@@ -229,3 +229,49 @@ def test_match_measurement_takes_every_link_by_default(spark):
     left, right = ([k for _, k in sorted((hashlib.md5(str(k).encode()).hexdigest(), k) for k in keys)] for keys in ([f"p{i}" for i in range(1200)], range(900)))
     assert pairs == set(zip(left, right))
     assert {(r.patient_id, r.member_id) for r in measure.random_control(patients, members, 500).collect()} == set(zip(left[:500], right[:500]))
+
+
+def many_names(n, seed):
+    rng = random.Random(seed)
+    parts = "ma ri an jo se lu is car los el en a pe dro na ta lia fer nan do ga bri mi guel ro sa wil son smi th bro wn".split()
+    word = lambda: "".join(rng.choice(parts) for _ in range(rng.randrange(1, 5)))
+    names = {(word(), word()) for _ in range(n)}
+    while len(names) < n:
+        first, last = rng.choice(sorted(names)[:500])
+        at = rng.randrange(len(first))
+        names.add((first[:at] + rng.choice("abcé") + first[at + rng.randrange(2) :], last))
+    return sorted(names)
+
+
+@pytest.mark.parametrize("threshold", [0.85, 0.92, 0.96])
+def test_signatures_lose_no_pair_of_a_hot_block(spark, monkeypatch, threshold):
+    left, right = many_names(400, 1), many_names(400, 2)
+    left += [(f, s + "ez") for f, s in right[:150]] + [("x" * 300, "y" * 40), ("", "")]
+    right += [(f[::-1], s) for f, s in left[:100]] + [("x" * 290, "y" * 44), ("", "")]
+    born = date(1980, 3, 4)
+    schema = "{} string, first_name string, last_name string, dob date, gender string, zip string"
+    patients = spark.createDataFrame([(f"P{i:05d}", f, s, born, "F", "94000") for i, (f, s) in enumerate(left)], schema.format("patient_id"))
+    members = spark.createDataFrame([(f"M{i:05d}", f, s, born, "F", "94000") for i, (f, s) in enumerate(right)], schema.format("member_id"))
+    plain_way = as_set(identity.identity_xwalk(patients, members, threshold))
+    monkeypatch.setattr(identity, "HOT_PAIRS", 0)
+    assert as_set(identity.identity_xwalk(patients, members, threshold)) == plain_way
+    assert {m for _, _, m, _ in plain_way} >= {"fuzzy"}
+
+
+def test_hot_block_against_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(identity, "HOT_PAIRS", 0)
+    names = many_names(3000, 5)
+    born = date(1980, 3, 4)
+    sides = []
+    for prefix, some in (("P", names[::2]), ("M", names[1::2])):
+        rows = [(f"{prefix}{i:05d}", f, s, born, "F", "94000") for i, (f, s) in enumerate(some)]
+        sides.append(rows)
+    schema = "{} string, fn string, ln string, dob date, gender string, zip string"
+    patients, members = (spark.createDataFrame(r, schema.format(k)) for r, k in zip(sides, ("patient_id", "member_id")))
+    got = {
+        (r.patient_id, r.member_id, round(r.match_confidence, 9))
+        for r in identity.similar_pairs(patients, members, 0.92, (), ()).collect()
+    }
+    dicts = [[{"id": r[0], "fn": r[1], "ln": r[2]} for r in rows] for rows in sides]
+    want = {(p, m, round(c, 9)) for p, m, _, c in best_by_hand(*dicts, lambda a, b: True, 0.92, "fuzzy")}
+    assert got == want and len(want) > 100
