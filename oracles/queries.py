@@ -58,12 +58,46 @@ COLUMNS = {
     "bed_census": "census_date* facility_id unit total_beds occupied_beds_midnight avg_los_days",
     "referrals": "referral_id member_id referred_to_facility_id issued_dt* scheduled_dt* completed_dt*",
     "conditions": "condition_id patient_id condition_name onset_date*",
+    "procedures": "procedure_id patient_id encounter_id cpt_code performed_dt*",
+    "plans": "plan_id",
+    "employers": "employer_id",
+    "programs": "program_id",
+    "isochrones": "facility_id isochrone_minutes polygon_wkt",
+    "observations": "patient_id observation_loinc observation_name value_numeric observation_dt* abnormal_flag",
+    "identity_xwalk": "patient_id member_id match_method match_confidence",
+    "facility_metrics": "facility_id facility_name facility_type ownership city state zip latitude longitude "
+    "service_lines total_beds total_ors cost_index providers_based providers_accepting panel_total panel_active "
+    "appts_scheduled appts_completed appts_no_show appts_cancelled pct_no_show pct_completed encounters "
+    "encounters_inpatient encounters_ed or_cases or_cancelled or_rooms_used or_operating_days or_booked_minutes "
+    "or_utilization_pct bed_occupancy_pct avg_los_days claims allowed_amount plan_paid appts_per_provider_based "
+    "appts_per_panel_member",
+    "market_summary": "city state members_total members_active owned_clinics owned_hospitals owned_urgent_care "
+    "owned_facilities partner_facilities owned_beds owned_ors providers_based_owned appts_completed_at_facilities_here "
+    "claims allowed_musd plan_paid_musd pct_allowed_owned pct_allowed_in_market acute_claims acute_allowed_musd "
+    "pct_acute_in_market median_miles_to_acute pct_acute_over_30mi nonowned_acute_plan_paid_musd "
+    "acute_if_owned_plan_paid_musd recapture_plan_paid_musd",
+    "market_flows": "member_city member_state care_city service_line is_acute network_status ownership in_market claims "
+    "allowed_musd plan_paid_musd if_owned_plan_paid_musd",
+    "observations_monthly": "patient_id observation_month* observation_loinc observation_name n_observations "
+    "avg_value_numeric n_abnormal",
     "rx_claims": "rx_claim_id member_id fill_date*",
     "eligibility": "eligibility_id member_id plan_id effective_date* end_date*",
     "enrollments": "enrollment_id member_id program_id status",
 }
 
 
+# where the SQL names a table or mart otherwise than the job does
+SOURCES = {
+    "identity_xwalk": "xwalk",
+    "facility_metrics": "fm",
+    "market_summary": "ms",
+    "market_flows": "mf",
+    "observations_monthly": "obs_month",
+    "isochrones": "(SELECT s_suppkey AS facility_id, m AS isochrone_minutes, '' AS polygon_wkt "
+    "FROM supplier, (VALUES (15), (30), (45)) t(m))",
+}
+
+
 def column_rows(tables, where: dict[str, str] | None = None) -> str:
     parts = []
     for t in tables:
@@ -74,7 +108,7 @@ def column_rows(tables, where: dict[str, str] | None = None) -> str:
                 f"SELECT '{t}' AS table_name, {i + 1}::BIGINT AS position, '{name}' AS column_name, "
                 f"count(*) AS row_count, count(*) - count({name}) AS null_count, "
                 f"{day.format('min')} AS first_day, {day.format('max')} AS last_day "
-                f"FROM {t} {(where or {}).get(t, '')}"
+                f"FROM {SOURCES.get(t, t)} {(where or {}).get(t, '')}"
             )
     return " UNION ALL ".join(parts)
 
@@ -86,6 +120,7 @@ PATHS = [
     ("claims", "provider_id", "payer_claims", "providers", "provider_id", "ops_providers", 0),
     ("encounters", "patient_id", "ehr_encounters", "patients", "patient_id", "ehr_patients", 0),
     ("encounters", "facility_id", "ehr_encounters", "facilities", "facility_id", "ops_facilities", 0),
+    ("procedures", "patient_id", "ehr_procedures", "patients", "patient_id", "ehr_patients", 0),
     ("conditions", "patient_id", "ehr_conditions", "patients", "patient_id", "ehr_patients", 0),
     ("appointments", "member_id", "ops_appointments", "members", "member_id", "payer_members", 0),
     ("appointments", "facility_id", "ops_appointments", "facilities", "facility_id", "ops_facilities", 0),
@@ -97,10 +132,10 @@ PATHS = [
     ("providers", "primary_facility_id", "ops_providers", "facilities", "facility_id", "ops_facilities", 0),
     ("rx_claims", "member_id", "pharmacy_rx_claims", "members", "member_id", "payer_members", 0),
     ("eligibility", "member_id", "payer_member_eligibility_history", "members", "member_id", "payer_members", 0),
-    ("members", "plan_id", "payer_members", "(SELECT DISTINCT c_mktsegment AS plan_id FROM customer)", "plan_id", "payer_plans", 0),
-    ("members", "employer_id", "payer_members", "(SELECT DISTINCT c_custkey % 50 AS employer_id FROM customer)", "employer_id", "payer_employers", 35),
+    ("members", "plan_id", "payer_members", "plans", "plan_id", "payer_plans", 0),
+    ("members", "employer_id", "payer_members", "employers", "employer_id", "payer_employers", 35),
     ("enrollments", "member_id", "outreach_program_enrollments", "members", "member_id", "payer_members", 0),
-    ("enrollments", "program_id", "outreach_program_enrollments", "(SELECT DISTINCT concat('PROG-', c_custkey % 6) AS program_id FROM customer)", "program_id", "outreach_wellness_programs", 0),
+    ("enrollments", "program_id", "outreach_program_enrollments", "programs", "program_id", "outreach_wellness_programs", 0),
     ("(SELECT s_suppkey AS facility_id FROM supplier, range(3))", "facility_id", "external_drive_time_isochrones", "facilities", "facility_id", "ops_facilities", 0),
     ("xwalk", "patient_id", "identity_xwalk", "patients", "patient_id", "ehr_patients", 0),
     ("xwalk", "member_id", "identity_xwalk", "members", "member_id", "payer_members", 0),
@@ -442,7 +477,7 @@ BODIES |= {
 }
 
 # --- quality -------------------------------------------------------------------------
-EVERY = list(c.TABLES)
+EVERY = [*c.PROFILED, *c.MARTS]
 BODIES |= {
     "join_path_orphans": f"SELECT referencing, referenced, n_rows, orphans FROM ({path_rows()})",
     "join_path_null_rates": f"""SELECT referencing, referenced, n_rows, n_null, declared_null_pct,
@@ -460,7 +495,7 @@ BODIES |= {
           ON (a.table_name, a.column_name) = (b.table_name, b.column_name)
         WHERE (a.row_count, a.null_count, a.first_day, a.last_day)
               IS DISTINCT FROM (b.row_count, b.null_count, b.first_day, b.last_day)""",
-    "table_emptiness": " UNION ALL ".join(f"SELECT '{t}' AS table_name, EXISTS (FROM {t}) AS has_rows" for t in EVERY),
+    "table_emptiness": " UNION ALL ".join(f"SELECT '{t}' AS table_name, EXISTS (FROM {SOURCES.get(t, t)}) AS has_rows" for t in EVERY),
     "crosswalk_invariants": """SELECT 'patients_linked_twice' AS "check",
           (SELECT count(*) - count(DISTINCT patient_id) FROM xwalk)::DOUBLE AS value
         UNION ALL SELECT 'members_linked_twice', (SELECT count(*) - count(DISTINCT member_id) FROM xwalk)

@@ -129,6 +129,14 @@ TABLES: dict[str, str] = {
                {_list(s.CONDITIONS)}[(o_orderkey + o_custkey) % 5 + 1] AS condition_name,
                CAST(o_orderdate AS DATE) AS onset_date
         FROM orders""",
+    "procedures": """
+        SELECT o_orderkey AS procedure_id, if(o_orderkey % 50 = 0, NULL, concat('P', o_custkey)) AS patient_id,
+               o_orderkey AS encounter_id, CAST(99201 + o_orderkey % 80 AS VARCHAR) AS cpt_code,
+               CAST(o_orderdate AS DATE) + CAST(o_orderkey % 3 AS INTEGER) AS performed_dt
+        FROM orders WHERE o_orderkey % 3 = 0""",
+    "plans": "SELECT DISTINCT c_mktsegment AS plan_id FROM customer",
+    "employers": "SELECT DISTINCT c_custkey % 50 AS employer_id FROM customer",
+    "programs": "SELECT DISTINCT concat('PROG-', c_custkey % 6) AS program_id FROM customer",
     "rx_claims": """
         SELECT o_orderkey AS rx_claim_id, o_custkey AS member_id,
                CAST(o_orderdate AS DATE) + 3 AS fill_date FROM orders""",

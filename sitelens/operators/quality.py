@@ -8,7 +8,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampType
 
 from sitelens.functions.measures import ratio, share_pct, sum_if
 from sitelens.functions.scale import exact_quantiles
@@ -32,6 +32,7 @@ JOIN_PATHS = [
     JoinPath("payer_claims", "provider_id", "ops_providers", "provider_id"),
     JoinPath("ehr_encounters", "patient_id", "ehr_patients", "patient_id"),
     JoinPath("ehr_encounters", "facility_id", "ops_facilities", "facility_id"),
+    JoinPath("ehr_procedures", "patient_id", "ehr_patients", "patient_id"),
     JoinPath("ehr_conditions", "patient_id", "ehr_patients", "patient_id"),
     JoinPath("ops_appointments", "member_id", "payer_members", "member_id"),
     JoinPath("ops_appointments", "facility_id", "ops_facilities", "facility_id"),
@@ -57,43 +58,58 @@ def stacked(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def path_keys(paths: Sequence[JoinPath], tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(path, key, n, known): keys of both sides of every path, each table scanned once.
+
+    A table emits an entry per path it takes part in; keys are compared as text.
+    """
+    entries: dict[str, list[Column]] = {}
+    for i, p in enumerate(paths):
+        for table, column, known in ((p.left, p.left_col, False), (p.right, p.right_col, True)):
+            entry = F.struct(
+                F.lit(i).alias("path"),
+                F.col(column).cast("string").alias("key"),
+                F.lit(0 if known else 1).cast("long").alias("n"),
+                F.lit(known).alias("known"),
+            )
+            entries.setdefault(table, []).append(entry)
+    return stacked([tables[t].select(F.inline(F.array(*e))) for t, e in entries.items()])
+
+
 def join_path_report(
     paths: Sequence[JoinPath], tables: Mapping[str, DataFrame], tolerance_pp: float = 2.0
 ) -> DataFrame:
     """Rows, NULL keys and orphan keys of every declared path.
 
-    The referencing side collapses to one row per key before it meets the other
-    side, so a key that holds a third of the rows is one row in the join.
+    Both sides of all paths meet in one aggregate by (path, key), which combines map-side: one
+    scan per table, one exchange for all paths, no join, and a key that holds a third of the rows
+    sends one row per task.
     """
-
-    def one(path: JoinPath) -> DataFrame:
-        used = tables[path.left].groupBy(F.col(path.left_col).alias("key")).agg(F.count("*").alias("n"))
-        known = (
-            tables[path.right].select(F.col(path.right_col).alias("key")).distinct().withColumn("known", F.lit(True))
+    met = path_keys(paths, tables).groupBy("path", "key").agg(F.sum("n").alias("n"), F.bool_or("known").alias("known"))
+    missing = F.col("key").isNull()
+    found = met.groupBy("path").agg(
+        F.sum("n").alias("n_rows"),
+        sum_if(missing, F.col("n")).alias("n_null"),
+        sum_if(~missing & ~F.col("known"), F.col("n")).alias("orphans"),
+    )
+    declared = tables[paths[0].left].sparkSession.createDataFrame(
+        [(i, f"{p.left}.{p.left_col}", f"{p.right}.{p.right_col}", p.nullable_pct) for i, p in enumerate(paths)],
+        "path int, referencing string, referenced string, declared_null_pct double",
+    )
+    null_pct = F.coalesce(share_pct(F.col("n_null"), F.col("n_rows")), F.lit(0.0))
+    return (
+        declared.join(found, "path", "left")
+        .select(
+            "referencing",
+            "referenced",
+            *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_rows", "n_null", "orphans")],
+            "declared_null_pct",
         )
-        missing = F.col("key").isNull()
-        return (
-            used.join(known, "key", "left")
-            .agg(
-                F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
-                F.coalesce(sum_if(missing, F.col("n")), F.lit(0)).alias("n_null"),
-                F.coalesce(sum_if(~missing & F.col("known").isNull(), F.col("n")), F.lit(0)).alias("orphans"),
-            )
-            .select(
-                F.lit(f"{path.left}.{path.left_col}").alias("referencing"),
-                F.lit(f"{path.right}.{path.right_col}").alias("referenced"),
-                "n_rows",
-                "n_null",
-                "orphans",
-                F.lit(path.nullable_pct).alias("declared_null_pct"),
-            )
+        .select(
+            "*",
+            F.round(null_pct, 4).alias("null_pct"),
+            (F.abs(null_pct - F.col("declared_null_pct")) <= tolerance_pp).alias("null_rate_ok"),
         )
-
-    null_pct = F.coalesce(share_pct(F.col("n_null"), F.col("n_rows")), F.lit(0.0))
-    return stacked([one(p) for p in paths]).select(
-        "*",
-        F.round(null_pct, 4).alias("null_pct"),
-        (F.abs(null_pct - F.col("declared_null_pct")) <= tolerance_pp).alias("null_rate_ok"),
     )
 
 
@@ -109,6 +125,39 @@ def _is_temporal(kind: object) -> bool:
     return isinstance(kind, (DateType, TimestampType, TimestampNTZType))
 
 
+PROFILE = (
+    "table_name string, position long, column_name string, data_type string, row_count long, null_count long, "
+    "first_day date, last_day date"
+)
+
+
+def profile_metrics(schema: StructType) -> list[Column]:
+    """Aggregates behind the profile of a table; also fit to be observed while it is written."""
+    out = [F.count(F.lit(1)).alias("_rows")]
+    for i, f in enumerate(schema.fields):
+        out.append(F.count(F.col(f"`{f.name}`")).alias(f"_n{i}"))
+        if _is_temporal(f.dataType):
+            out += [F.to_date(F.min(f"`{f.name}`")).alias(f"_lo{i}"), F.to_date(F.max(f"`{f.name}`")).alias(f"_hi{i}")]
+    return out
+
+
+def profile_rows(name: str, schema: StructType, seen: Mapping[str, object]) -> list[tuple]:
+    """Rows of ``PROFILE`` from collected ``profile_metrics``."""
+    return [
+        (
+            name,
+            i + 1,
+            f.name,
+            f.dataType.simpleString(),
+            seen["_rows"],
+            seen["_rows"] - seen[f"_n{i}"],
+            seen.get(f"_lo{i}"),
+            seen.get(f"_hi{i}"),
+        )
+        for i, f in enumerate(schema.fields)
+    ]
+
+
 def profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per column: row count, NULLs, and the day range of temporal columns.
 
@@ -117,13 +166,6 @@ def profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     """
 
     def one(name: str, df: DataFrame) -> DataFrame:
-        fields = df.schema.fields
-        aggs = [F.count("*").alias("_rows")]
-        for i, f in enumerate(fields):
-            aggs.append(F.count(F.col(f.name)).alias(f"_n{i}"))
-            if _is_temporal(f.dataType):
-                aggs.append(F.to_date(F.min(f.name)).alias(f"_lo{i}"))
-                aggs.append(F.to_date(F.max(f.name)).alias(f"_hi{i}"))
         nothing = F.lit(None).cast("date")
         entries = [
             F.struct(
@@ -135,9 +177,9 @@ def profile(tables: Mapping[str, DataFrame]) -> DataFrame:
                 (F.col(f"_lo{i}") if _is_temporal(f.dataType) else nothing).alias("first_day"),
                 (F.col(f"_hi{i}") if _is_temporal(f.dataType) else nothing).alias("last_day"),
             )
-            for i, f in enumerate(fields)
+            for i, f in enumerate(df.schema.fields)
         ]
-        summed = df.agg(*aggs)
+        summed = df.agg(*profile_metrics(df.schema))
         return summed.select(F.lit(name).alias("table_name"), F.explode(F.array(*entries)).alias("c")).select(
             "table_name", "c.*"
         )

@@ -57,7 +57,16 @@ TABLES = {
     "rx_claims": "pharmacy_rx_claims",
     "eligibility": "payer_member_eligibility_history",
     "enrollments": "outreach_program_enrollments",
+    "procedures": "ehr_procedures",
 }
+PROFILED = TABLES | {
+    "plans": "payer_plans",
+    "employers": "payer_employers",
+    "programs": "outreach_wellness_programs",
+    "isochrones": "external_drive_time_isochrones",
+    "observations": "ehr_observations",
+}
+MARTS = ["identity_xwalk", "facility_metrics", "market_summary", "market_flows", "observations_monthly"]
 
 QUERIES: dict[str, Query] = {}
 
@@ -99,7 +108,10 @@ def sites(w: Workspace) -> DataFrame:
 
 
 def all_tables(w: Workspace) -> dict[str, DataFrame]:
-    return {name: w.table(source) for name, source in TABLES.items()}
+    """Every source table and mart."""
+    tables = {name: w.table(source) for name, source in PROFILED.items()}
+    monthly = {"observations_monthly": freshness.observations_monthly(w.table("ehr_observations"))}
+    return tables | {name: getattr(w, name) for name in MARTS if name not in monthly} | monthly
 
 
 def settled(*names: str) -> Callable[[Query], Query]:

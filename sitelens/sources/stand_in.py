@@ -83,7 +83,7 @@ class StandIn(Network):
         "ops_facilities", "payer_members", "ehr_patients", "ops_providers", "payer_plans",
         "payer_employers", "outreach_wellness_programs", "external_drive_time_isochrones",
         "payer_claims", "ops_appointments", "ehr_encounters", "ops_or_schedule",
-        "ops_bed_census_daily", "ehr_observations", "ops_referrals", "ehr_conditions",
+        "ops_bed_census_daily", "ehr_observations", "ops_referrals", "ehr_conditions", "ehr_procedures",
         "pharmacy_rx_claims", "payer_member_eligibility_history", "outreach_program_enrollments",
         "answers", "documents",
     )
@@ -437,6 +437,17 @@ class StandIn(Network):
             F.to_date("o_orderdate").alias("onset_date"),
         )
 
+    def _ehr_procedures(self) -> DataFrame:
+        """One for every third encounter; some name a patient that is not on file."""
+        k = F.col("o_orderkey")
+        return self.base("orders").filter(k % 3 == 0).select(
+            k.alias("procedure_id"),
+            F.when(k % 50 != 0, F.concat(F.lit("P"), F.col("o_custkey").cast("string"))).alias("patient_id"),
+            k.alias("encounter_id"),
+            (k % 80 + 99201).cast("string").alias("cpt_code"),
+            F.date_add(F.to_date("o_orderdate"), (k % 3).cast("int")).alias("performed_dt"),
+        )
+
     def _pharmacy_rx_claims(self) -> DataFrame:
         return self.base("orders").select(
             F.col("o_orderkey").alias("rx_claim_id"),
