@@ -131,16 +131,21 @@ PROFILE = (
 )
 
 
-def profile_metrics(schema: StructType) -> list[Column]:
-    """Aggregates behind the profile of a table; also fit to be observed while it is written."""
-    out = [F.count(F.lit(1)).alias("_rows")]
+def profile_metrics(schema: StructType) -> dict[str, Column]:
+    """Aggregates behind the profile of a table, by name; also fit to be observed while it is written."""
+    out = {"_rows": F.count(F.lit(1))}
     for i, f in enumerate(schema.fields):
-        out.append(F.count(F.col(f"`{f.name}`")).alias(f"_n{i}"))
+        column = F.col(f"`{f.name}`")
+        out[f"_n{i}"] = F.count(column)
         if _is_temporal(f.dataType):
-            out += [F.to_date(F.min(f"`{f.name}`")).alias(f"_lo{i}"), F.to_date(F.max(f"`{f.name}`")).alias(f"_hi{i}")]
+            out |= {f"_lo{i}": F.to_date(F.min(column)), f"_hi{i}": F.to_date(F.max(column))}
     return out
 
 
+def named(metrics: Mapping[str, Column]) -> list[Column]:
+    return [c.alias(name) for name, c in metrics.items()]
+
+
 def profile_rows(name: str, schema: StructType, seen: Mapping[str, object]) -> list[tuple]:
     """Rows of ``PROFILE`` from collected ``profile_metrics``."""
     return [
@@ -179,7 +184,7 @@ def profile(tables: Mapping[str, DataFrame]) -> DataFrame:
             )
             for i, f in enumerate(df.schema.fields)
         ]
-        summed = df.agg(*profile_metrics(df.schema))
+        summed = df.agg(*named(profile_metrics(df.schema)))
         return summed.select(F.lit(name).alias("table_name"), F.explode(F.array(*entries)).alias("c")).select(
             "table_name", "c.*"
         )

@@ -8,17 +8,10 @@ from datetime import date
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from sitelens.operators.quality import PROFILE, named, profile_metrics, profile_rows
+from sitelens.sources.files import exists
 from sitelens.sources.network import Network, ParquetNetwork
 
-OBSERVATIONS_ROLLUP = """
-    SELECT patient_id, CAST(DATE_TRUNC('month', observation_dt) AS DATE) AS observation_month,
-           observation_loinc, MAX(observation_name) AS observation_name, COUNT(*) AS n_observations,
-           AVG(value_numeric) AS avg_value_numeric,
-           COUNT(CASE WHEN abnormal_flag NOT IN ('', 'N') THEN 1 END) AS n_abnormal
-    FROM ehr.observations GROUP BY patient_id, CAST(DATE_TRUNC('month', observation_dt) AS DATE), observation_loinc
-"""
-
-
 def local_name(source_name: str) -> str:
     """``payer.claims`` is kept as ``payer_claims``."""
     return source_name.replace(".", "_")
@@ -62,12 +55,6 @@ def with_provenance(df: DataFrame, origin: str = "source") -> DataFrame:
     return df.withColumn("provenance", F.lit(origin))
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a completed write is there: its success marker is."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
-
-
 def in_event_order(df: DataFrame, event_column: str) -> DataFrame:
     """Files that each cover a short stretch of event dates, for pruning by file statistics.
 
@@ -78,30 +65,45 @@ def in_event_order(df: DataFrame, event_column: str) -> DataFrame:
     return df.repartitionByRange(F.col(event_column), spread).sortWithinPartitions(event_column)
 
 
-def extract(df: DataFrame, path: str, event_column: str | None = None) -> int | None:
+def extract(df: DataFrame, path: str, event_column: str | None = None, profile_to: str | None = None) -> int | None:
     """Write ``df`` once as zstd parquet; an existing extract is kept.
 
     Returns the rows written, counted during the write, or None when skipped.  The
     commit protocol shows readers all files or none; what a failed write left is replaced.
+    With ``profile_to`` the table's profile, observed during the same write, is kept there.
     """
-    if exists(df.sparkSession, path):
+    spark, name = df.sparkSession, path.rstrip("/").rsplit("/", 1)[-1].removesuffix(".parquet")
+    if exists(spark, path) and (profile_to is None or exists(spark, profile_to)):
         return None
+    schema = df.schema
     if event_column:
         df = in_event_order(df, event_column)
     # above the range exchange, whose sampling pass would count the rows a second time
     seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    metrics = profile_metrics(schema) if profile_to else {"_rows": F.count(F.lit(1))}
+    counted = df.observe(seen, *named(metrics))
     counted.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return seen.get["rows"]
+    if profile_to:
+        rows = spark.createDataFrame(profile_rows(name, schema, seen.get), PROFILE)
+        rows.coalesce(1).write.mode("overwrite").parquet(profile_to)
+    return seen.get["_rows"]
 
 
 def extract_network(net: Network, names: Iterable[str], root: str) -> tuple[dict[str, int | None], ParquetNetwork]:
-    """Extract tables under ``root`` and open them there, with the types they had."""
+    """Extract tables under ``root`` and open them there, with the types they had.
+
+    The profile of every table is a by-product of its write; ``extracted_profile`` reads them.
+    """
     frames = {name: net.table(name) for name in names}
-    rows = {n: extract(df, f"{root}/{n}.parquet", net.EVENT.get(n)) for n, df in frames.items()}
+    rows = {n: extract(df, f"{root}/{n}.parquet", net.EVENT.get(n), f"{root}/profiles/table={n}") for n, df in frames.items()}
     return rows, ParquetNetwork(net.spark, root, {name: df.schema for name, df in frames.items()})
 
 
+def extracted_profile(spark: SparkSession, root: str) -> DataFrame:
+    """Profiles that ``extract_network`` kept; no table is read."""
+    return spark.read.schema(PROFILE).parquet(f"{root}/profiles")
+
+
 def save_snapshot(df: DataFrame, name: str) -> None:
     """Save ``schema_table`` as table ``schema.table`` of the catalog."""
     spark = df.sparkSession

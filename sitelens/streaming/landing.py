@@ -4,12 +4,18 @@ The reference point is the landing date.  The streaming form reads files that
 arrived since the last run (its checkpoint is the watermark) and stops when caught
 up; every service month touched by what landed is restated as a whole, however old it is, so
 a late or corrected claim replaces what was published.
+
+``restate`` overwrites month partitions in place.  ``stream_restatements`` keeps what readers see
+in a manifest: a batch writes the months it touches aside, and one small file makes all of them
+current at once, emptied months included.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import date, timedelta
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from sitelens.functions.scale import broadcast_within, staged
 from sitelens.sources.extract import landed_since
 
 RESTATED_DAYS = 100  # fixed value: longest adjudication lag, rounded up
@@ -130,3 +137,120 @@ def restate(
     for month in emptied:
         name = month or "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's folder of a NULL partition
         claims.limit(0).write.mode("overwrite").parquet(f"{target}/service_month={name}")
+
+
+class Manifest(NamedTuple):
+    """What is published: the folder of every month, and the batches that made it so."""
+
+    version: int
+    months: dict[date | None, str]
+    batches: dict[str, int]
+
+
+class Superseded(RuntimeError):
+    """Another writer has published since this batch began."""
+
+
+MANIFEST = "version long, month date, folder string, source string, batch long"
+
+
+def read_manifest(spark: SparkSession, root: str) -> Manifest:
+    """The newest complete manifest; version 0 is that of a table nobody has written yet."""
+    try:
+        rows = spark.read.schema(MANIFEST).option("recursiveFileLookup", "true").parquet(f"{root}/manifest")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return Manifest(0, {}, {})
+    newest = rows.agg(F.max("version")).scalar()
+    held = rows.filter(F.col("version") == newest).collect()  # one row per month and per source
+    return Manifest(
+        held[0].version if held else 0,
+        {r.month: r.folder for r in held if r.folder is not None},
+        {r.source: r.batch for r in held if r.source is not None},
+    )
+
+
+def commit_manifest(spark: SparkSession, root: str, new: Manifest) -> None:
+    """Publish ``new`` as one file; refuses if its version has been taken meanwhile."""
+    rows = [(new.version, month, folder, None, None) for month, folder in new.months.items()]
+    rows += [(new.version, None, None, source, batch) for source, batch in new.batches.items()]
+    try:
+        spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("error").parquet(f"{root}/manifest/v{new.version:010d}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_ALREADY_EXISTS":
+            raise
+        raise Superseded(f"version {new.version} of {root} exists") from e
+
+
+def open_restated(spark: SparkSession, root: str, schema: StructType, months: Sequence[date | None] | None = None) -> DataFrame:
+    """The published claims with their ``service_month``; only the folders of ``months`` if given."""
+    current = read_manifest(spark, root).months
+    wanted = [m for m in current if months is None or m in months]
+    return _months(spark, root, schema, {m: current[m] for m in wanted})
+
+
+def _months(spark: SparkSession, root: str, schema: StructType, folders: dict[date | None, str]) -> DataFrame:
+    whole = StructType(list(schema.fields)).add("service_month", "date")
+    if not folders:
+        return spark.createDataFrame([], whole)
+    null = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's folder of a NULL partition
+    paths = [f"{root}/data/batch={folder}/service_month={month or null}" for month, folder in folders.items()]
+    placed = StructType(list(whole.fields)).add("batch", "string")
+    return spark.read.schema(placed).option("basePath", f"{root}/data").parquet(*paths).drop("batch")
+
+
+def restate_batch(
+    batch: DataFrame, batch_id: int, root: str, source: str, key: str, landed: str, then: Sequence[str] = ()
+) -> list[date | None]:
+    """Merge one batch of landed claims and publish every month it touches, all or none.
+
+    A month is touched if a landed claim lies in it or the published version of such a claim does;
+    so the touched months' published rows and the batch hold every version that matters, and
+    nothing else is read but the published keys.  The months are written to a folder of this
+    attempt; the manifest entry that names them is the only commit.  A job that dies before it
+    leaves readers the old state, and a batch that is delivered again after it changes nothing:
+    ``source`` and ``batch_id`` are part of the entry.
+    """
+    spark = batch.sparkSession
+    before = read_manifest(spark, root)
+    if before.batches.get(source, -1) >= batch_id:
+        return []
+    fresh = staged(batch.withColumn("service_month", service_month()))
+    current = _months(spark, root, batch.schema, before.months)
+    homes = current.select(key, "service_month").join(broadcast_within(fresh.select(key).distinct()), key, "left_semi")
+    touched = [r[0] for r in homes.select("service_month").union(fresh.select("service_month")).distinct().collect()]
+    held = _months(spark, root, batch.schema, {m: f for m, f in before.months.items() if m in touched})
+    merged = latest_versions(held.unionByName(fresh), key, landed, then)
+    folder = f"{batch_id:010d}-{uuid.uuid4().hex}"
+    merged.hint("rebalance", F.col("service_month")).write.partitionBy("service_month").parquet(f"{root}/data/batch={folder}")
+    written = spark.read.schema(StructType(list(batch.schema.fields)).add("service_month", "date")).parquet(f"{root}/data/batch={folder}")
+    filled = {r[0] for r in written.select("service_month").distinct().collect()}
+    months = {m: f for m, f in before.months.items() if m not in touched} | {m: folder for m in filled}
+    commit_manifest(spark, root, Manifest(before.version + 1, months, before.batches | {source: batch_id}))
+    return touched
+
+
+def stream_restatements(
+    spark: SparkSession,
+    landing: str,
+    root: str,
+    checkpoint: str,
+    schema: StructType | str,
+    key: str,
+    landed: str,
+    then: Sequence[str] = (),
+) -> StreamingQuery:
+    """Restate the months touched by every newly landed batch of files, and stop when caught up."""
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        restate_batch(batch, batch_id, root, checkpoint, key, landed, then)
+
+    return (
+        spark.readStream.schema(schema)
+        .parquet(landing)
+        .writeStream.foreachBatch(apply)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

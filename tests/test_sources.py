@@ -7,7 +7,8 @@ from sitelens.functions.temporal import Span
 from sitelens.plans import publish
 from sitelens.plans.catalog import workspace
 from sitelens.plans.workspace import Workspace
-from sitelens.sources import extract
+from sitelens.operators import quality
+from sitelens.sources import extract, footers
 from sitelens.sources.network import SCHEMAS, ParquetNetwork
 from sitelens.sources.stand_in import AS_OF, SPAN, StandIn
 from sitelens.streaming import landing
@@ -67,9 +68,9 @@ def test_publish_swaps_versions(spark, tmp_path):
     assert first == {"facility_metrics": 10, "build_metadata": 7}
     held = publish.open_marts(spark, root)
     publish.build_marts(workspace(spark, SMALL), root, "0002", some)
-    assert publish.current_version(spark, root) == "0001"  # built aside, not yet visible
+    assert set(publish.current_versions(spark, root).values()) == {"0001"}  # built aside, not yet visible
     publish.publish(workspace(spark, SMALL), root, "0003", datetime(2024, 1, 2), some)
-    assert publish.current_version(spark, root) == "0003"
+    assert set(publish.current_versions(spark, root).values()) == {"0003"}
     assert held["facility_metrics"].count() == 10  # an open reader is not disturbed
     assert set(publish.open_marts(spark, root, views=True)) == set(some)
     assert spark.sql("SELECT count(*) FROM marts_facility_metrics").first()[0] == 10
@@ -78,6 +79,25 @@ def test_publish_swaps_versions(spark, tmp_path):
     assert 0 < exported < publish.PORTABLE_LIMIT_BYTES
     with pytest.raises(publish.OversizeError):
         publish.export_portable(spark, held, str(tmp_path / "out2"), limit_bytes=10)
+    assert [p.name for p in tmp_path.iterdir() if p.name.startswith("out")] == ["out"]  # never visible, not even in part
+    with pytest.raises(publish.OversizeError):
+        publish.export_portable(spark, held, str(tmp_path / "out"), limit_bytes=10)
+    assert spark.read.parquet(str(tmp_path / "out" / "facility_metrics")).count() == 10
+
+
+def test_publishing_some_marts_leaves_the_others(spark, tmp_path):
+    root = str(tmp_path / "marts")
+    assert publish.current_versions(spark, root) == {} == publish.open_marts(spark, root)
+    publish.publish(workspace(spark, SMALL), root, "0001", datetime(2024, 1, 1), ["facility_metrics", "market_flows"])
+    seen = publish.current_versions(spark, root)
+    publish.publish(workspace(spark, SMALL), root, "0002", datetime(2024, 1, 2), ["market_flows"], expected=seen)
+    assert publish.current_versions(spark, root) == {"facility_metrics": "0001", "market_flows": "0002"}
+    assert list(publish.open_marts(spark, root)) == ["facility_metrics", "market_flows"]
+    with pytest.raises(publish.Superseded):
+        publish.publish(workspace(spark, SMALL), root, "0003", datetime(2024, 1, 3), ["market_flows"], expected=seen)
+    assert publish.current_versions(spark, root)["market_flows"] == "0002"
+    assert publish.remove_unlisted(spark, root) == ["v=0001/market_flows", "v=0003/market_flows"]
+    assert all(df.count() for df in publish.open_marts(spark, root).values())
 
 
 def test_export_refuses_personal_columns(spark, tmp_path):
@@ -98,9 +118,15 @@ def test_bounded_pages(spark):
     assert "…" in shown and "truncated at 1 rows" in shown
 
 
-def test_describe_list_and_statements(spark):
+def numbers_on_disk(spark, tmp_path):
+    spark.range(7).write.parquet(str(tmp_path / "numbers"))
+    return str(tmp_path / "numbers")
+
+
+def test_describe_list_and_statements(spark, tmp_path):
     spark.range(5).createOrReplaceTempView("raw_numbers")
-    assert ("raw_numbers",) in [(r.name,) for r in publish.list_tables(spark, "raw_").collect()]
+    listed = publish.list_tables(spark, "raw_", {"raw_numbers": numbers_on_disk(spark, tmp_path)}).collect()
+    assert ("raw_numbers", 7) in [(r.name, r.n_rows) for r in listed]
     columns, page = publish.describe(spark.table("raw_numbers"))
     assert columns == [("id", "bigint")] and len(page.rows) == 3
     for statement in ("DESCRIBE raw_numbers", "SHOW TABLES", "EXPLAIN SELECT * FROM raw_numbers"):
@@ -205,3 +231,73 @@ def test_period_outside_the_data_is_flagged(spark, small):
         Span(date(2010, 1, 1), date(2011, 1, 1)),
     ).collect()
     assert (rows[0].coverage, rows[0].rows_in_period) == ("outside window", None)
+
+
+def test_profiles_from_the_write_and_from_footers(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    names = ["payer_members", "ops_appointments", "ehr_procedures"]
+    _, snap = extract.extract_network(StandIn(spark, SMALL), names, root)
+    want = sorted(map(tuple, quality.profile({n: snap.table(n) for n in names}).collect()))
+    cols = [c.split()[0] for c in quality.PROFILE.split(", ")]
+    assert sorted(map(tuple, extract.extracted_profile(spark, root).select(cols).collect())) == want
+    paths = {n: f"{root}/{n}.parquet" for n in names}
+    assert sorted(map(tuple, footers.footer_profile(spark, paths).collect())) == want
+    assert footers.row_counts(spark, paths) == {n: snap.table(n).count() for n in names}
+    with footers.footer_reader(spark):
+        assert "PushedAggregation: [COUNT(*)]" in plan_of(footers.counted(spark, paths["ops_appointments"]))
+    assert "BatchScan" not in plan_of(spark.read.parquet(paths["ops_appointments"]))  # settings are back
+
+
+def claims_of(spark, rows):
+    return spark.createDataFrame([(*r[:1], 1, *r[1:]) for r in rows], CLAIM)
+
+
+def published(spark, root):
+    df = landing.open_restated(spark, root, spark.createDataFrame([], CLAIM).schema)
+    return sorted((r.claim_id, str(r.service_month), r.allowed_amount) for r in df.collect())
+
+
+def test_restated_batches_are_published_all_or_none(spark, tmp_path, monkeypatch):
+    root, day = str(tmp_path / "claims"), date(2024, 7, 1)
+    first = [(1, date(2024, 1, 9), day, 1.0), (2, date(2024, 2, 9), day, 2.0), (3, date(2024, 2, 10), day, 3.0), (4, None, day, 4.0)]
+    args = (root, "mark", "claim_id", "processed_date")
+    landing.restate_batch(claims_of(spark, first), 0, *args)
+    before = published(spark, root)
+    assert before == [(1, "2024-01-01", 1.0), (2, "2024-02-01", 2.0), (3, "2024-02-01", 3.0), (4, "None", 4.0)]
+    later = date(2024, 7, 9)
+    # 1 moves and empties January, 2 is corrected, 4 gets a date and empties the undated month, 5 is new
+    second = [(1, date(2024, 3, 9), later, 9.0), (2, date(2024, 2, 9), later, 8.0), (4, date(2024, 3, 1), later, 7.0), (5, date(2023, 5, 5), later, 6.0)]
+    second += [(3, date(2024, 6, 6), date(2024, 6, 1), 0.0)]  # landed before what is published: changes nothing
+
+    def dies(*_):
+        raise OSError("lost")
+
+    commit = landing.commit_manifest
+    monkeypatch.setattr(landing, "commit_manifest", dies)
+    with pytest.raises(OSError):
+        landing.restate_batch(claims_of(spark, second), 1, *args)
+    assert published(spark, root) == before  # months were written, none is visible
+    monkeypatch.setattr(landing, "commit_manifest", commit)
+    touched = landing.restate_batch(claims_of(spark, second), 1, *args)
+    after = [(1, "2024-03-01", 9.0), (2, "2024-02-01", 8.0), (3, "2024-02-01", 3.0), (4, "2024-03-01", 7.0), (5, "2023-05-01", 6.0)]
+    assert published(spark, root) == after
+    assert set(touched) == {None, *(date(y, m, 1) for y, m in [(2023, 5), (2024, 1), (2024, 2), (2024, 3), (2024, 6)])}
+    assert landing.restate_batch(claims_of(spark, second), 1, *args) == []  # delivered again
+    assert published(spark, root) == after and landing.read_manifest(spark, root).version == 2
+    stale = landing.read_manifest(spark, root)
+    with pytest.raises(landing.Superseded):
+        landing.commit_manifest(spark, root, stale)
+    only = landing.open_restated(spark, root, spark.createDataFrame([], CLAIM).schema, [date(2024, 3, 1)])
+    assert sorted(r.claim_id for r in only.collect()) == [1, 4]
+
+
+def test_stream_of_restatements(spark, tmp_path):
+    src, root, mark = (str(tmp_path / n) for n in ("landing", "claims", "mark"))
+    args = (spark, src, root, mark, CLAIM, "claim_id", "processed_date")
+    claims_of(spark, [(1, date(2024, 1, 9), date(2024, 2, 1), 1.0), (2, date(2024, 1, 9), date(2024, 2, 1), 1.0)]).write.parquet(src)
+    landing.stream_restatements(*args).awaitTermination()
+    claims_of(spark, [(2, date(2024, 4, 9), date(2024, 5, 1), 5.0)]).write.mode("append").parquet(src)
+    landing.stream_restatements(*args).awaitTermination()
+    landing.stream_restatements(*args).awaitTermination()
+    assert published(spark, root) == [(1, "2024-01-01", 1.0), (2, "2024-04-01", 5.0)]
+    assert landing.read_manifest(spark, root).batches == {mark: 1}
