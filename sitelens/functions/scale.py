@@ -60,72 +60,96 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
     return left.join(renamed, cond, how).drop(*[f"__{n}" for n in on])
 
 
+#: distinct values of one bin that one task may order
+FEW_VALUES = 100_000
+BINS = 1024
+
+
+def _split(values: DataFrame, wide: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The bins, of ``BINS`` per wide range, that hold the wanted ranks; bounds are values that occur.
+
+    ``wide(keys, _lo, _hi, _below, _d, _ranks)`` has a row per range; only histogram rows are
+    ordered, at most ``BINS`` per range.
+    """
+    inside = null_safe_join(values, broadcast_within(wide), keys).filter("_v BETWEEN _lo AND _hi")
+    place = f"least({BINS - 1}, cast(floor((_v / 2 - _lo / 2) / (_hi / 2 - _lo / 2) * {BINS}) AS int))"
+    bins = inside.groupBy(*keys, F.col("_lo").alias("_from"), F.expr(place).alias("_bin")).agg(
+        F.sum("_n").alias("_in_bin"),
+        F.min("_v").alias("_lo"),
+        F.max("_v").alias("_hi"),
+        F.count("*").alias("_d"),
+        F.first("_below").alias("_start"),
+        F.first("_ranks").alias("_ranks"),
+    )
+    over = f"PARTITION BY {', '.join([*keys, '_from'])} ORDER BY _bin ROWS UNBOUNDED PRECEDING"
+    return (
+        bins.withColumn("_below", F.expr(f"_start + sum(_in_bin) OVER ({over}) - _in_bin"))
+        .withColumn("_ranks", F.expr("filter(_ranks, r -> r >= _below AND r < _below + _in_bin)"))
+        .filter("size(_ranks) > 0")
+        .select(*keys, "_lo", "_hi", "_below", "_d", "_ranks")
+    )
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
     probs: dict[str, float],
-    bin_width: float,
     weight: str | None = None,
     rows: str | None = None,
+    few: int = FEW_VALUES,
 ) -> DataFrame:
     """Exact interpolated quantiles per group without holding a group in one task.
 
-    Rows collapse to distinct values with their multiplicity (combined map-side and
-    spread over key *and* value, so a group with a third of all rows is split).  A
-    histogram of fixed-width bins finds the bin of each wanted rank, and only the
-    values of those bins are ordered.  One scan of ``df``; the ordered part is a
-    sliver of the distinct values whatever the size of the group.
+    Rows collapse to distinct values with their multiplicity (combined map-side and spread over
+    key *and* value, so a group with a third of all rows is split), staged once.  A group with
+    more than ``few`` distinct values gets a histogram over its own range; each bin that holds a
+    wanted rank is split again over the values it has, until it holds ``few`` or a single value.
+    Only then are the values of those bins ordered.  The rounds are few: each cuts a range to a
+    thousandth, whatever its distribution.
 
-    ``rows`` names a column for the number of rows per group, NULL values included.
+    ``rows`` names a column for the number of rows per group, NULL values included.  NaN counts
+    as NULL.
     """
     keys = list(keys)
     multiplicity = "count(*)" if weight is None else f"sum({weight})"
-    values = (
-        df.groupBy(*keys, F.col(value).cast("double").alias("_v"))
-        .agg(F.expr(f"cast({multiplicity} AS bigint) AS _n"))
-        .withColumn("_bin", F.expr(f"floor(_v / {bin_width})"))
+    number = F.col(value).cast("double")
+    values = staged(
+        df.groupBy(*keys, F.when(~F.isnan(number), number).alias("_v")).agg(F.expr(f"cast({multiplicity} AS bigint) AS _n"))
     )
-    over = f"PARTITION BY {', '.join(keys)}"
-    bins = (
-        values.groupBy(*keys, "_bin")
-        .agg(F.expr("sum(_n) AS _in_bin"))
-        .selectExpr(
-            "*",
-            f"sum(_in_bin) OVER ({over}) AS _rows",
-            f"coalesce(sum(if(_bin IS NULL, 0, _in_bin)) OVER ({over}), 0) AS _total",
-            f"sum(if(_bin IS NULL, 0, _in_bin)) OVER ({over} ORDER BY _bin NULLS LAST "
-            "ROWS UNBOUNDED PRECEDING) AS _upto",
+    edges = [(name, p, edge) for name, p in probs.items() for edge in ("floor", "ceil")]
+    rank = {(name, edge): f"cast({edge}({p}D * (_total - 1)) AS bigint)" for name, p, edge in edges}
+    groups = staged(
+        values.groupBy(*keys)
+        .agg(
+            F.expr("coalesce(sum(if(_v IS NULL, 0, _n)), 0) AS _total"),
+            F.sum("_n").alias("_rows"),
+            F.min("_v").alias("_lo"),
+            F.max("_v").alias("_hi"),
+            F.count("_v").alias("_d"),
         )
-        .withColumn("_below", F.expr("_upto - _in_bin"))
+        .withColumn("_ranks", F.expr(f"array_distinct(array({', '.join(rank.values())}))"))
     )
-
-    def rank(p: float, edge: str) -> str:
-        return f"{edge}({p}D * (_total - 1))"
-
-    def holds(start: str, end: str, p: float, edge: str) -> str:
-        return f"({start} <= {rank(p, edge)} AND {rank(p, edge)} < {end})"
-
-    edges = [(p, edge) for p in probs.values() for edge in ("floor", "ceil")]
-    wanted = " OR ".join(holds("_below", "_upto", p, edge) for p, edge in edges)
-    targets = bins.filter(f"(_bin IS NOT NULL AND ({wanted})) OR (_bin IS NULL AND _total = 0)").select(
-        *keys, "_bin", "_below", "_total", "_rows"
+    targets = groups.filter("_total > 0").select(*keys, "_lo", "_hi", F.lit(0).cast("long").alias("_below"), "_d", "_ranks")
+    narrow, wide = [], f"_d > {few} AND _hi > _lo"
+    while not targets.filter(wide).isEmpty():
+        narrow.append(targets.filter(f"NOT ({wide})"))
+        targets = staged(_split(values, targets.filter(wide), keys))
+    targets = reduce(DataFrame.unionByName, [*narrow, targets])
+
+    over = f"PARTITION BY {', '.join([*keys, '_lo'])} ORDER BY _v ROWS UNBOUNDED PRECEDING"
+    ordered = null_safe_join(values, targets, keys).filter("_v BETWEEN _lo AND _hi").selectExpr(
+        *keys, "_v", "_n", "_ranks", f"_below + sum(_n) OVER ({over}) AS _end"
     )
-    ranked = null_safe_join(values, targets, [*keys, "_bin"]).selectExpr(
-        "*",
-        f"_below + sum(_n) OVER ({over}, _bin ORDER BY _v ROWS UNBOUNDED PRECEDING) AS _end",
-    ).withColumn("_start", F.expr("_end - _n"))
-    picked = [
-        F.expr(f"max(if({holds('_start', '_end', p, edge)}, _v, NULL)) AS _{name}_{edge}")
-        for name, p in probs.items()
-        for edge in ("floor", "ceil")
-    ]
-    found = ranked.groupBy(*keys).agg(F.expr("max(_total) AS _total"), F.expr("max(_rows) AS _rows"), *picked)
-    return found.selectExpr(
+    held = ordered.selectExpr(*keys, "_v", "explode(filter(_ranks, r -> r >= _end - _n AND r < _end)) AS _rank")
+    found = held.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_at"))
+    at = {k: f"element_at(_at, {r})" for k, r in rank.items()}
+    return null_safe_join(groups, found, keys, "left").selectExpr(
         *keys,
         *([f"_rows AS {rows}"] if rows else []),
         *[
-            f"_{name}_floor + (_{name}_ceil - _{name}_floor) * ({p}D * (_total - 1) - {rank(p, 'floor')}) AS {name}"
+            f"{at[name, 'floor']} + ({at[name, 'ceil']} - {at[name, 'floor']}) * "
+            f"({p}D * (_total - 1) - floor({p}D * (_total - 1))) AS {name}"
             for name, p in probs.items()
         ],
     )

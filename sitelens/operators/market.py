@@ -21,7 +21,6 @@ from sitelens.functions.temporal import Span, active_on, in_span
 # fixed values: the hospital service lines and the distance that counts as far
 ACUTE_LINES = ["surgery", "cardiology", "er", "oncology"]
 FAR_MILES = 30
-MILES_BIN = 0.25
 
 LINE_KEYS = ("service_line", "network_status")
 ADDITIVE = ["claims", "allowed", "paid", "ratio_sum", "ratio_rows"]
@@ -209,7 +208,6 @@ def acute_distance(located: DataFrame) -> DataFrame:
         ["city"],
         "miles",
         {"median_miles": 0.5},
-        MILES_BIN,
         weight="claims",
     )
 

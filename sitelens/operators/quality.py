@@ -395,7 +395,7 @@ def lag_distribution(df: DataFrame, start: str, end: str) -> DataFrame:
     """Median, p10, p90 and longest lag in days, exact."""
     lags = freshness.lag_days(df, start, end).withColumn("all", F.lit(1))
     marks = {"p10": 0.1, "median": 0.5, "p90": 0.9, "max": 1.0}
-    return exact_quantiles(lags, ["all"], "lag", marks, 1.0, rows="n").select(
+    return exact_quantiles(lags, ["all"], "lag", marks, rows="n").select(
         "n",
         *[F.round(c, 4).alias(f"{c}_days") for c in ("p10", "median", "p90")],
         F.col("max").cast("long").alias("max_days"),

@@ -491,7 +491,7 @@ QUERIES |= {
     ),
     "allowed_quantiles": lambda w: rounded(
         exact_quantiles(
-            claims(w), ["service_line"], "allowed_amount", {"p10": 0.1, "p50": 0.5, "p90": 0.9}, 100.0
+            claims(w), ["service_line"], "allowed_amount", {"p10": 0.1, "p50": 0.5, "p90": 0.9}
         ),
         4,
         "p10",

@@ -14,7 +14,6 @@ from sitelens.functions.scale import exact_quantiles
 from sitelens.functions.temporal import active_on
 from sitelens.operators import market
 
-MILES_BIN = 0.25
 ALLOWED, PAID = "allowed", "paid"
 
 
@@ -122,7 +121,7 @@ def catchment(
         F.round(share_pct(F.count_if(miles <= 30), F.count("*")), 1).alias("pct_within_30mi"),
         F.round(share_pct(F.count_if(miles <= 45), F.count("*")), 1).alias("pct_within_45mi"),
     )
-    median = exact_quantiles(away_from, ["city"], "miles", {"median_miles": 0.5}, MILES_BIN)
+    median = exact_quantiles(away_from, ["city"], "miles", {"median_miles": 0.5})
     return (
         counts.join(median, "city", "left")
         .withColumn("median_miles_to_site", F.round("median_miles", 1))
@@ -279,7 +278,7 @@ def acute_miles_by_market(
         claims.filter(market.is_acute(F.col("service_line"))), members, facilities
     ).withColumnRenamed("member_city", "city")
     return exact_quantiles(
-        placed, ["city"], "miles", {"median_miles": 0.5}, MILES_BIN, weight="claims", rows="n"
+        placed, ["city"], "miles", {"median_miles": 0.5}, weight="claims", rows="n"
     ).filter(F.col("n") > min_claims)
 
 

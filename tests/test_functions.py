@@ -121,7 +121,8 @@ def test_distance(spark):
     assert row["zero"] == 0.0
 
 
-def test_exact_quantiles_on_skewed_groups(spark):
+@pytest.mark.parametrize("ordered", [scale.FEW_VALUES, 50, 1])
+def test_exact_quantiles_on_skewed_groups(spark, ordered):
     rng = np.random.default_rng(1)
     hot = [("hot", float(v), 1) for v in rng.exponential(20, 6000)]
     tied = [("tied", 5.0, 3)] * 500 + [("tied", 7.5, 1)] * 499
@@ -130,7 +131,7 @@ def test_exact_quantiles_on_skewed_groups(spark):
     df = spark.createDataFrame(hot + tied + rest + few, "g string, v double, w int")
     probs = {"p10": 0.1, "p50": 0.5, "p90": 0.9}
     found = {
-        r["g"]: r for r in scale.exact_quantiles(df, ["g"], "v", probs, 0.5, weight="w", rows="n").collect()
+        r["g"]: r for r in scale.exact_quantiles(df, ["g"], "v", probs, weight="w", rows="n", few=ordered).collect()
     }
     pdf = df.toPandas()
     groups = pdf["g"].where(pdf["g"].notna(), None)
@@ -146,6 +147,16 @@ def test_exact_quantiles_on_skewed_groups(spark):
                 assert found[g][name] is None
 
 
+def test_quantiles_of_one_hot_bin(spark):
+    """Nearly all values crowd in a sliver of the range; bins are split until they are small."""
+    crowd = spark.range(400_000).selectExpr("'g' AS g", "1D + id / 1e12D AS v")
+    far = spark.createDataFrame([("g", -1e300), ("g", 1e300), ("g", float("nan")), ("g", 1e9)], "g string, v double")
+    got = scale.exact_quantiles(crowd.union(far), ["g"], "v", {"p25": 0.25, "p50": 0.5, "top": 1.0}, rows="n", few=2_000).first()
+    values = np.sort(np.concatenate([1 + np.arange(400_000) / 1e12, [-1e300, 1e300, 1e9]]))
+    assert (got["n"], got["top"]) == (400_004, 1e300)
+    assert got["p25"] == pytest.approx(np.quantile(values, 0.25), rel=1e-15) and got["p50"] == pytest.approx(np.quantile(values, 0.5), rel=1e-15)
+
+
 def test_broadcast_only_within_the_bound(spark):
     df = spark.range(100)
     assert "ResolvedHint" in scale.broadcast_within(df, 100)._jdf.queryExecution().analyzed().toString()
