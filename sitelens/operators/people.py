@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import date
+from itertools import islice
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitelens.functions.geo import all_rings, inside_rings
+from sitelens.functions import cover
 from sitelens.functions.measures import share_pct
 from sitelens.functions.scale import null_safe_join, staged
 from sitelens.functions.temporal import Span, active_on, age_years
@@ -112,7 +115,36 @@ def age_mix(members: DataFrame, as_of: date, older_than: int = 65) -> DataFrame:
     )
 
 
-CELL_DEGREES = 0.25
+CELLS = "level int, cx long, cy long, edges array<struct<ax: double, ay: double, bx: double, by: double>>, base int, turns array<double>"
+
+
+def covering_cells(isochrones: DataFrame) -> DataFrame:
+    """Quadtree cells of every polygon; see ``functions/cover.py``."""
+    key = ["facility_id", "isochrone_minutes"]
+    shape = isochrones.select(*key, "polygon_wkt")
+    schema = f"facility_id {shape.schema['facility_id'].dataType.simpleString()}, isochrone_minutes long, {CELLS}"
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for facility, minutes, wkt in frame.itertuples(index=False):
+                cells = cover.cells_of(cover.rings_of(wkt))
+                while some := list(islice(cells, 1000)):
+                    level, cx, cy, edges, base, turns = zip(*some)
+                    listed = [[dict(zip(("ax", "ay", "bx", "by"), e)) for e in own.tolist()] for own in edges]
+                    yield pd.DataFrame(
+                        {
+                            "facility_id": [facility] * len(some),
+                            "isochrone_minutes": [minutes] * len(some),
+                            "level": level,
+                            "cx": cx,
+                            "cy": cy,
+                            "edges": listed,
+                            "base": base,
+                            "turns": [t.tolist() for t in turns],
+                        }
+                    )
+
+    return shape.mapInPandas(run, schema)
 
 
 def drive_time_access(members: DataFrame, isochrones: DataFrame) -> DataFrame:
@@ -121,33 +153,33 @@ def drive_time_access(members: DataFrame, isochrones: DataFrame) -> DataFrame:
     All parts of a multipolygon count and holes do not.  Rows that repeat a facility and
     time are added up.
 
-    Polygons are laid on a grid and meet members by grid cell, an equi-join; the exact
-    test runs only on members of a polygon's cells.  Members first collapse to distinct
-    home points with a count, so a crowded address is tested once.
+    A polygon is cut into quadtree cells: large ones wholly inside, and border cells that carry
+    only the edges in them, a few dozen at most.  Members first collapse to distinct home points
+    with a count; a point meets the cells that hold it, one equi-join over the levels in use, and
+    is tested against the edges of its cell alone.
     """
+    cells = staged(covering_cells(isochrones))
+    levels = sorted(r.level for r in cells.select("level").distinct().collect())  # at most cover.LEVELS
     homes = (
         members.select(F.col("longitude").cast("double").alias("x"), F.col("latitude").cast("double").alias("y"))
         .groupBy("x", "y")
         .agg(F.count("*").alias("people"))
-        .withColumn("cx", F.floor(F.col("x") / CELL_DEGREES))
-        .withColumn("cy", F.floor(F.col("y") / CELL_DEGREES))
+        .withColumn("level", F.explode(F.array(*[F.lit(level) for level in levels]).cast("array<int>")))
+        .withColumn("_size", cover.TOP_DEGREES / F.pow(F.lit(2.0), "level"))
+        .withColumn("cx", F.floor(F.col("x") / F.col("_size")))
+        .withColumn("cy", F.floor(F.col("y") / F.col("_size")))
     )
+    x, y = F.col("x"), F.col("y")
 
-    def cell_range(axis: str):
-        values = F.transform(F.flatten("rings"), lambda p: p[axis])
-        return F.sequence(
-            F.floor(F.array_min(values) / CELL_DEGREES), F.floor(F.array_max(values) / CELL_DEGREES)
-        )
+    def crossed(e: Column) -> Column:
+        spans = (e["ay"] > y) != (e["by"] > y)
+        return spans & (x < F.try_divide((e["bx"] - e["ax"]) * (y - e["ay"]), e["by"] - e["ay"]) + e["ax"])
 
+    passed = F.size(F.filter("edges", crossed)) + F.size(F.filter("turns", lambda t: t <= y)) + F.col("base")
     key = ["facility_id", "isochrone_minutes"]
-    cells = (
-        isochrones.select(*key, all_rings(F.col("polygon_wkt")).alias("rings"))
-        .withColumn("cx", F.explode(cell_range("x")))
-        .withColumn("cy", F.explode(cell_range("y")))
-    )
     counts = (
-        cells.join(homes, ["cx", "cy"])
-        .filter(inside_rings(F.col("x"), F.col("y"), F.col("rings")))
+        cells.join(homes, ["level", "cx", "cy"])
+        .filter(passed % 2 == 1)
         .groupBy(*key)
         .agg(F.sum("people").alias("members_within"))
     )

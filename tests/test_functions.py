@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from sitelens.functions import geo, scale, similarity, temporal, text
+from sitelens.functions import cover, geo, scale, similarity, temporal, text
 from sitelens.operators import people
 
 
@@ -199,3 +199,56 @@ def test_drive_time_access_takes_every_ring(spark):
     members = spark.createDataFrame([(0.5, 0.5), (0.5, 0.5), (5.5, 5.5), (7.0, 7.0), (3.0, 3.0)], "longitude double, latitude double")
     got = {r.facility_id: r.members_within for r in people.drive_time_access(members, isochrones).collect()}
     assert got == {"multi": 3, "hole": 1, "nobody": 0, "empty": 0, "null": 0, None: 2}
+
+
+def star(rng, n, x, y, size):
+    """A ragged ring around (x, y)."""
+    turn = np.sort(rng.uniform(0, 2 * np.pi, n))
+    far = size * rng.uniform(0.3, 1, n)
+    ring = np.stack([x + far * np.cos(turn), y + far * np.sin(turn)], axis=1)
+    return np.concatenate([ring, ring[:1]])
+
+
+def inside_by_hand(points, rings):
+    odd = np.zeros(len(points), bool)
+    for ring in rings:
+        for (ax, ay), (bx, by) in zip(ring, ring[1:]):
+            if ay != by:
+                at = (bx - ax) * (points[:, 1] - ay) / (by - ay) + ax
+                odd ^= ((ay > points[:, 1]) != (by > points[:, 1])) & (points[:, 0] < at)
+    return odd
+
+
+def text_of(rings):
+    return "MULTIPOLYGON ((" + ", ".join("(" + ", ".join(f"{x!r} {y!r}" for x, y in r.tolist()) + ")" for r in rings) + "))"
+
+
+def test_polygon_covers_equal_the_plain_test(spark):
+    rng = np.random.default_rng(4)
+    shapes = {
+        "ragged": [star(rng, 3000, -120, 37, 3)],
+        "holes": [star(rng, 200, 10, 10, 9), star(rng, 100, 10, 10, 2), star(rng, 50, 40, -5, 1)],
+        "on the grid": [np.array([[0, 0], [16, 0], [16, 16], [8, 16], [8, 8], [0, 8], [0, 0]], float)],
+        "sliver": [np.array([[-20, -20.001], [30, 20], [30, 20.001], [-20, -20.001]], float)],
+    }
+    points = [rng.uniform(-30, 45, (3000, 2)), np.stack([rng.uniform(-124, -116, 3000), rng.uniform(33, 41, 3000)], axis=1)]
+    points += [rng.uniform(0, 20, (2000, 2)), np.array([[x, y] for x in range(-1, 18) for y in range(-1, 18)], float)]
+    points = np.concatenate(points)
+    members = spark.createDataFrame(points.tolist() + [[None, 1.0]], "longitude double, latitude double")
+    isochrones = spark.createDataFrame([(k, 15, text_of(r)) for k, r in shapes.items()], "facility_id string, isochrone_minutes long, polygon_wkt string")
+    got = {r.facility_id: r.members_within for r in people.drive_time_access(members, isochrones).collect()}
+    want = {k: int(inside_by_hand(points, r).sum()) for k, r in shapes.items()}
+    assert got == want and all(want.values())
+
+
+def test_large_polygon_has_small_cells():
+    rng = np.random.default_rng(5)
+    turn = np.linspace(0, 2 * np.pi, 100_001)[:-1]
+    far = 9 + 2 * np.sin(5 * turn) + 0.3 * np.sin(71 * turn) + rng.uniform(0, 0.002, len(turn))
+    ring = np.stack([-100 + far * np.cos(turn), 40 + far * np.sin(turn)], axis=1)
+    ring = np.concatenate([ring, ring[:1]])
+    cells = list(cover.cells_of([ring]))
+    assert len(cells) > 10_000
+    held = np.array([len(own) + len(turns) for *_, own, _, turns in cells])
+    assert held.max() <= cover.LEAF_EDGES and held.sum() < 4 * len(ring)
+    assert any(level < 6 and not len(own) and not len(turns) for level, _, _, own, base, turns in cells)
