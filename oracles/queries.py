@@ -181,13 +181,11 @@ AGREE = f"""(
           SELECT patient_id, member_id, 'random_control' FROM
             (SELECT patient_id, row_number() OVER (ORDER BY md5(patient_id), patient_id) AS i FROM patients)
             JOIN (SELECT member_id, row_number() OVER (ORDER BY md5(CAST(member_id AS VARCHAR)), member_id) AS i
-                  FROM members) USING (i)
-          WHERE i <= {c.SAMPLE}) x
+                  FROM members) USING (i)) x
     JOIN patients p USING (patient_id) JOIN members m USING (member_id) GROUP BY match_method)"""
 
 TRUTH = f"""(
-    SELECT p.*, x.member_id FROM patients p JOIN xwalk x USING (patient_id) WHERE match_method = 'exact'
-    ORDER BY md5(patient_id), patient_id LIMIT {c.SAMPLE})"""
+    SELECT p.*, x.member_id FROM patients p JOIN xwalk x USING (patient_id) WHERE match_method = 'exact')"""
 
 OUT = "sum(if(place <> home, allowed_amount, 0))::DOUBLE"
 ALL = "sum(allowed_amount)::DOUBLE"

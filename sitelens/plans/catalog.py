@@ -35,7 +35,6 @@ CATCHMENTS = [
     ("corridor", "NATION_8"),
     ("corridor", "NATION_14"),
 ]
-SAMPLE = 500
 BUILT_AT = datetime(2001, 6, 1, 3, 30)
 PHRASES = ["worthless", "in the", "of the", "und die", "de la"]
 ENTITIES = ["The", "Die", "La", "And", "Of"]
@@ -504,7 +503,7 @@ QUERIES |= {
 
 
 def truth(w: Workspace) -> DataFrame:
-    return measure.known_truth(w.identity_xwalk, w.table("ehr_patients"), SAMPLE)
+    return measure.known_truth(w.identity_xwalk, w.table("ehr_patients"))
 
 
 def screened(w: Workspace) -> DataFrame:
@@ -522,7 +521,7 @@ def destained(w: Workspace) -> DataFrame:
 
 
 def agreement(w: Workspace) -> DataFrame:
-    return measure.agreement(w.identity_xwalk, w.table("ehr_patients"), members(w), SAMPLE)
+    return measure.agreement(w.identity_xwalk, w.table("ehr_patients"), members(w))
 
 
 QUERIES |= {

@@ -10,6 +10,12 @@ def _at(spark: SparkSession, path: str):
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme of the file system that Spark takes it to be on."""
+    system, where = _at(spark, path)
+    return system.makeQualified(where).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a completed write is there: its success marker is."""
     system, where = _at(spark, f"{path}/_SUCCESS")
