@@ -79,22 +79,27 @@ def crosswalk(patients: str, scope: str = "", extra: str = "") -> str:
     return contest(links(patients, scope, extra), scope)
 
 
-def late_links() -> str:
+def late_links(patients: str = "patients", scope: str = "") -> str:
     """Similar names under a neighbouring or swapped birth date, among who is still free."""
-    return """(
+    sc = f"{scope}, " if scope else ""
+    run = f"AND {{}}.{scope} = {{}}.{scope}" if scope else ""
+    runs = f", (SELECT DISTINCT {scope} FROM {patients})" if scope else ""
+    return f"""(
         WITH free_p AS (SELECT *, strip_accents(lower(trim(first_name))) AS fn,
-                               strip_accents(lower(trim(last_name))) AS ln FROM patients
-                        WHERE patient_id NOT IN (SELECT patient_id FROM claimed)),
+                               strip_accents(lower(trim(last_name))) AS ln FROM {patients} p
+                        WHERE NOT EXISTS (FROM claimed x WHERE x.patient_id = p.patient_id {run.format("x", "p")})),
         free_m AS (SELECT *, strip_accents(lower(trim(first_name))) AS fn,
-                          strip_accents(lower(trim(last_name))) AS ln FROM members
-                   WHERE member_id NOT IN (SELECT member_id FROM base)),
-        near AS (SELECT p.patient_id, m.member_id,
-                        jaro_winkler_similarity(p.fn || ' ' || p.ln, m.fn || ' ' || m.ln) AS s
-                 FROM free_p p JOIN free_m m ON p.gender = m.gender AND (p.ln = m.ln OR p.zip = m.zip)
+                          strip_accents(lower(trim(last_name))) AS ln FROM (SELECT * FROM members {runs}) m
+                   WHERE NOT EXISTS (FROM base x WHERE x.member_id = m.member_id {run.format("x", "m")})),
+        near AS (SELECT {"p." + scope + ", " if scope else ""}p.patient_id, m.member_id,
+                        jaro_winkler_similarity(p.fn || ' ' || p.ln, m.fn || ' ' || m.ln) AS s,
+                        if(p.ln = m.ln OR p.zip = m.zip, 0.96, 0.98) AS gate
+                 FROM free_p p JOIN free_m m ON p.gender = m.gender {run.format("p", "m")}
+                  AND (p.ln = m.ln OR p.zip = m.zip OR p.fn = m.fn)
                  WHERE p.dob <> m.dob AND (abs(p.dob - m.dob) = 1 OR (day(p.dob) <= 12
                        AND day(m.dob) = month(p.dob) AND month(m.dob) = day(p.dob) AND year(m.dob) = year(p.dob))))
-        SELECT DISTINCT ON (patient_id) patient_id, member_id, 'fuzzy_dob' AS match_method, s AS match_confidence
-        FROM near WHERE s >= 0.96 ORDER BY s DESC, member_id)"""
+        SELECT DISTINCT ON ({sc}patient_id) {sc}patient_id, member_id, 'fuzzy_dob' AS match_method, s AS match_confidence
+        FROM near WHERE s >= gate ORDER BY s DESC, member_id)"""
 
 
 MARTS: dict[str, str] = {

@@ -649,7 +649,12 @@ LOCAL = {
     "link_precision": f"agree AS MATERIALIZED (FROM {AGREE})",
     "link_recall": f"sample AS MATERIALIZED (FROM {TRUTH}), worse AS MATERIALIZED ({damaged('sample')}), "
     f"found AS MATERIALIZED ({crosswalk('worse', 'corruption')})",
+    "variant_link_recall": f"sample AS MATERIALIZED (FROM {TRUTH}), worse AS MATERIALIZED ({damaged('sample')}), "
+    f"claimed AS MATERIALIZED (FROM {links('worse', 'corruption')}), "
+    f"base AS MATERIALIZED ({contest('claimed', 'corruption')}), "
+    f"found AS MATERIALIZED (SELECT * FROM base UNION ALL {contest(late_links('worse', 'corruption'), 'corruption')})",
 }
+BODIES["variant_link_recall"] = BODIES["link_recall"]
 
 
 def sql() -> dict[str, str]:

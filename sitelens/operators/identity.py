@@ -9,8 +9,9 @@ combines map-side instead of a window over a group.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
+from types import MappingProxyType
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,11 +70,19 @@ def _resolve_ties(located: DataFrame, members: DataFrame, scope: Sequence[str])
     )
 
 
-def _blocks(side: DataFrame, extra: Sequence[str]) -> DataFrame:
-    """One row per blocking key of a profile: surname, zip, and any extra attribute."""
+def _blocks(side: DataFrame, extra: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
+    """One row per blocking key of a profile: surname, zip, and any extra attribute.
+
+    Columns ``within`` become part of the token, so that only rows equal in them meet.
+    """
     tokens = {"ln": "ln", "zip": "zip", **{c: c for c in extra}}
+
+    def token(c: str) -> Column:
+        parts = [F.coalesce(F.col(w).cast("string"), F.lit("")) for w in within] + [F.col(c)]
+        return reduce(lambda a, b: F.concat(a, F.lit("\x1f"), b), parts)
+
     entries = F.array(
-        *[F.struct(F.lit(k).alias("kind"), F.col(c).alias("token")) for k, c in tokens.items()]
+        *[F.struct(F.lit(k).alias("kind"), token(c).alias("token")) for k, c in tokens.items()]
     )
     return (
         side.withColumn("_entry", F.explode(entries))
@@ -136,12 +145,22 @@ def _meeting_by_signature(wanted: DataFrame, offered: DataFrame, keep: Sequence[
     )
 
 
+def _gate(threshold: float, strict: Mapping[str, float]) -> Column:
+    """The similarity that a pair needs, by the attribute that brought it together."""
+    gate = F.lit(threshold)
+    for kind, least in strict.items():
+        gate = F.when(F.col("kind") == kind, F.lit(max(least, threshold))).otherwise(gate)
+    return gate
+
+
 def similar_pairs(
     patients: DataFrame,
     members: DataFrame,
     threshold: float,
     scope: Sequence[str],
     extra: Sequence[str],
+    strict: Mapping[str, float] = MappingProxyType({}),
+    scoped_members: bool = False,
 ) -> DataFrame:
     """Best similar member per patient profile among those sharing a blocking key.
 
@@ -153,11 +172,16 @@ def similar_pairs(
     than ``HOT_PAIRS`` pairs meet by signature, so that pairs the bound refutes do not even
     meet there; both ways find the same pairs.  The best member of a name is then handed
     back to every profile that bears it.
+
+    ``strict`` names further attributes that bring names together, each with the similarity that a
+    pair needs if nothing else corroborates it.  With ``scoped_members`` both sides carry the
+    ``scope`` columns, and only rows of one scope meet.
     """
+    within, extra = (scope if scoped_members else ()), [*extra, *strict]
     person = ["fn", "ln", *BLOCK]
-    bearers = _blocks(patients, extra)
+    bearers = _blocks(patients, extra, within)
     wanted = staged(bearers.select(*scope, *person).distinct())
-    offered = staged(_blocks(members, extra).groupBy(*person).agg(F.min("member_id").alias("member_id")))
+    offered = staged(_blocks(members, extra, within).groupBy(*person).agg(F.min("member_id").alias("member_id")))
     hot = hot_blocks(wanted, offered)
     if hot is None:
         met = _meeting(wanted, offered, [*scope, *person], BLOCK, threshold)
@@ -168,7 +192,7 @@ def similar_pairs(
         )
     scored = met.select(
         *scope, *person, "member_id", jaro_winkler(_name("fn", "ln"), _name("m_fn", "m_ln")).alias("similarity")
-    ).filter(F.col("similarity") >= threshold)
+    ).filter(F.col("similarity") >= _gate(threshold, strict))
     best = F.min(F.struct((-F.col("similarity")).alias("loss"), "member_id")).alias("best")
     by_name = scored.groupBy(*scope, *person).agg(best)
     return (
@@ -267,18 +291,28 @@ def identity_xwalk_with_variants(
     members: DataFrame,
     threshold: float = THRESHOLD,
     variant_threshold: float = 0.96,
+    lone_threshold: float = 0.98,
+    scope: Sequence[str] = (),
 ) -> DataFrame:
     """The crosswalk, then a stricter pass over birth-date variants for who is left.
 
-    Only patients with no link and members no patient holds take part.
+    Only patients with no link and members no patient holds take part.  A pair whose surname or
+    zip agrees needs ``variant_threshold``; one that only shares the first name, whose surname and
+    zip both disagree, needs ``lone_threshold``.  ``scope`` columns of ``patients`` (few values)
+    separate independent runs, as in ``identity_xwalk``.
     """
-    links, located = tiered_links(patients, members, threshold)
+    links, located = tiered_links(patients, members, threshold, scope)
     links = staged(links)
-    base = staged(one_to_one(links))
-    left_patients = located.join(links.select("patient_id"), "patient_id", "left_anti")
-    free = members.join(base.select("member_id"), "member_id", "left_anti")
-    left_members = profiles(free, "member_id", (), ())
+    base = staged(one_to_one(links, scope))
+    left_patients = located.join(links.select(*scope, "patient_id"), [*scope, "patient_id"], "left_anti")
+    offered = members
+    if scope:
+        runs = [r.asDict() for r in located.select(*scope).distinct().collect()]
+        entry = F.array(*[F.struct(*[F.lit(run[c]).alias(c) for c in scope]) for run in runs])
+        offered = members.drop(*scope).withColumn("_run", F.explode(entry)).select("*", "_run.*").drop("_run") if runs else members.limit(0)
+    free = offered.join(base.select(*scope, "member_id"), [*scope, "member_id"], "left_anti")
+    left_members = profiles(free, "member_id", scope, ())
     late = similar_pairs(
-        birth_date_variants(left_patients), left_members, variant_threshold, (), ()
+        birth_date_variants(left_patients), left_members, variant_threshold, scope, (), {"fn": lone_threshold}, bool(scope)
     ).withColumn("match_method", F.lit("fuzzy_dob"))
-    return base.unionByName(one_to_one(late))
+    return base.unionByName(one_to_one(late, scope))

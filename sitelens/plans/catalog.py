@@ -529,6 +529,7 @@ QUERIES |= {
     "link_precision": lambda w: measure.precision(agreement(w)),
     "corrupted_records": lambda w: measure.corrupt(w.table("ehr_patients")),
     "link_recall": lambda w: measure.recall(truth(w), members(w)),
+    "variant_link_recall": lambda w: measure.recall(truth(w), members(w), identity.identity_xwalk_with_variants),
     "banned_phrases": lambda w: screened(w).select("conv_id", "turn", "banned", "passed"),
     "phrase_counts": lambda w: screening.phrase_counts(w.table("answers"), PHRASES),
     "pass_rates": lambda w: screening.pass_rates(screened(w), "role"),

@@ -49,6 +49,10 @@ def frames(spark, both):
     )
 
 
+def similar(a, b):
+    return similarity_of(pd.Series([f"{a['fn']} {a['ln']}"]), pd.Series([f"{b['fn']} {b['ln']}"]))[0]
+
+
 def as_set(df):
     return {
         (r.patient_id, r.member_id, r.match_method, round(r.match_confidence, 9)) for r in df.collect()
@@ -171,7 +175,7 @@ def test_birth_date_variants_link_only_the_free(spark, both):
         [r for r in m if r["id"] not in held],
         lambda a, b: b["dob"] in variants(a["dob"])
         and agree(a["gender"], b["gender"])
-        and (a["ln"] == b["ln"] or agree(a["zip"], b["zip"])),
+        and (a["ln"] == b["ln"] or agree(a["zip"], b["zip"]) or (a["fn"] == b["fn"] and similar(a, b) >= 0.98)),
         0.96,
         "fuzzy_dob",
     )
@@ -275,3 +279,22 @@ def test_hot_block_against_all_pairs(spark, monkeypatch):
     dicts = [[{"id": r[0], "fn": r[1], "ln": r[2]} for r in rows] for rows in sides]
     want = {(p, m, round(c, 9)) for p, m, _, c in best_by_hand(*dicts, lambda a, b: True, 0.92, "fuzzy")}
     assert got == want and len(want) > 100
+
+
+def test_lone_variants_need_more_and_scopes_stay_apart(spark):
+    born, other = date(1980, 3, 4), date(1980, 4, 3)
+    schema = "{} string, first_name string, last_name string, dob date, gender string, zip string"
+    members = spark.createDataFrame(
+        [("M1", "Bartholomew", "Featherstonehaugh", other, "M", "1"), ("M2", "Ann", "Lee", other, "F", "1")], schema.format("member_id")
+    )
+    patients = [
+        ("P1", "Bartholomew", "Featherstonehaugh-y", born, "M", "9"),  # surname and zip differ, very similar
+        ("P2", "Ann", "Leigh", born, "F", "9"),  # surname and zip differ, similar
+        ("P3", "Ann", "Lee", born, "F", "9"),  # the surname corroborates
+    ]
+    frame = spark.createDataFrame(patients, schema.format("patient_id"))
+    got = {(r.patient_id, r.member_id) for r in identity.identity_xwalk_with_variants(frame, members).collect()}
+    assert got == {("P1", "M1"), ("P3", "M2")}
+    runs = frame.withColumn("run", F.explode(F.array(F.lit("a"), F.lit("b")))).filter("run = 'a' OR patient_id <> 'P3'")
+    scoped = identity.identity_xwalk_with_variants(runs, members, scope=["run"]).collect()
+    assert {(r["run"], r.patient_id, r.member_id) for r in scoped} == {("a", "P1", "M1"), ("a", "P3", "M2"), ("b", "P1", "M1")}
