@@ -210,6 +210,11 @@ def names_entity(col: str) -> str:
     return "(" + " OR ".join(f"contains({col}, '{e}')" for e in c.DOCUMENT_ENTITIES) + ")"
 
 
+PARTED = f"""(SELECT doc_id, blocks,
+                     list_filter(blocks, lambda b: NOT (b[1] IN ('A', 'E', 'I', 'O', 'U') AND {names_entity('b')})) AS kept
+              FROM (SELECT doc_id, string_split(regexp_replace(text, '\\n([AEIOU])', chr(1) || '\\1', 'g'), chr(1)) AS blocks
+                    FROM documents))"""
+
 BODIES: dict[str, str] = {f"table_{t}": f"FROM {t}" for t in c.TABLES}
 
 # --- functions -----------------------------------------------------------------------
@@ -535,7 +540,9 @@ BODIES |= {
         UNION ALL SELECT 'members', (SELECT sum(members_total) FROM ms), (SELECT count(*) FROM members)
         UNION ALL SELECT 'owned_facilities', (SELECT sum(owned_facilities) FROM ms),
           (SELECT count(*) FROM fm WHERE ownership = 'owned')
-        UNION ALL SELECT 'providers', (SELECT sum(providers_based) FROM fm), (SELECT count(*) FROM providers))""",
+        UNION ALL SELECT 'providers', (SELECT sum(providers_based) FROM fm), (SELECT count(*) FROM providers)
+        UNION ALL SELECT 'flows_allowed_musd', (SELECT round(sum(allowed_musd), 1) FROM mf),
+          (SELECT round(sum(allowed_amount)::DOUBLE / 1e6, 1) FROM year_claims))""",
     "mart_grain": """SELECT 'facility_metrics' AS mart, count(*) AS n_rows, count(DISTINCT facility_id) AS distinct_keys,
           count_if(facility_id IS NULL) AS null_keys, n_rows = distinct_keys AS "unique" FROM fm
         UNION ALL SELECT 'market_summary', count(*) AS n, count(DISTINCT city) AS d, count_if(city IS NULL), n = d FROM ms
@@ -567,11 +574,16 @@ BODIES |= {
           FROM fm WHERE ownership = 'owned' AND facility_type = 'hospital')""",
     "conclusion_bands": f"""SELECT "check", round(v, 6) AS value, lo::DOUBLE AS lo, hi::DOUBLE AS hi,
         coalesce(round(v, 6) >= lo AND round(v, 6) <= hi, false) AS ok FROM (
-        SELECT 'bed_occupancy_mean' AS "check", (SELECT avg(bed_occupancy_pct) FROM fm)::DOUBLE AS v, 54 AS lo, 55 AS hi
-        UNION ALL SELECT 'owned_clinics', (SELECT count(*) FROM fm WHERE ownership = 'owned' AND facility_type = 'clinic'), 10, 500
-        UNION ALL SELECT 'owned_share_min', (SELECT min(pct_allowed_owned) FROM ms), 0, 100
-        UNION ALL SELECT 'farthest_market_miles', (SELECT max(median_miles_to_acute) FROM ms), 100, 2000
-        UNION ALL SELECT 'corridor_recapture', (SELECT sum(recapture_plan_paid_musd) FROM ms WHERE city IN {CORRIDOR}), 0, 1000)""",
+        SELECT 'bed_occupancy_mean' AS "check", (SELECT avg(bed_occupancy_pct) FROM fm)::DOUBLE AS v, 53 AS lo, 54 AS hi
+        UNION ALL SELECT 'owned_clinic_share_pct',
+          (SELECT 100 * count_if(ownership = 'owned' AND facility_type = 'clinic') / count(*) FROM fm), 16, 20.5
+        UNION ALL SELECT 'no_show_mean', (SELECT avg(pct_no_show) FROM fm), 19.5, 20.5
+        UNION ALL SELECT 'owned_share_mean', (SELECT avg(pct_allowed_owned) FROM ms), 33, 38
+        UNION ALL SELECT 'owned_share_spread_pp', (SELECT max(pct_allowed_owned) - min(pct_allowed_owned) FROM ms), 0, 12
+        UNION ALL SELECT 'farthest_market_miles', (SELECT max(median_miles_to_acute) FROM ms), 650, 870
+        UNION ALL SELECT 'recaptured_share', (SELECT sum(recapture_plan_paid_musd) / sum(nonowned_acute_plan_paid_musd) FROM ms), 0.345, 0.37
+        UNION ALL SELECT 'corridor_recapture_pct', (SELECT 100 * sum(recapture_plan_paid_musd) FILTER (city IN {CORRIDOR})
+          / sum(recapture_plan_paid_musd) FROM ms), 5, 15)""",
     "landed_since": """SELECT service_line, count(*) AS claims, min(service_date) AS oldest_service FROM claims
         WHERE processed_date >= DATE '2001-05-01' OR processed_date IS NULL GROUP BY service_line""",
     "restated_months": """SELECT m AS service_month, count(k) AS claims, round(coalesce(sum(paid), 0), 2)::DOUBLE AS amount
@@ -619,15 +631,22 @@ BODIES |= {
         round(count(*) / (SELECT count(*) FROM conversations), 4) AS rate FROM {PICKED}
         WHERE recommendation IS NOT NULL GROUP BY recommendation ORDER BY votes DESC, recommendation LIMIT 1""",
     "destained_documents": f"""SELECT doc_id, len(blocks)::BIGINT AS n_blocks, (len(blocks) - len(kept))::BIGINT AS removed_blocks,
-        length(coalesce(array_to_string(kept, chr(10)), ''))::BIGINT AS kept_chars,
+        md5(coalesce(array_to_string(kept, chr(10)), '')) AS cleaned_md5,
         len(list_filter(string_split(coalesce(array_to_string(kept, chr(10)), ''), chr(10)),
             lambda l: {names_entity('l')}))::BIGINT AS residual_lines
-        FROM (SELECT doc_id, blocks,
-                     list_filter(blocks, lambda b: NOT (b[1] IN ('A', 'E', 'I', 'O', 'U') AND {names_entity('b')})) AS kept
-              FROM (SELECT doc_id, string_split(regexp_replace(text, '\\n([AEIOU])', chr(1) || '\\1', 'g'), chr(1)) AS blocks
-                    FROM documents))""",
+        FROM {PARTED}""",
 }
 
+BODIES["residual_mentions"] = f"""
+    SELECT doc_id, 'removed_block' AS kind, i AS position, trim(string_split(blocks[i], chr(10))[1]) AS text
+    FROM (SELECT doc_id, blocks, unnest(range(1, len(blocks) + 1)) AS i FROM {PARTED})
+    WHERE blocks[i][1] IN ('A', 'E', 'I', 'O', 'U') AND {names_entity('blocks[i]')}
+    UNION ALL
+    SELECT doc_id, 'residual_line', i, trim(lines[i])
+    FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM (
+          SELECT doc_id, string_split(coalesce(array_to_string(kept, chr(10)), ''), chr(10)) AS lines FROM {PARTED}))
+    WHERE {names_entity('lines[i]')}"""
+
 LOCAL = {
     # extra expressions of single queries, after the shared ones
     "crosswalk_with_date_variants": f"claimed AS MATERIALIZED (FROM {links('patients')}), "

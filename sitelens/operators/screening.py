@@ -82,6 +82,10 @@ def consensus(classified: DataFrame, column: str = "recommendation") -> DataFram
     )
 
 
+def _names(entities: Sequence[str], part: Column) -> Column:
+    return F.exists(_texts(entities), lambda e: F.contains(part, e))
+
+
 def without_named_blocks(
     documents: DataFrame,
     entities: Sequence[str],
@@ -94,16 +98,35 @@ def without_named_blocks(
     ``boundary`` splits a text into blocks, ``heading`` is the pattern a block must
     start with to be removable.  Lines that still name an entity are counted.
     """
-
-    def names(part: Column) -> Column:
-        return F.exists(_texts(entities), lambda e: F.contains(part, e))
-
-    blocks = text_blocks(F.col(text), boundary)
-    removable = lambda b: F.regexp_like(b, F.lit(f"^(?:{heading})")) & names(b)
-    split = documents.withColumn("_blocks", blocks)
+    removable = lambda b: F.regexp_like(b, F.lit(f"^(?:{heading})")) & _names(entities, b)
+    split = documents.withColumn("_blocks", text_blocks(F.col(text), boundary))
     kept = split.withColumn("cleaned", F.array_join(F.filter("_blocks", lambda b: ~removable(b)), "\n"))
     return kept.withColumn("n_blocks", F.size("_blocks").cast("long")).withColumn(
         "removed_blocks", F.size(F.filter("_blocks", removable)).cast("long")
     ).withColumn(
-        "residual_lines", F.size(F.filter(F.split("cleaned", "\n"), names)).cast("long")
+        "residual_lines", F.size(F.filter(F.split("cleaned", "\n"), lambda x: _names(entities, x))).cast("long")
     ).drop("_blocks")
+
+
+def residual_mentions(
+    documents: DataFrame,
+    entities: Sequence[str],
+    boundary: str,
+    heading: str,
+    text: str = "text",
+) -> DataFrame:
+    """(doc_id, kind, position, text): what was removed, and what still names an entity, in full.
+
+    ``removed_block`` rows hold the first line of a removed block and the block's number;
+    ``residual_line`` rows a line of the cleaned text that names an entity, and its number.  Both
+    count from 1.  A document whose text is null has neither.
+    """
+    removable = F.regexp_like("part", F.lit(f"^(?:{heading})")) & _names(entities, F.col("part"))
+    blocks = documents.select("doc_id", F.posexplode(text_blocks(F.col(text), boundary)).alias("at", "part")).filter(removable)
+    cleaned = without_named_blocks(documents.select("doc_id", text), entities, boundary, heading, text)
+    lines = cleaned.select("doc_id", F.posexplode(F.split("cleaned", "\n")).alias("at", "part")).filter(_names(entities, F.col("part")))
+
+    def rows(df: DataFrame, kind: str, shown: Column) -> DataFrame:
+        return df.select("doc_id", F.lit(kind).alias("kind"), (F.col("at") + 1).cast("long").alias("position"), F.trim(shown).alias("text"))
+
+    return rows(blocks, "removed_block", F.split("part", "\n")[0]).unionByName(rows(lines, "residual_line", F.col("part")))

@@ -362,24 +362,28 @@ def path_tables(w: Workspace) -> dict[str, DataFrame]:
     return {n: w.table(n) for n in names} | {"identity_xwalk": w.identity_xwalk}
 
 
-def conclusion_bands(w: Workspace) -> list[quality.Band]:
-    w.settle("facility_metrics", "market_summary")
+def bands_of(metrics: DataFrame, summary: DataFrame) -> list[quality.Band]:
+    """Published conclusions about the stand-in, each within a band that a wrong mart leaves."""
     own_clinic = (F.col("ownership") == "owned") & (F.col("facility_type") == "clinic")
+    owned, recapture = F.col("pct_allowed_owned"), F.sum("recapture_plan_paid_musd")
+    here = F.sum(F.when(F.col("city").isin(*CORRIDOR), F.col("recapture_plan_paid_musd")))
     return [
-        quality.Band("bed_occupancy_mean", w.facility_metrics, F.avg("bed_occupancy_pct"), 54.0, 55.0),
-        quality.Band("owned_clinics", w.facility_metrics, F.count_if(own_clinic), 10, 500),
-        quality.Band("owned_share_min", w.market_summary, F.min("pct_allowed_owned"), 0, 100),
-        quality.Band("farthest_market_miles", w.market_summary, F.max("median_miles_to_acute"), 100, 2000),
-        quality.Band(
-            "corridor_recapture",
-            w.market_summary.filter(F.col("city").isin(*CORRIDOR)),
-            F.sum("recapture_plan_paid_musd"),
-            0,
-            1000,
-        ),
+        quality.Band("bed_occupancy_mean", metrics, F.avg("bed_occupancy_pct"), 53.0, 54.0),
+        quality.Band("owned_clinic_share_pct", metrics, 100.0 * F.count_if(own_clinic) / F.count("*"), 16.0, 20.5),
+        quality.Band("no_show_mean", metrics, F.avg("pct_no_show"), 19.5, 20.5),
+        quality.Band("owned_share_mean", summary, F.avg(owned), 33.0, 38.0),
+        quality.Band("owned_share_spread_pp", summary, F.max(owned) - F.min(owned), 0.0, 12.0),
+        quality.Band("farthest_market_miles", summary, F.max("median_miles_to_acute"), 650.0, 870.0),
+        quality.Band("recaptured_share", summary, recapture / F.sum("nonowned_acute_plan_paid_musd"), 0.345, 0.37),
+        quality.Band("corridor_recapture_pct", summary, 100.0 * here / recapture, 5.0, 15.0),
     ]
 
 
+def conclusion_bands(w: Workspace) -> list[quality.Band]:
+    w.settle("facility_metrics", "market_summary")
+    return bands_of(w.facility_metrics, w.market_summary)
+
+
 def reconciliation(w: Workspace) -> DataFrame:
     w.settle("facility_metrics", "market_summary")
     done = F.count_if(F.col("status") == "completed")
@@ -398,6 +402,13 @@ def reconciliation(w: Workspace) -> DataFrame:
                 F.count_if(F.col("ownership") == "owned"),
             ),
             ("providers", w.facility_metrics, F.sum("providers_based"), w.table("ops_providers"), F.count("*")),
+            (
+                "flows_allowed_musd",
+                w.market_flows,
+                F.round(F.sum("allowed_musd"), 1),
+                raw_claims.join(members(w).select("member_id"), "member_id").join(w.small("ops_facilities").select("facility_id"), "facility_id"),
+                F.round(F.sum("allowed_amount").cast("double") / 1e6, 1),
+            ),
         ],
         tolerance=0.01,
     )
@@ -536,6 +547,9 @@ QUERIES |= {
     "answer_classes": lambda w: classified(w).select("conv_id", "turn", "recommendation", *MARKERS),
     "answer_consensus": lambda w: screening.consensus(classified(w)),
     "destained_documents": lambda w: destained(w).select(
-        "doc_id", "n_blocks", "removed_blocks", F.length("cleaned").cast("long").alias("kept_chars"), "residual_lines"
+        "doc_id", "n_blocks", "removed_blocks", F.md5("cleaned").alias("cleaned_md5"), "residual_lines"
+    ),
+    "residual_mentions": lambda w: screening.residual_mentions(
+        w.table("documents"), DOCUMENT_ENTITIES, r"\n(?=[AEIOU])", "[AEIOU]"
     ),
 }

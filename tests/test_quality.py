@@ -127,3 +127,36 @@ def test_destaining_removes_headed_blocks_only(spark):
 def test_screen_ignores_case(spark, phrase, passed):
     df = spark.createDataFrame([(f"a {phrase} b",)], "text string")
     assert screening.banned_phrases(df, ["bad THING"]).first().passed is passed
+
+
+def test_bands_fail_when_a_mart_is_wrong(spark, small):
+    from sitelens.plans.catalog import bands_of
+
+    small.settle("facility_metrics", "market_summary")
+    metrics, summary = small.facility_metrics, small.market_summary
+
+    def outside(m, s):
+        return {r.check for r in quality.band_checks(bands_of(m, s)).filter("NOT ok").collect()}
+
+    known = outside(metrics, summary)  # the smallest stand-in has ten sites: markets differ more than they should
+    assert known == {"owned_share_spread_pp"}
+    shifted = metrics.withColumn("bed_occupancy_pct", F.col("bed_occupancy_pct") + 2).withColumn("pct_no_show", F.col("pct_no_show") * 1.1)
+    assert outside(shifted, summary) - known == {"bed_occupancy_mean", "no_show_mean"}
+    relabelled = metrics.withColumn("ownership", F.lit("owned"))
+    assert outside(relabelled, summary) - known == {"owned_clinic_share_pct"}
+    wrong = summary.withColumn("pct_allowed_owned", F.lit(50.0)).withColumn("median_miles_to_acute", F.col("median_miles_to_acute") * 1.6)
+    wrong = wrong.withColumn("recapture_plan_paid_musd", F.when(F.col("city") == "NATION_3", 3.0).otherwise(F.col("recapture_plan_paid_musd")))
+    assert outside(metrics, wrong) == {"owned_share_mean", "farthest_market_miles", "recaptured_share", "corridor_recapture_pct"}
+
+
+def test_residual_mentions_in_full(spark):
+    from sitelens.operators import screening
+
+    text = "Intro names Rome\nA. Rome is first\nmore of it\nB. nothing\n  Paris stays \nA. fine"
+    docs = spark.createDataFrame([(1, text), (2, None), (3, "")], "doc_id int, text string")
+    rows = screening.residual_mentions(docs, ["Rome", "Paris"], r"\n(?=[A-Z]\. )", "[A-Z]\\. ").collect()
+    assert sorted(map(tuple, rows)) == [
+        (1, "removed_block", 2, "A. Rome is first"),
+        (1, "removed_block", 3, "B. nothing"),
+        (1, "residual_line", 1, "Intro names Rome"),
+    ]
