@@ -7,6 +7,7 @@ combine map-side, so a facility holding a third of a source costs no more than o
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 from functools import reduce
 
@@ -128,6 +129,14 @@ COUNTS = [
 ]
 
 
+def site_volumes(streams: Sequence[DataFrame]) -> DataFrame:
+    """Streams of one row per facility side by side, in one exchange; only these are read."""
+    # max only lifts the value over the NULLs
+    measures = [c for s in streams for c in s.columns if c != "facility_id"]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), streams)
+    return per_facility(stacked, *[f"max({c}) AS {c}" for c in measures])
+
+
 def facility_metrics(
     facilities: DataFrame,
     providers: DataFrame,
@@ -140,6 +149,7 @@ def facility_metrics(
     span: Span,
     as_of: date,
 ) -> DataFrame:
+    """One row per facility, 39 columns; a reader of a few of them wants ``site_volumes``."""
     streams = [
         staffing(providers),
         panel(providers, members, as_of),
@@ -149,10 +159,7 @@ def facility_metrics(
         bed_use(bed_census, span),
         delivered_claims(claims, span),
     ]
-    # one row per facility and stream: max only lifts the value over the NULLs
-    measures = [c for s in streams for c in s.columns if c != "facility_id"]
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), streams)
-    summed = per_facility(stacked, *[f"max({c}) AS {c}" for c in measures])
+    summed = site_volumes(streams)
 
     def count_of(name: str) -> str:
         return f"coalesce({name}, 0) AS {name}"

@@ -30,20 +30,19 @@ def is_acute(line: Column) -> Column:
     return line.isin(ACUTE_LINES)
 
 
-def claim_rollup(claims: DataFrame, span: Span | None, keys: Sequence[str] = LINE_KEYS) -> DataFrame:
+def claim_amounts(claims: DataFrame, span: Span | None, keys: Sequence[str] = LINE_KEYS) -> DataFrame:
+    """Claims reduced to their keys and the amounts that add up."""
     if span:
         claims = claims.filter(in_span(F.col("service_date"), span))
     paid_share = "try_divide(cast(plan_paid AS double), cast(allowed_amount AS double))"
-    sums = {
-        "claims": "count(*)",
-        "allowed": "sum(allowed_amount)",
-        "paid": "sum(plan_paid)",
-        "ratio_sum": f"sum({paid_share})",
-        "ratio_rows": f"count({paid_share})",
+    amounts = {
+        "claims": "1L",
+        "allowed": "allowed_amount",
+        "paid": "plan_paid",
+        "ratio_sum": paid_share,
+        "ratio_rows": f"if({paid_share} IS NULL, 0L, 1L)",
     }
-    return claims.groupBy("member_id", "facility_id", *keys).agg(
-        *[F.expr(f"{sums[name]} AS {name}") for name in ADDITIVE]
-    )
+    return claims.select("member_id", "facility_id", *keys, *[F.expr(f"{amounts[name]} AS {name}") for name in ADDITIVE])
 
 
 def located_claims(
@@ -53,10 +52,12 @@ def located_claims(
     span: Span | None,
     keys: Sequence[str] = LINE_KEYS,
 ) -> DataFrame:
-    """The rollup with both ends placed; unmatched keys stay, flagged by NULL.
+    """Claims with both ends placed; unmatched keys stay, flagged by NULL.
 
     They stay because the paid share of owned care is defined on all claims, while
-    market figures use only claims whose member and facility are known.
+    market figures use only claims whose member and facility are known.  The join with the
+    members is the one exchange of claim size; it lies directly over the scans, so that a hot
+    member is split by the adaptive skew join, and every aggregate above it combines map-side.
     """
     home = members.selectExpr(
         "member_id",
@@ -77,7 +78,7 @@ def located_claims(
     )
     miles = distance_miles(F.col("home_lat"), F.col("home_lon"), F.col("site_lat"), F.col("site_lon"))
     return (
-        claim_rollup(claims, span, keys)
+        claim_amounts(claims, span, keys)
         .join(home, "member_id", "left")
         .join(site, "facility_id", "left")
         .select(

@@ -230,7 +230,7 @@ QUERIES |= {
         {c: F.col(c).cast("double") for c in ("allowed_amount", "plan_paid")}
     ),
     "market_members": lambda w: market.member_counts(members(w), w.as_of),
-    "market_footprint": lambda w: market.footprint(w.facility_metrics),
+    "market_footprint": lambda w: market.footprint(w.site_capacity),
     "owned_paid_ratio": lambda w: rounded(
         market.owned_ratios(market.care_ledger(w.located_year)), 6, "owned_ratio"
     ),

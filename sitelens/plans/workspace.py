@@ -55,6 +55,19 @@ class Workspace:
             self.as_of,
         )
 
+    @cached_property
+    def site_capacity(self) -> DataFrame:
+        """Facilities with the two volumes that the market footprint sums up; other sources are not read."""
+        if "facility_metrics" in self.published:
+            return self.published["facility_metrics"]
+        volumes = facility.site_volumes(
+            [
+                facility.staffing(self.table("ops_providers")),
+                facility.appointment_volume(self.windowed("ops_appointments"), self.span),
+            ]
+        )
+        return self.table("ops_facilities").join(volumes, "facility_id", "left").fillna(0, ["providers_based", "appts_completed"])
+
     @cached_property
     def located_year(self) -> DataFrame:
         """Windowed claims per member, site and line with both ends placed."""
@@ -65,7 +78,7 @@ class Workspace:
     @cached_property
     def market_summary(self) -> DataFrame:
         return self.published.get("market_summary") or market.market_summary(
-            self.facility_metrics,
+            self.site_capacity,
             self.small("ops_facilities"),
             self.table("payer_members"),
             self.windowed("payer_claims"),

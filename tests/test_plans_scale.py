@@ -2,6 +2,8 @@
 
 import re
 
+from paths import SMALL
+
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
@@ -27,5 +29,26 @@ def test_window_filter_reaches_the_scan(small):
 def test_unused_sources_are_not_read_for_the_footprint(spark, small):
     from sitelens.operators import market
 
-    plan = plan_of(market.footprint(small.facility_metrics))
-    assert plan.count("lineitem.parquet") <= plan.count("events.parquet") + 2
+    plan = plan_of(market.footprint(small.site_capacity))
+    assert "events.parquet" in plan and "part.parquet" in plan
+    assert "lineitem.parquet" not in plan and "orders.parquet" not in plan
+
+
+def test_claims_are_shuffled_once(spark, tmp_path):
+    """Between the scan of claims and the market sums lies one exchange of claim grain, the member join's."""
+    from sitelens.operators import market
+    from sitelens.plans.workspace import Workspace
+    from sitelens.sources.extract import extract_network
+    from sitelens.sources.stand_in import AS_OF, SPAN, StandIn
+
+    _, snap = extract_network(StandIn(spark, SMALL), ["payer_claims", "payer_members", "ops_facilities"], str(tmp_path / "raw"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # members of any size
+    try:
+        plan = plan_of(market.care_ledger(Workspace(snap, SPAN, AS_OF).located_year))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    exchanges = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)
+    by_member = [e for e in exchanges if re.fullmatch(r"member_id#\d+L?", e)]
+    assert len(by_member) == 2 and len(exchanges) == 3  # claims and members, then sums by market
+    assert "partial_sum" in plan.split("Exchange hashpartitioning(member_id")[0]
