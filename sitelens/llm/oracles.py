@@ -101,6 +101,20 @@ reach AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT reach.doc_id, v FRO
 SELECT doc_id, min(other) AS class_id, min(other) = doc_id AS kept FROM reach GROUP BY doc_id
 """
 
+OP8 = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+sound AS (SELECT * FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+ok AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS size FROM sound WHERE list_dot_product(e, e) > 0),
+links AS (
+    SELECT a.vec_id AS u, b.vec_id AS v FROM ok a JOIN ok b ON a.vec_id != b.vec_id AND len(a.e) = len(b.e)
+    WHERE list_dot_product(a.e, b.e) / (a.size * b.size) >= 0.95
+),
+reach AS (SELECT vec_id, vec_id AS other FROM v UNION SELECT reach.vec_id, links.v FROM reach JOIN links ON other = u),
+n AS (SELECT u AS vec_id, count(*) AS n FROM links GROUP BY u)
+SELECT vec_id, coalesce(any_value(n.n), 0) AS n_links, min(other) AS component_id, min(other) = vec_id AS kept
+FROM reach LEFT JOIN n USING (vec_id) GROUP BY vec_id
+"""
+
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PLAIN = rf"regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -168,6 +182,7 @@ SQL: dict[str, str] = {
     "op3_suffix_dedup": OP3,
     "op5_recompression": OP5,
     "op6_bagminhash": OP6,
+    "op8_pca_tiles": OP8,
     "op11_winnowing": OP11,
     "op12_collocations": OP12,
 }
