@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
-from datetime import date
+from collections.abc import Iterable, Mapping, Sequence
+from datetime import date, timedelta
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sitelens.operators.quality import PROFILE, named, profile_metrics, profile_rows
 from sitelens.sources.files import exists
@@ -65,19 +67,74 @@ def in_event_order(df: DataFrame, event_column: str) -> DataFrame:
     return df.repartitionByRange(F.col(event_column), spread).sortWithinPartitions(event_column)
 
 
-def extract(df: DataFrame, path: str, event_column: str | None = None, profile_to: str | None = None) -> int | None:
+def split_points(low: date, high: date, splits: int) -> list[date]:
+    """First days of the splits after the first, of about equal length, over [low, high]."""
+    days = (high - low).days + 1
+    steps = {low + timedelta(days=days * i // splits) for i in range(1, splits)}
+    return sorted(steps - {low})
+
+
+def _split_of(event_column: str, points: Sequence[date]) -> Column:
+    """Number of the split of a row: how many points its day has reached; rows without a day are in the first."""
+    day = F.to_date(event_column)
+    return reduce(lambda a, p: a + F.when(day >= F.lit(p), 1).otherwise(0), points, F.lit(0))
+
+
+def in_splits(df: DataFrame, event_column: str, points: Sequence[date], spread: int = 1) -> DataFrame:
+    """Files in event order by known split points: the source is read once, without a sampling pass.
+
+    Every split is dealt to ``spread`` tasks by row hash, so that a split with very many rows is
+    several files.
+    """
+    task = _split_of(event_column, points) * spread + F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread))
+    return df.repartitionById((len(points) + 1) * spread, task.cast("int")).sortWithinPartitions(event_column)
+
+
+def extract_in_splits(df: DataFrame, path: str, event_column: str, points: Sequence[date]) -> list[int | None]:
+    """Extract split by split; one that was finished before is skipped (None), so a killed run goes on.
+
+    A split is a query of its own with a range on ``event_column``, for sources that answer ranges
+    (a database, files in event order).  ``open_splits`` reads the table, once all are there.
+    """
+    day, edges = F.to_date(event_column), [None, *points, None]
+    written = []
+    for i, (low, high) in enumerate(zip(edges, edges[1:])):
+        inside = (day.isNull() | (day < F.lit(high)) if high else F.lit(True)) if low is None else day >= F.lit(low)
+        if low is not None and high is not None:
+            inside = inside & (day < F.lit(high))
+        written.append(extract(df.filter(inside).sortWithinPartitions(event_column), f"{path}/split-{i:05d}"))
+    return written
+
+
+def open_splits(spark: SparkSession, path: str, schema: StructType, splits: int) -> DataFrame:
+    """The table of a finished ``extract_in_splits``; refuses one with splits that are still open."""
+    folders = [f"{path}/split-{i:05d}" for i in range(splits)]
+    open_ones = [f for f in folders if not exists(spark, f)]
+    if open_ones:
+        raise FileNotFoundError(f"not extracted yet: {', '.join(open_ones)}")
+    return spark.read.schema(schema).parquet(*folders)
+
+
+def extract(
+    df: DataFrame,
+    path: str,
+    event_column: str | None = None,
+    profile_to: str | None = None,
+    points: Sequence[date] | None = None,
+) -> int | None:
     """Write ``df`` once as zstd parquet; an existing extract is kept.
 
     Returns the rows written, counted during the write, or None when skipped.  The
     commit protocol shows readers all files or none; what a failed write left is replaced.
-    With ``profile_to`` the table's profile, observed during the same write, is kept there.
+    Files are in order of ``event_column``; with ``points`` (``split_points`` of known bounds) the
+    source is not sampled for that.  With ``profile_to`` the table's profile, observed during the same write, is kept there.
     """
     spark, name = df.sparkSession, path.rstrip("/").rsplit("/", 1)[-1].removesuffix(".parquet")
     if exists(spark, path) and (profile_to is None or exists(spark, profile_to)):
         return None
     schema = df.schema
     if event_column:
-        df = in_event_order(df, event_column)
+        df = in_event_order(df, event_column) if points is None else in_splits(df, event_column, points)
     # above the range exchange, whose sampling pass would count the rows a second time
     seen = Observation()
     metrics = profile_metrics(schema) if profile_to else {"_rows": F.count(F.lit(1))}

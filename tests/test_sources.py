@@ -301,3 +301,33 @@ def test_stream_of_restatements(spark, tmp_path):
     landing.stream_restatements(*args).awaitTermination()
     assert published(spark, root) == [(1, "2024-01-01", 1.0), (2, "2024-04-01", 5.0)]
     assert landing.read_manifest(spark, root).batches == {mark: 1}
+
+
+def test_known_split_points_read_the_source_once(spark, tmp_path):
+    claims = StandIn(spark, SMALL).table("payer_claims")
+    low, high = claims.agg(F.min("service_date"), F.max("service_date")).first()
+    points = extract.split_points(low, high, 5)
+    assert len(points) == 4 and low < points[0] and points[-1] < high
+    ordered = extract.in_splits(claims, "service_date", points, spread=2)
+    assert "rangepartitioning" not in plan_of(ordered)
+    assert extract.extract(claims, str(tmp_path / "claims"), "service_date", points=points) == 6000
+    got = spark.read.parquet(str(tmp_path / "claims")).withColumn("_file", F.input_file_name())
+    spans = sorted((r.a, r.b) for r in got.groupBy("_file").agg(F.min("service_date").alias("a"), F.max("service_date").alias("b")).collect())
+    assert len(spans) == 5 and all(b < c for (_, b), (c, _) in zip(spans, spans[1:]))
+    assert extract.split_points(low, low, 3) == []
+
+
+def test_killed_extract_resumes_with_the_open_splits(spark, tmp_path):
+    rows = [(i, i, date(2024, 1, 1) + timedelta(days=i) if i % 7 else None, None, 1.0) for i in range(100)]
+    df = spark.createDataFrame(rows, CLAIM)
+    points = extract.split_points(date(2024, 1, 1), date(2024, 4, 9), 3)
+    root = str(tmp_path / "claims")
+    failing = df.withColumn("member_id", F.when(F.col("service_date") >= F.lit(points[1]), F.raise_error("lost").cast("int")).otherwise(F.col("member_id")))
+    with pytest.raises(Exception, match="lost"):
+        extract.extract_in_splits(failing, root, "service_date", points)
+    with pytest.raises(FileNotFoundError):
+        extract.open_splits(spark, root, df.schema, 3)
+    again = extract.extract_in_splits(df, root, "service_date", points)
+    assert again[:2] == [None, None] and again[2] > 0  # finished splits are not read again
+    whole = extract.open_splits(spark, root, df.schema, 3)
+    assert sorted(map(str, whole.collect())) == sorted(map(str, df.collect()))
