@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from sitelens.functions.scale import shared_dir
 from sitelens.llm.packing import END_ID, pieces
 from sitelens.llm.text import U64, mix
+from sitelens.sources.files import qualified
 
 SEQUENCE, SHARD, KEY, FEISTEL_ROUNDS = 512, 16_384, 20_240_601, 4
 
@@ -50,8 +51,8 @@ def write_shards(
 
     Documents are tokenised once, each cut into sequences of at most ``size`` ids (a null text
     is the end id alone), and staged.  Sequences are numbered 0 .. N-1 by file part and row; the
-    permutation gives each a slot, and slots are cut into shards of ``per_shard``.  One task
-    writes a shard in slot order: records of ``size`` ids, 16 bits each, short ones padded with
+    permutation gives each a slot, and slots are cut into ranges of ``per_shard``, the shards.
+    Partition i of the one exchange is range i, whole, and its task writes the shard in slot order: records of ``size`` ids, 16 bits each, short ones padded with
     the end id.  A task writes under a name of its own and renames at the end, so a repeated
     task replaces a shard by the same bytes, and readers never see half a shard.  Every record
     is at ``(slot % per_shard) * size * 2`` of its shard: reading on from any slot is a seek.
@@ -59,6 +60,7 @@ def write_shards(
     own; an empty table writes only the manifest.
     """
     spark = docs.sparkSession
+    folder = qualified(spark, folder)
     end = np.array([END_ID], "<u2").tobytes()
 
     def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,10 +81,10 @@ def write_shards(
     staged = spark.read.parquet(staged_at)
     # one row per written part
     parts = staged.groupBy("_part").agg(F.count("*").alias("_n")).orderBy("_part").collect()
-    first, total = [], 0
-    for r in parts:
-        first.append((r["_part"], total))
-        total += r["_n"]
+    part_ids = np.array([r["_part"] for r in parts], np.int64)
+    ends = np.cumsum([r["_n"] for r in parts], dtype=np.int64)
+    total = int(ends[-1]) if parts else 0
+    before = np.concatenate([[0], ends[:-1]]) if parts else ends
     filesystem, root = _open(folder)
     filesystem.create_dir(root)
     with filesystem.open_output_stream(f"{root}/manifest.json") as out:
@@ -90,7 +92,8 @@ def write_shards(
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            index = batch.column("_first").to_numpy(zero_copy_only=False) + batch.column("_row").to_numpy(zero_copy_only=False)
+            part, row = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_part", "_row"))
+            index = before[np.searchsorted(part_ids, part)] + row
             slot = permuted(index, total, key)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in names), pa.array(slot), pa.array(slot // per_shard)], [*names, "slot", "shard"]
@@ -120,11 +123,10 @@ def write_shards(
             )
         close()
 
-    starts = spark.createDataFrame(first, "_part long, _first long")
     schema = "doc_id long, start long, length long, ids_crc32 long, ids binary, slot long, shard long"
-    slotted = staged.join(starts, "_part").select(*names, "_row", "_first").mapInArrow(place, schema)
+    slotted = staged.select(*names, "_part", "_row").mapInArrow(place, schema)
     shards = max(1, -(-total // per_shard))
-    done = slotted.repartition(shards, "shard").sortWithinPartitions("slot").mapInArrow(write, ROWS)
+    done = slotted.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("slot").mapInArrow(write, ROWS)
     done_at = f"{shared_dir(spark)}/slots-{uuid.uuid4().hex}"
     done.write.parquet(done_at)
     return spark.read.schema(done.schema).parquet(done_at)
