@@ -74,11 +74,30 @@ def runs(valid: np.ndarray, name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start, np.flatnonzero(last) + 1 - start
 
 
+def joined(row: np.ndarray, start: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First member and windows of the chains of blocks that follow each other in a row.
+
+    A chain is cut so that its windows fit in ``2 * N_BITS`` bits.
+    """
+    if not len(row):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (start[1:] != start[:-1] + n[:-1])
+    chain = np.maximum.accumulate(np.where(new, np.arange(len(row)), 0))
+    reach = (start - start[chain]) >> (2 * N_BITS - 1)
+    new[1:] |= reach[1:] != reach[:-1]
+    first = np.flatnonzero(new)
+    return first, np.add.reduceat(n, first)
+
+
 BLOCK_ROWS = "_key long, place long, anchor long, digest long"
 
 
 def block_rows(docs: DataFrame, method: Method) -> DataFrame:
-    """A row per block; ``place`` packs start, the settled flag, windows and lead."""
+    """A row per block; ``place`` packs start, the settled flag, windows and lead.
+
+    Settled blocks that follow each other in a text are one row, whose windows take the bits of the lead too.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -100,10 +119,16 @@ def block_rows(docs: DataFrame, method: Method) -> DataFrame:
                 later &= k != k[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))]
             done = np.zeros(len(order), bool)
             done[order] = later
-            place = (start << (2 * N_BITS + 1)) | (done.astype(np.int64) << (2 * N_BITS)) | (n << N_BITS) | lead
-            # settled rows only pass through; they are dealt out by their place
-            anchor = np.where(done, digest ^ (start << 7) ^ key, anchor)
-            for at in range(0, len(row), 1 << 17):
+            place = (start << (2 * N_BITS + 1)) | (n << N_BITS) | lead
+            # settled rows only pass through: neighbours as one row, dealt out by their place
+            at, size = joined(row[done], start[done], n[done])
+            own = np.flatnonzero(done)[at]
+            settled_place = (start[own] << (2 * N_BITS + 1)) | (1 << (2 * N_BITS)) | size
+            key, place, anchor, digest = (
+                np.concatenate([x[~done], y])
+                for x, y in ((key, key[own]), (place, settled_place), (anchor, digest[own] ^ (start[own] << 7) ^ key[own]), (digest, digest[own]))
+            )
+            for at in range(0, len(key), 1 << 17):
                 part = slice(at, at + (1 << 17))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x[part]) for x in (key, place, anchor, digest)], ["_key", "place", "anchor", "digest"]
@@ -139,8 +164,9 @@ def located(docs: DataFrame, method: Method) -> DataFrame:
         kind = np.where(settled | repeat, REPEAT, np.where(several, HOT if hot else SEVERAL, 0)).astype(np.int32)
         keep = kind > 0
         mask = (1 << N_BITS) - 1
-        p = place[keep]
-        columns = (key[keep], p >> (2 * N_BITS + 1), ((p >> N_BITS) & mask).astype(np.int32), (p & mask).astype(np.int32), anchor[keep], kind[keep])
+        p, whole = place[keep], settled[keep]
+        n = np.where(whole, p & ((1 << 2 * N_BITS) - 1), (p >> N_BITS) & mask)
+        columns = (key[keep], p >> (2 * N_BITS + 1), n.astype(np.int32), np.where(whole, 0, p & mask).astype(np.int32), anchor[keep], kind[keep])
         return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], [c.split()[0] for c in FOUND.split(", ")]), (
             (digest[-1], first_key[-1]) if len(key) else before
         )
