@@ -26,7 +26,7 @@ KEY = ["fn", "ln", "dob"]
 PROFILE = [*KEY, "gender", "zip"]
 BLOCK = ["dob", "gender", "kind", "token"]
 #: pairs of names in one block beyond which its names meet by signature
-HOT_PAIRS = 4_000_000
+HOT_PAIRS = 50_000_000
 
 
 def profiles(people: DataFrame, person_id: str, scope: Sequence[str], extra: Sequence[str]) -> DataFrame:
@@ -124,7 +124,9 @@ def _meeting_by_signature(wanted: DataFrame, offered: DataFrame, keep: Sequence[
 
     def signed(side: DataFrame, own: bool) -> DataFrame:
         name = _name("fn", "ln")
-        made = side.select("_id", *BLOCK, name.alias("name"), name_signatures(name, threshold, own).alias("_s"))
+        # a name becomes hundreds of rows: dealt out before, as a few names would be one task
+        dealt = side.repartition(int(side.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_id")
+        made = dealt.select("_id", *BLOCK, name.alias("name"), name_signatures(name, threshold, own).alias("_s"))
         return made.select("_id", *BLOCK, "name", F.explode("_s").alias("_s")).select(
             "_id", "name", F.xxhash64(*BLOCK, "_s").alias("sig")
         )
