@@ -298,3 +298,15 @@ def test_lone_variants_need_more_and_scopes_stay_apart(spark):
     runs = frame.withColumn("run", F.explode(F.array(F.lit("a"), F.lit("b")))).filter("run = 'a' OR patient_id <> 'P3'")
     scoped = identity.identity_xwalk_with_variants(runs, members, scope=["run"]).collect()
     assert {(r["run"], r.patient_id, r.member_id) for r in scoped} == {("a", "P1", "M1"), ("a", "P3", "M2"), ("b", "P1", "M1")}
+
+
+def test_variant_recall_without_a_certain_link(spark):
+    """Where every key is shared there is no known truth: no rows, and no error."""
+    day = date(1980, 1, 5)
+    record = "first_name string, last_name string, dob date, gender string, zip string"
+    members = spark.createDataFrame([(1, "Ana", "Cruz", day, "F", "1"), (2, "Ana", "Cruz", day, "F", "2")], f"member_id long, {record}")
+    patients = spark.createDataFrame([("P1", "Ana", "Cruz", day, "F", "1")], f"patient_id string, {record}")
+    truth = measure.known_truth(identity.identity_xwalk(patients, members), patients)
+    found = measure.recall(truth, members, identity.identity_xwalk_with_variants)
+    assert found.columns == ["corruption", "n", "matched", "correct", "recall", "wrong"]
+    assert found.collect() == []
