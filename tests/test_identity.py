@@ -310,3 +310,14 @@ def test_variant_recall_without_a_certain_link(spark):
     found = measure.recall(truth, members, identity.identity_xwalk_with_variants)
     assert found.columns == ["corruption", "n", "matched", "correct", "recall", "wrong"]
     assert found.collect() == []
+
+
+@pytest.mark.parametrize("missing", ["exact", "random_control", None])
+def test_precision_needs_ceiling_and_floor(spark, missing):
+    """Without exact links or random pairs no fuzzy link is measured, as in the SQL; all links are counted."""
+    rows = [("exact", 10, 90.0, 90.0, 90.0), ("fuzzy", 4, 80.0, 80.0, 80.0), ("random_control", 20, 10.0, 10.0, 10.0)]
+    agreed = spark.createDataFrame([r for r in rows if r[0] != missing], "match_method string, n long, address double, city double, pcp double")
+    (row,) = measure.precision(agreed).collect()
+    assert row.links == (4 if missing == "exact" else 14)
+    assert row.fuzzy_links == (0 if missing else 4)
+    assert row.fuzzy_precision_pct == (None if missing else 87.5)
