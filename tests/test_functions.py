@@ -1,5 +1,5 @@
 import random
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import numpy as np
 import pandas as pd
@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sitelens.functions import cover, geo, scale, similarity, temporal, text
+from sitelens.functions.temporal import Span
 from sitelens.operators import people
 
 
@@ -252,3 +253,24 @@ def test_large_polygon_has_small_cells():
     held = np.array([len(own) + len(turns) for *_, own, _, turns in cells])
     assert held.max() <= cover.LEAF_EDGES and held.sum() < 4 * len(ring)
     assert any(level < 6 and not len(own) and not len(turns) for level, _, _, own, base, turns in cells)
+
+
+@pytest.mark.parametrize("span", [Span(date(2000, 6, 10), date(2001, 6, 1)), Span(date(1994, 1, 1), date(2001, 3, 15))])
+def test_member_months_by_bits(spark, span):
+    """One row per member before months are counted, however many rows and months (over 64) there are."""
+    rng = random.Random(3)
+    rows = []
+    for _ in range(400):
+        lo = date(1993, 1, 1) + timedelta(days=rng.randrange(3400))
+        hi = None if rng.random() < 0.2 else lo + timedelta(days=rng.randrange(-40, 900))
+        rows.append((rng.choice([None, *range(60)]), lo, hi))
+    rows.append((None, date(1990, 1, 1), date(1996, 1, 31)))
+    want = {}
+    for member, lo, hi in rows:
+        lo, hi = max(lo, span.lo) if hi is None or hi >= lo else None, min(hi or date(2030, 1, 1), span.hi - timedelta(days=1))
+        for day in range((hi - lo).days + 1 if lo else 0):
+            month = (lo + timedelta(days=day)).replace(day=1)
+            want.setdefault(month, set()).add(member)
+    covered = people.member_months(spark.createDataFrame(rows, "member_id long, effective_date date, end_date date"), span)
+    assert {r.month: r.members_covered for r in covered.collect()} == {m: len(who - {None}) for m, who in want.items()}
+    assert "Generate explode" not in covered._jdf.queryExecution().toString()
