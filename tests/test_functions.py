@@ -274,3 +274,12 @@ def test_member_months_by_bits(spark, span):
     covered = people.member_months(spark.createDataFrame(rows, "member_id long, effective_date date, end_date date"), span)
     assert {r.month: r.members_covered for r in covered.collect()} == {m: len(who - {None}) for m, who in want.items()}
     assert "Generate explode" not in covered._jdf.queryExecution().toString()
+
+
+def test_equal_polygons_are_covered_once_and_cells_fit_the_polygon(spark):
+    square = "POLYGON ((1 1, 2 1, 2 2, 1 2, 1 1))"
+    isochrones = spark.createDataFrame([(k, 15, square) for k in range(40)], "facility_id long, isochrone_minutes long, polygon_wkt string")
+    members = spark.createDataFrame([(1.5, 1.5), (1.5, 1.5), (9.0, 9.0)], "longitude double, latitude double")
+    got = {r.facility_id: r.members_within for r in people.drive_time_access(members, isochrones).collect()}
+    assert got == {k: 2 for k in range(40)}
+    assert all(cover.TOP_DEGREES / 2**level <= 0.5 for level, *_ in cover.cells_of(cover.rings_of(square)))
