@@ -160,3 +160,13 @@ def test_residual_mentions_in_full(spark):
         (1, "removed_block", 3, "B. nothing"),
         (1, "residual_line", 1, "Intro names Rome"),
     ]
+
+
+def test_null_rates_group_no_keys(spark):
+    left = spark.createDataFrame([("1",), ("2",), (None,), (None,)], "k string")
+    right = spark.createDataFrame([("1",)], "k string")
+    paths = [quality.JoinPath("left", "k", "right", "k", 50.0), quality.JoinPath("none", "k", "right", "k")]
+    rates = quality.null_rates(paths, {"left": left, "right": right, "none": left.limit(0)})
+    assert [(r.n_rows, r.n_null, r.null_pct, r.null_rate_ok) for r in rates.orderBy("referencing").collect()] == [(4, 2, 50.0, True), (0, 0, 0.0, True)]
+    assert rates.columns == [c for c in quality.join_path_report(paths, {"left": left, "right": right, "none": left}).columns if c != "orphans"]
+    assert "key#" not in rates._jdf.queryExecution().optimizedPlan().toString()
