@@ -100,10 +100,12 @@ def tokenizer(path: str) -> WordTokenizer:
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
-def pieces(docs: DataFrame, path: str, size: int = SEQUENCE, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, path: str, size: int = SEQUENCE, end_id: int = END_ID, with_ids: str | None = None) -> DataFrame:
     """Each document's ids, then ``end_id``, cut every ``size``; a null text has only ``end_id``.
 
-    ``with_ids`` adds the ids as little-endian unsigned 32-bit integers.
+    ``with_ids`` adds the ids as integers of that numpy type (``"<u2"``, ``"<u4"``); ids that do
+    not fit raise an error.  They are narrowed here: a second Python step behind this one would
+    take a worker of its own per task, and in time each worker holds a tokenizer and its memory.
     """
     end = np.array([end_id], "<u4").tobytes()
 
@@ -118,7 +120,7 @@ def pieces(docs: DataFrame, path: str, size: int = SEQUENCE, end_id: int = END_I
                 tokens = len(ids) // 4
                 for start in range(0, tokens, size):
                     part = ids[4 * start : 4 * (start + size)]
-                    row = (doc, start, len(part) // 4, zlib.crc32(part), tokens, part)
+                    row = (doc, start, len(part) // 4, zlib.crc32(part), tokens, narrowed(part) if with_ids else None)
                     for column, value in zip(out, row):
                         column.append(value)
                 if with_ids and sum(map(len, out[5][-4096:])) > 1 << 24:
@@ -126,6 +128,12 @@ def pieces(docs: DataFrame, path: str, size: int = SEQUENCE, end_id: int = END_I
                     out = [[] for _ in range(6)]
             yield table(out)
 
+    def narrowed(part: bytes) -> bytes:
+        ids = np.frombuffer(part, "<u4")
+        if ids.max() > np.iinfo(with_ids).max:
+            raise ValueError(f"ids beyond {with_ids}")
+        return ids.astype(with_ids).tobytes()
+
     def table(out: list[list]) -> pa.RecordBatch:
         columns = [pa.array(c, pa.int64()) for c in out[:5]] + ([pa.array(out[5], pa.binary())] if with_ids else [])
         return pa.RecordBatch.from_arrays(columns, names)

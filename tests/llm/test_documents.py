@@ -334,3 +334,15 @@ def test_whole_licence_files(make_docs):
     docs += [(None, texts["BSD-2-Clause"].replace("source and binary forms", "source forms"))]
     got = {r.doc_id: r.license_id for r in licenses.license_scan(make_docs([text for _, text in docs])).collect()}
     assert [(i, name, got[i]) for i, (name, _) in enumerate(docs) if got[i] != name] == []
+
+
+def test_training_order_ids_are_narrowed_by_the_tokenising_step(spark):
+    """One Python step per task: a second one would make further workers hold a tokenizer."""
+    docs = spark.createDataFrame([(1, "the cat sat"), (2, None)], "doc_id long, text string")
+    wide, small = (packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"), 2, with_ids=t) for t in ("<u4", "<u2"))
+    assert small._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    key = ["doc_id", "start"]
+    for a, b in zip(wide.orderBy(*key).collect(), small.orderBy(*key).collect(), strict=True):
+        assert np.frombuffer(a.ids, "<u4").tolist() == np.frombuffer(b.ids, "<u2").tolist() and a.ids_crc32 == b.ids_crc32
+    with pytest.raises(Exception, match="ids beyond"):
+        packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"), 2, with_ids="<u1").collect()
