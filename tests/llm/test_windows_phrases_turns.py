@@ -4,8 +4,12 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -250,3 +254,19 @@ def test_damage(spark):
     assert got == sorted(want) and {r[4] for r in got} == {1, 2}
     done = conversations.repaired(df)
     assert done.count() == 31
+
+
+def test_windows_of_a_large_batch_take_bounded_memory(monkeypatch):
+    rng = np.random.default_rng(3)
+    text = " ".join(f"w{i}" for i in rng.integers(0, 2000, 1_200_000).tolist())
+    third = len(text) // 3
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 3), pa.array([text[:third], text[third : 2 * third], text[2 * third :]])], ["lang", "text"])
+    known = collocations.Known({"en": pa.array([f"w{i}" for i in range(2000)])})
+    tracemalloc.start()
+    seen = 0
+    for out in collocations.window_batches(iter([batch]), 5, known):
+        assert out.num_rows <= 1 << 16 and out.schema.field("w1").type == pa.int32()
+        seen += pc.sum(out.column("n")).as_py()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen > 1_199_000 and peak < 90 << 20
