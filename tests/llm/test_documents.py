@@ -346,3 +346,11 @@ def test_training_order_ids_are_narrowed_by_the_tokenising_step(spark):
         assert np.frombuffer(a.ids, "<u4").tolist() == np.frombuffer(b.ids, "<u2").tolist() and a.ids_crc32 == b.ids_crc32
     with pytest.raises(Exception, match="ids beyond"):
         packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"), 2, with_ids="<u1").collect()
+
+
+def test_a_segment_is_searched_once():
+    model = segments.Lattice(public_tokenizers.path("piece_bpe_32k.model"))
+    met, best = [], model.best
+    model.best = lambda text: met.append(text) or best(text)
+    first = model.choices("one house, a house. the house, house; one, one,", 3)
+    assert len(met) == len(set(met)) and model.choices("one house, a house. the house, house; one, one,", 3) == first
