@@ -306,13 +306,15 @@ def settled(docs: DataFrame, found: DataFrame, method: Method) -> DataFrame:
         if held is not None and len(held[0]):
             yield compare(held)[0]
 
-    fetched = docs.select("_key", "text").join(wanted, "_key").mapInArrow(fetch, PARTS)
+    # all columns of docs, as ``covered`` reads them: both joins then share one exchange of the texts
+    fetched = docs.join(wanted, "_key").mapInArrow(fetch, PARTS)
     return fetched.repartition("anchor").sortWithinPartitions("anchor", "_key", "start").mapInArrow(run, "_key long, start long, n int")
 
 
 def covered(docs: DataFrame, method: Method) -> DataFrame:
     """``docs`` with ``repeats``: the (start, n) runs of windows that also start earlier."""
     found = located(docs, method)
+    docs = docs.filter("_key IS NOT NULL")  # always so; said here because the inner join would add it to its side alone
     ranges = found.filter(F.col("kind") == REPEAT).select("_key", "start", "n").unionAll(settled(docs, found, method))
     of_doc = ranges.groupBy(F.col("_key").alias("_k")).agg(F.collect_list(F.struct("start", "n")).alias("repeats"))
     return docs.join(of_doc, F.col("_key") == F.col("_k"), "left").drop("_k")

@@ -354,3 +354,16 @@ def test_a_segment_is_searched_once():
     model.best = lambda text: met.append(text) or best(text)
     first = model.choices("one house, a house. the house, house; one, one,", 3)
     assert len(met) == len(set(met)) and model.choices("one house, a house. the house, house; one, one,", 3) == first
+
+
+@pytest.mark.parametrize("operator", [recompress.word_repeats, suffix.byte_repeats])
+def test_texts_are_exchanged_once_behind_the_anchors(spark, make_docs, tmp_path, operator):
+    make_docs([" ".join(f"w{(i * j * 7 + j) % 40}" for j in range(90)) for i in range(300)]).write.parquet(str(tmp_path / "d"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = operator(spark.read.parquet(str(tmp_path / "d")))
+        assert len(rows.collect()) == 300
+        assert "ReusedExchange" in rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
