@@ -52,3 +52,13 @@ def test_claims_are_shuffled_once(spark, tmp_path):
     by_member = [e for e in exchanges if re.fullmatch(r"member_id#\d+L?", e)]
     assert len(by_member) == 2 and len(exchanges) == 3  # claims and members, then sums by market
     assert "partial_sum" in plan.split("Exchange hashpartitioning(member_id")[0]
+
+
+def test_profile_locates_the_claims_once_for_both_market_marts(spark, monkeypatch):
+    from sitelens.operators import market
+    from sitelens.plans.catalog import all_tables, workspace
+
+    calls, located = [], market.located_claims
+    monkeypatch.setattr(market, "located_claims", lambda *a, **k: calls.append(1) or located(*a, **k))
+    all_tables(workspace(spark, SMALL))
+    assert len(calls) == 1
