@@ -242,7 +242,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             text = pa.array([None if x else t for x, t in zip(null, left)], pa.string())
             yield pa.RecordBatch.from_arrays([text, batch.column("_row")], ["text", "_row"])
 
-    rows = judged(keyed(docs, carry=True)).select("text", "repeats", "_row")
+    # doc_id is read although it is in _row: ``covered`` then exchanges the texts once for both its joins
+    rows = judged(keyed(docs, carry=True)).select("doc_id", "text", "repeats", "_row")
     schema = rows.select("text", "_row").schema
     out = restored(rows.mapInArrow(run, schema), docs.columns)
     if "n_chars" in docs.columns:

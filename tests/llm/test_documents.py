@@ -367,3 +367,17 @@ def test_texts_are_exchanged_once_behind_the_anchors(spark, make_docs, tmp_path,
         assert "ReusedExchange" in rows._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_texts_are_exchanged_once(spark, make_docs):
+    """Both joins with the texts read one exchange, with the other columns carried along or not."""
+    docs = make_docs(random_texts(11))
+    kept = {x: spark.conf.get(x) for x in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")  # reuse is then in the plan before it runs
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        for operator in (suffix.without_repeats, suffix.byte_repeats, recompress.word_repeats):
+            assert "ReusedExchange" in operator(docs)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for x, value in kept.items():
+            spark.conf.set(x, value)
