@@ -15,6 +15,7 @@ from sitelens.llm.suffix import texts_of
 from sitelens.llm.text import U64, Powers, cuts, flat, mix, rows_of, within, word_array, word_hashes, word_ids, word_spans
 
 WINDOW = 13
+HALF = WINDOW // 2 + 1
 ROUNDS = 2
 PIECE = 1 << 20
 WORDS = Powers(31)
@@ -100,6 +101,18 @@ def anchors(words: np.ndarray, row: np.ndarray, start: np.ndarray, length: int =
     return name, where
 
 
+def in_context(name: np.ndarray, prefix: np.ndarray, start: np.ndarray, where: np.ndarray) -> np.ndarray:
+    """Names of anchors made one with the ``HALF`` words from the anchor on, or up to it, that lie in the window.
+
+    A symbol of a few common words anchors windows of many contents, all of which would have to
+    be compared; few contents share half a window as well.  Which side is read depends on the
+    anchor's place in the window, so equal windows still have equal names.
+    """
+    ahead = where - start <= WINDOW - HALF
+    first = np.where(ahead, where, where - (HALF - 1))
+    return mix(name ^ mix(WORDS.part(prefix, first, first + HALF) + ahead.astype(U64)))
+
+
 def piece_blocks(words: np.ndarray, offsets: np.ndarray) -> Blocks | None:
     counts = np.diff(offsets)
     long = counts >= WINDOW
@@ -109,11 +122,12 @@ def piece_blocks(words: np.ndarray, offsets: np.ndarray) -> Blocks | None:
     start = np.repeat(offsets[:-1], n) + within(n)
     row = rows_of(offsets)
     name, where = anchors(words, row, start)
+    prefix = WORDS.prefix(words)
+    name = in_context(name, prefix, start, where)
     of = row[start]
     # two rows never share a place; two levels may, so the name counts as well
     first, size = runs(np.ones(len(start), bool), mix(name) + where.astype(U64))
     s, at = start[first], where[first]
-    prefix = WORDS.prefix(words)
     digest = mix(WORDS.part(prefix, s, s + size + (WINDOW - 1)) + ((at - s) * 128 + size).astype(U64))
     return Blocks(of[first], s - offsets[of[first]], size, at - s, name[first], digest)
 

@@ -14,6 +14,7 @@ import pytest
 import corpus_pipeline
 from sitelens.llm import licenses, near, packing, quality, recompress, segments, shards, suffix
 from sitelens.llm import repeats as engine
+from sitelens.llm.keys import keyed
 
 OPERATORS = {
     "quality": quality.quality_rules,
@@ -381,3 +382,12 @@ def test_texts_are_exchanged_once(spark, make_docs):
     finally:
         for x, value in kept.items():
             spark.conf.set(x, value)
+
+
+def test_few_word_blocks_share_an_anchor_by_chance(make_docs):
+    """Texts of few words without repeats: hardly any block must be fetched and compared."""
+    rng = random.Random(12)
+    docs = keyed(make_docs([" ".join(f"v{int(rng.random() ** 2 * 60)}" for _ in range(600)) for _ in range(60)]))
+    every = engine.block_rows(docs, recompress.METHOD).count()
+    fetched = engine.located(docs, recompress.METHOD).filter(f"kind != {engine.REPEAT}").count()
+    assert every > 3_000 and fetched < every / 100
