@@ -128,6 +128,16 @@ def test_collocations_of_odd_tables(odd, make_docs):
     assert ("x x x x x", 292) in {(r.phrase, r.a) for r in rows}
 
 
+def test_pairs_are_not_counted_again_as_windows():
+    """Beside known pairs only windows of three words or more leave a task."""
+    words = {"en": pa.array(["a", "b", "c", "d"])}
+    known = collocations.Known(words, {"en": np.array([0 * 4 + 1, 1 * 4 + 2, 2 * 4 + 3])})
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * 3, "text": ["a b x " * 50, "a b c d. b c", "a"]})
+    rows = [r for b in collocations.window_batches(iter([batch]), 5, known) for r in b.to_pylist()]
+    got = sorted((tuple(r[f"w{i}"] for i in range(1, 6) if r[f"w{i}"] is not None), r["n"]) for r in rows)
+    assert got == [((0, 1, 2, 3), 1), ((1, 2, 3), 1)]
+
+
 def test_scores_are_exact_beyond_64_bits(spark):
     words = spark.createDataFrame([("en", "p", 3 * 10**15), ("en", "q", 10**15 + 7), ("en", "z", 10**16)], "lang string, word string, n long")
     phrases = spark.createDataFrame([("en", "p q", 2, 10**15 + 3)], "lang string, phrase string, k int, f long")
