@@ -18,6 +18,8 @@ from sitelens.llm.text import flat
 
 SEQUENCE, END_ID = 2048, 1
 CACHED_WORDS = 300_000
+#: bytes of ids that a task hands over at once
+HELD_BYTES = 1 << 24
 RANK_BUCKETS = 64
 
 
@@ -115,21 +117,25 @@ def pieces(docs: DataFrame, path: str, size: int = SEQUENCE, end_id: int = END_I
             offsets, data = flat(batch.column("text"))
             raw = memoryview(data)
             out: list[list] = [[] for _ in range(6)]
+            held = 0
             for i, doc in enumerate(batch.column("doc_id").to_pylist()):
                 ids = encode(bytes(raw[offsets[i] : offsets[i + 1]])) + end
                 tokens = len(ids) // 4
+                slim = narrowed(ids) if with_ids else b""
+                width = len(slim) // tokens
                 for start in range(0, tokens, size):
                     part = ids[4 * start : 4 * (start + size)]
-                    row = (doc, start, len(part) // 4, zlib.crc32(part), tokens, narrowed(part) if with_ids else None)
+                    row = (doc, start, len(part) // 4, zlib.crc32(part), tokens, slim[width * start : width * (start + size)])
                     for column, value in zip(out, row):
                         column.append(value)
-                if with_ids and sum(map(len, out[5][-4096:])) > 1 << 24:
+                held += len(slim)
+                if held > HELD_BYTES:
                     yield table(out)
-                    out = [[] for _ in range(6)]
+                    out, held = [[] for _ in range(6)], 0
             yield table(out)
 
-    def narrowed(part: bytes) -> bytes:
-        ids = np.frombuffer(part, "<u4")
+    def narrowed(raw: bytes) -> bytes:
+        ids = np.frombuffer(raw, "<u4")
         if ids.max() > np.iinfo(with_ids).max:
             raise ValueError(f"ids beyond {with_ids}")
         return ids.astype(with_ids).tobytes()

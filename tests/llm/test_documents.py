@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import textwrap
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -391,3 +392,28 @@ def test_few_word_blocks_share_an_anchor_by_chance(make_docs):
     every = engine.block_rows(docs, recompress.METHOD).count()
     fetched = engine.located(docs, recompress.METHOD).filter(f"kind != {engine.REPEAT}").count()
     assert every > 3_000 and fetched < every / 100
+
+
+class Task:
+    """Stands for a DataFrame: ``mapInArrow`` runs in the test's own process, its batches as they are."""
+
+    def __init__(self, *batches):
+        self.batches = batches
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, run, _):
+        return list(run(iter(self.batches)))
+
+
+def test_sequences_are_handed_over_in_bounded_batches(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = [" ".join(f"word{i % 7}" for i in range(3_000))] * 1500
+    docs = Task(pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts}))
+    out = packing.pieces(docs, path, 512, with_ids="<u2")
+    (whole,) = packing.pieces(docs, path, 512)
+    rows = pa.Table.from_batches(out)
+    assert rows.select(whole.schema.names).to_pylist() == whole.to_pylist()
+    assert len(out) > 1 and all(b.column("ids").nbytes < 17 << 20 for b in out)
+    assert [zlib.crc32(np.frombuffer(x, "<u2").astype("<u4")) for x in rows["ids"].to_pylist()] == rows["ids_crc32"].to_pylist()
