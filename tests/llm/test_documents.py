@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import textwrap
+import time
 import zlib
 from collections import Counter
 
@@ -417,3 +418,40 @@ def test_sequences_are_handed_over_in_bounded_batches(spark):
     assert rows.select(whole.schema.names).to_pylist() == whole.to_pylist()
     assert len(out) > 1 and all(b.column("ids").nbytes < 17 << 20 for b in out)
     assert [zlib.crc32(np.frombuffer(x, "<u2").astype("<u4")) for x in rows["ids"].to_pylist()] == rows["ids_crc32"].to_pylist()
+
+
+def test_shards_are_dealt_in_runs_and_each_exchange_is_removed(spark, make_docs, tmp_path, monkeypatch):
+    """At a time a quarter of the shards is in an exchange; before the next run its files are gone."""
+    path, frame = public_tokenizers.path("word_bpe_49k.json"), type(spark.range(0))
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    deal, dealt, seen = frame.repartitionById, [], []
+
+    def exchanged():
+        found = disk.getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+
+    def left():
+        until = time.monotonic() + 20
+        while (more := exchanged() - seen[0]) and time.monotonic() < until:  # removal does not block the write
+            time.sleep(0.1)
+        return more
+
+    def watched(self, n, column):
+        seen.append(exchanged()) if not seen else None
+        assert not left()
+        dealt.append(n)
+        return deal(self, n, column)
+
+    monkeypatch.setattr(frame, "repartitionById", watched)
+    clean = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(clean, None)
+    rows = shards.write_shards(make_docs(random_texts(6, 80)), path, str(tmp_path / "out"), size=64, per_shard=16).collect()
+    number = max(r.shard for r in rows) + 1
+    assert number > 8 and sum(dealt) == number and max(dealt) <= -(-number // 4)
+    assert not left() and spark.conf.get(clean, None) == before
+    assert sorted(r.slot for r in rows) == list(range(len(rows)))
+    assert all((r.shard, r.byte_offset) == (r.slot // 16, r.slot % 16 * 128) for r in rows)
+    records = list(shards.read_slots(str(tmp_path / "out"), 0, len(rows)))
+    assert all(shards.checksum(records[r.slot], r.length) == r.ids_crc32 for r in rows)
+    dealt.clear(), seen.clear()
+    assert shards.write_shards(make_docs(["a b", None]), path, str(tmp_path / "few"), size=64).count() == 2 and dealt == [1]
