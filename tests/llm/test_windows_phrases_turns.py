@@ -138,6 +138,88 @@ def test_pairs_are_not_counted_again_as_windows():
     assert got == [((0, 1, 2, 3), 1), ((1, 2, 3), 1)]
 
 
+def many_pairs():
+    """(lang, text) with more frequent pairs of words than frequent words, and a few longer phrases."""
+    rng = random.Random(5)
+    docs = []
+    for k in range(150):
+        words = [rng.choice(["New York city hall", "mill", *"abcdefghijk", f"r{rng.randrange(900)}"]) for _ in range(30)]
+        docs.append(("en" if k % 3 else None, " ".join(words) + rng.choice(["", ". a b", "\nc"])))
+    return docs + [("de", "x y z " * 20), ("en", None), ("fr", "one two")]
+
+
+def test_windows_end_at_rare_pairs_and_prefixes_however_many_pairs_there_are(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "KNOWN_ROWS", 40)
+    monkeypatch.setattr(collocations, "DEALT_WORDS", 700, raising=False)
+    windows, seen = collocations._windows, []
+    monkeypatch.setattr(collocations, "_windows", lambda *a: seen.append(windows(*a)) or seen[-1])
+    docs = many_pairs()
+    counts = defaultdict(Counter)
+    for lang, text in docs:
+        for piece in re.split(r"[.\n]", (text or "").lower()):
+            w = piece.split()
+            for k in range(1, 6):
+                counts[k].update((lang, *w[i : i + k]) for i in range(len(w) - k + 1))
+    often = {k: sum(n >= 8 for n in c.values()) for k, c in counts.items()}
+    assert often[1] <= 40 < often[2]
+    got = defaultdict(list)
+    for r in collocations.collocations(spark.createDataFrame(docs, "lang string, text string"), min_count=8).orderBy("lang", "rank").collect():
+        got[r.lang].append((r["rank"], r.phrase, r.a, r.l, r.r, r.n, r.score))
+    want = brute_phrases(docs, 8)
+    assert dict(got) == want and max(len(r[1].split()) for r in want["en"]) > 3
+    assert 0 < seen[0].count() <= often[3] + often[4] + often[5]
+
+
+@pytest.mark.parametrize("held", [1 << 19, 60])
+def test_blocks_hold_all_windows_and_are_cut_to_frequent_prefixes(monkeypatch, held):
+    monkeypatch.setattr(collocations, "HELD_ROWS", held)
+    rng = random.Random(11)
+    pieces = [("en" if rng.random() < 0.8 else "de", [rng.randrange(rng.choice([2, 7])) for _ in range(rng.randrange(12))]) for _ in range(2000)]
+    words = pa.array(list("abcdefg"))
+    known = collocations.Known({"en": words, "de": words}, {x: np.arange(49) for x in ("en", "de")})
+    batches = [
+        pa.RecordBatch.from_pydict({"lang": [x for x, _ in part], "text": [" ".join("abcdefg"[i] for i in w) for _, w in part]})
+        for part in (pieces[:900], pieces[900:])
+    ]
+    blocks = [r for b in collocations.window_blocks(iter(batches), 5, known, 4) for r in b.to_pylist()]
+    assert {b["task"] for b in blocks} == {0, 1, 2, 3}
+    got, whole = Counter(), Counter()
+    for task in range(4):
+        own = sorted((b for b in blocks if b["task"] == task), key=lambda b: b["lang"])
+        schema = pa.schema({"task": pa.int32(), "lang": pa.string(), "size": pa.int32(), "block": pa.binary()})
+        for b in collocations.frequent_windows(iter(pa.Table.from_pylist(own, schema).to_batches(max_chunksize=3)), 5, 9):
+            for r in b.to_pylist():
+                window = tuple(r[f"w{i}"] for i in range(1, 6))
+                whole[r["lang"], window] += 1
+                for k in range(3, 6):
+                    if window[k - 1] is not None:
+                        got[r["lang"], window[:k]] += r["n"]
+    want = Counter((x, tuple(w[i : i + k])) for x, w in pieces for k in range(3, 6) for i in range(len(w) - k + 1))
+    assert got == {p: n for p, n in want.items() if n >= 9} and {len(p) for _, p in got} == {3, 4, 5}
+    assert set(whole.values()) == {1}
+
+
+def test_packed_windows_come_back_whole():
+    columns = [np.array([0, 0, 7, 999_999], np.int32), np.array([5, 5, 0, 999_999], np.int32), np.array([1, 2, -1, -1], np.int32)]
+    n = np.array([1, 2**40 + 3, 2**32 - 1, 2**32])
+    back, m = collocations._unpacked(collocations._packed(columns, n), 4, 3)
+    assert [c.tolist() for c in back] == [c.tolist() for c in columns] and m.tolist() == n.tolist()
+
+
+@pytest.mark.parametrize("most", [28, 12])
+def test_marks_have_every_pair(spark, monkeypatch, most):
+    monkeypatch.setattr(collocations, "MOST_BITS", most)
+    monkeypatch.setattr(collocations, "PART_BITS", 9)
+    rows = [(x, 1000 * a + b, 9) for x in ("en", "de") for a in range(40) for b in range(a, 40)]
+    words = {x: pa.array([str(i) for i in range(1000)]) for x in ("en", "de", "fr")}
+    known = collocations.Known(words, collocations._marks(spark.createDataFrame(rows, "lang string, code long, n long")))
+    for lang in ("en", "de"):
+        left, right = (np.array(x) for x in zip(*(divmod(c, 1000) for own, c, _ in rows if own == lang)))
+        assert known.joined(lang, left, right).all()
+    others = known.joined("fr", np.repeat(np.arange(200), 200), np.tile(np.arange(200), 200)).mean()
+    assert others < (0.08 if most == 28 else 0.4) and len(known.pairs) == (1 << 15 if most == 28 else 1 << 12) >> 3
+
+
 def test_scores_are_exact_beyond_64_bits(spark):
     words = spark.createDataFrame([("en", "p", 3 * 10**15), ("en", "q", 10**15 + 7), ("en", "z", 10**16)], "lang string, word string, n long")
     phrases = spark.createDataFrame([("en", "p q", 2, 10**15 + 3)], "lang string, phrase string, k int, f long")
